@@ -1,4 +1,4 @@
 """All registered queries; importing a module registers its queries."""
 
-from . import preparation  # noqa: F401
+from . import preparation, profiling  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
