@@ -62,12 +62,12 @@ def src4(spark, sf):
 
 @query("snk2_long_metrics", "prediction_log", """
 SELECT model, run_id, metric, value FROM (
-  SELECT model, run_id, 'mae' AS metric, round(avg(abs(prediction - actual)), 4) AS value FROM prediction_log GROUP BY ALL
-  UNION ALL SELECT model, run_id, 'bias', round(avg(prediction - actual), 4) + 0 FROM prediction_log GROUP BY ALL)""")
+  SELECT model, run_id, 'mae' AS metric, round(avg(abs(prediction - actual)), 6) AS value FROM prediction_log GROUP BY ALL
+  UNION ALL SELECT model, run_id, 'bias', round(avg(prediction - actual), 6) FROM prediction_log GROUP BY ALL)""")
 def snk2(spark, sf):
     error = F.col("prediction") - F.col("actual")
     wide = views.prediction_log(spark, sf).groupBy("model", "run_id").agg(
-        F.round(F.avg(F.abs(error)), 4).alias("mae"), F.round(F.avg(error), 4).alias("bias"))
+        F.round(F.avg(F.abs(error)), 6).alias("mae"), F.round(F.avg(error), 6).alias("bias"))
     return sinks.to_long_metrics(wide, ["model", "run_id"], ["mae", "bias"])
 
 
