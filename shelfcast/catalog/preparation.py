@@ -475,7 +475,10 @@ CYCLES = [("day_of_week", 7), ("month", 12), ("day", 31)]
     *[f"{r(f'{fn}({c} * (2 * pi()) / {p})', 9)} AS {c}_{fn}" for c, p in CYCLES for fn in ("sin", "cos")],
 ]) + " FROM calendar_sales")
 def win7(spark, sf):
-    df = windows.all_features(cal.calendar_features(views.sales_fact(spark, sf)))
+    return round_all_features(windows.all_features(cal.calendar_features(views.sales_fact(spark, sf))))
+
+
+def round_all_features(df):
     return rounded(_round_features(df), 9, *[f"{c}_{fn}" for c, _ in CYCLES for fn in ("sin", "cos")])
 
 

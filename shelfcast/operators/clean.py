@@ -132,6 +132,13 @@ def fill_mean(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), mean))
 
 
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """The columns of a one-row frame beside every row, as one scalar subquery."""
+    names = one_row.columns
+    value = one_row.select(F.struct(*names).alias("_one")).scalar()
+    return df.select("*", value.alias("_one")).select(*df.columns, *[F.col("_one").getField(n).alias(n) for n in names])
+
+
 def attach_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFrame:
     """Group statistics beside every row.
 
@@ -139,8 +146,7 @@ def attach_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFrame:
     group is never gathered into one task as a window over it would be.
     """
     if not keys:
-        one = df.agg(*[c.alias(n) for n, c in stats.items()])
-        return df.withColumns({n: one.select(n).scalar() for n in stats})
+        return beside(df, df.agg(*[c.alias(n) for n, c in stats.items()]))
     return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), keys, "left")
 
 

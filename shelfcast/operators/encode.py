@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.expressions import cyclical_pair, flag_name, indicator
+from .clean import beside
 
 
 def one_hot(df: DataFrame, col: str, values: list, prefix: str | None = None) -> DataFrame:
@@ -38,14 +39,14 @@ def fit_scaler(train: DataFrame, cols: list[str]) -> DataFrame:
 def apply_scaler(df: DataFrame, scaler: DataFrame, cols: list[str]) -> DataFrame:
     """z-scores by the fitted row; a column without spread becomes 0."""
     def z(c):
-        mean, std = scaler.select(f"{c}_mean").scalar(), scaler.select(f"{c}_std").scalar()
-        return F.when(F.col(c).isNotNull(), F.coalesce(F.try_divide(F.col(c) - mean, std), F.lit(0.0)))
-    return df.withColumns({c: z(c) for c in cols})
+        scaled = F.try_divide(F.col(c) - F.col(f"{c}_mean"), F.col(f"{c}_std"))
+        return F.when(F.col(c).isNotNull(), F.coalesce(scaled, F.lit(0.0)))
+    return beside(df, scaler).withColumns({c: z(c) for c in cols}).select(*df.columns)
 
 
 def invert_scaler(df: DataFrame, scaler: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({
-        c: F.col(c) * scaler.select(f"{c}_std").scalar() + scaler.select(f"{c}_mean").scalar() for c in cols})
+    back = {c: F.col(c) * F.col(f"{c}_std") + F.col(f"{c}_mean") for c in cols}
+    return beside(df, scaler).withColumns(back).select(*df.columns)
 
 
 def scale(train: DataFrame, test: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.bundle import SalesBundle
 from .calendar import calendar_features, collapse_holidays, holiday_flags
-from .clean import calendar_of, fill_forward_backward, fill_group_mean, fill_mean
+from .clean import beside, calendar_of, fill_forward_backward, fill_group_mean, fill_mean
 
 
 def small_enough(df: DataFrame, max_rows: int) -> bool:
@@ -31,10 +31,11 @@ def join_oil(sales: DataFrame, oil: DataFrame, col: str = "dcoilwtico") -> DataF
     A sales date outside the price table's span takes the nearest end. The right side has one row per
     calendar day, whatever the size of the fact.
     """
-    span = oil.agg(F.min("date").alias("a"), F.max("date").alias("b"))
-    nearest = F.least(F.greatest("date", span.select("a").scalar()), span.select("b").scalar())
+    span = oil.agg(F.min("date").alias("_first"), F.max("date").alias("_last"))
+    nearest = F.least(F.greatest("date", "_first"), F.col("_last"))
     prices = daily_prices(oil, col).withColumnRenamed("date", "_price_date")
-    return sales.withColumn("_price_date", nearest).join(F.broadcast(prices), "_price_date", "left").drop("_price_date")
+    dated = beside(sales, span).select(*sales.columns, nearest.alias("_price_date"))
+    return dated.join(F.broadcast(prices), "_price_date", "left").drop("_price_date")
 
 
 def join_holidays(sales: DataFrame, holidays: DataFrame, mode: str = "collapse") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import RegressionEvaluator
+import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from .forecast import forecast_frame, known_series
+from .linear import per_series
 from .windows import Series, sequences
 
 
@@ -55,5 +57,35 @@ def predict_next(model, daily: DataFrame, value: str, keys: list[str], length: i
                          F.col("next").alias("actual"))
 
 
-def rmse(predictions: DataFrame) -> float:
-    return RegressionEvaluator(predictionCol="prediction", labelCol="actual", metricName="rmse").evaluate(predictions)
+class SequenceModel:
+    """The window regression as a forecaster: one linear rule for all series, applied step by step."""
+
+    name = "sequence"
+
+    def __init__(self, keys: list[str], value: str = "sales", date: str = "date", length: int = 30):
+        self.keys, self.value, self.date, self.length = list(keys), value, date, length
+
+    def fit(self, history: DataFrame) -> DataFrame:
+        model, _ = fit_sequence_regressor(history, self.value, self.keys, self.length, date=self.date)
+        weights = F.array(*[F.lit(float(c)) for c in model.coefficients])
+        return history.select(*self.keys).distinct().withColumns({"coef": weights, "intercept": F.lit(float(model.intercept))})
+
+    def predict(self, fits: DataFrame, history: DataFrame, days: int) -> DataFrame:
+        keys, length = self.keys, self.length
+        wanted = known_series(forecast_frame(history, days, keys, date=self.date, align=False), fits, keys)
+        last = history.groupBy(*keys).agg(F.max(self.date).alias("_last"))
+        near = history.join(last, keys).where(F.datediff("_last", self.date) < length)
+        tails = near.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(self.date, self.value))).alias("_t"))
+        ready = tails.select(*keys, F.col("_t").getField(self.value).alias("_tail")).join(fits, keys)
+
+        def ahead(row):
+            values, weights = list(row["_tail"]), np.asarray(row["coef"], float)
+            if len(values) < length:
+                return None
+            for _ in range(days):
+                window = np.asarray(values[-length:], float)
+                level = window.mean()
+                values.append(float((weights @ (window / level) + row["intercept"]) * level) if level else 0.0)
+            return {"_path": values[-days:]}
+        paths = per_series(ready, keys, [T.StructField("_path", T.ArrayType(T.DoubleType()))], ahead)
+        return wanted.join(paths, keys).select(*keys, self.date, "step", F.get("_path", F.col("step") - 1).alias("prediction"))

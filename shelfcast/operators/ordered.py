@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CUTS = 256
 
 
-def _bucket_of(value: Column, cuts: Column) -> Column:
-    """Number of cut points below the value, by binary search in the sorted array."""
-    steps = F.array(*[F.lit(CUTS >> i) for i in range(1, CUTS.bit_length())])
-    return F.aggregate(
-        steps, F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
+def _search(df: DataFrame, value: Column) -> DataFrame:
+    """Adds ``_bucket``, the number of cut points in ``_cuts`` below the value, by binary search."""
+    names, steps = [c for c in df.columns if c != "_cuts"], [F.lit(0).alias(f"_at{CUTS}")]
+    step = CUTS // 2
+    while step:
+        at = F.col(f"_at{2 * step}")
+        steps.append(F.when(F.get("_cuts", at + (step - 1)) < value, at + step).otherwise(at).alias(f"_at{step}"))
+        step //= 2
+    return df.select("*", *steps).select(*names, F.col("_at1").alias("_bucket"))
 
 
 def bucketed(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -23,14 +26,13 @@ def bucketed(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
     The cut points are approximate quantiles of the distinct values (at most 255 numbers per key); they
     only balance the parts, results do not depend on them.
     """
-    grid = [i / CUTS for i in range(1, CUTS)]
-    cut = F.percentile_approx(F.col(value).cast("double"), grid, 10 * CUTS)
     number = F.col(value).cast("double")
-    if not keys:
-        cuts = counts.agg(cut.alias("_cuts")).scalar()
-        return counts.withColumn("_cuts", cuts).withColumn("_bucket", _bucket_of(number, F.col("_cuts"))).drop("_cuts")
-    cuts = counts.groupBy(*keys).agg(cut.alias("_cuts"))
-    return counts.join(cuts, keys).withColumn("_bucket", _bucket_of(number, F.col("_cuts"))).drop("_cuts")
+    cut = F.percentile_approx(number, [i / CUTS for i in range(1, CUTS)], 10 * CUTS)
+    if keys:
+        tagged = counts.join(counts.groupBy(*keys).agg(cut.alias("_cuts")), keys)
+    else:
+        tagged = counts.withColumn("_cuts", counts.agg(cut.alias("_cuts")).scalar())
+    return _search(tagged, number)
 
 
 def _partition(keys: list[str]):

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.expressions import percent
-from .clean import attach_stats
+from .clean import attach_stats, beside
 from .ordered import quantile_columns
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
@@ -35,10 +33,8 @@ def outliers(df: DataFrame, col: str, method: str = "zscore", threshold: float =
         z = F.abs(F.try_divide(F.col(col) - F.col("_mean"), F.col("_std")))
         return _summary(spread, col, z > threshold)
     if method == "iqr":
-        bounds = iqr_bounds(df, col)
-        low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
-        return _summary(df.withColumns({"_low": low, "_high": high}), col,
-                        (F.col(col) < F.col("_low")) | (F.col(col) > F.col("_high")))
+        return _summary(beside(df.select(col), iqr_bounds(df, col)), col,
+                        (F.col(col) < F.col("low")) | (F.col(col) > F.col("high")))
     raise ValueError(f"unknown method {method!r}")
 
 
@@ -58,10 +54,3 @@ def outlier_rows(df: DataFrame, col: str, keys: list[str], threshold: float = 3.
     """Rows whose z-score within their key exceeds the threshold."""
     from .windows import zscores
     return zscores(df, col, keys).where(F.col("zscore") > threshold)
-
-
-def any_outlier(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows with an IQR outlier in any of the columns."""
-    bounds = {c: iqr_bounds(df, c) for c in cols}
-    conditions = [(F.col(c) < b.select("low").scalar()) | (F.col(c) > b.select("high").scalar()) for c, b in bounds.items()]
-    return df.where(reduce(lambda a, b: a | b, conditions))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.expressions import jarque_bera, normal_quantile, percent, weekday_monday0
+from .clean import beside
 from .encode import one_hot
 from .ordered import exact_quantiles, quantile_columns
 
@@ -70,7 +71,7 @@ def describe(df: DataFrame, col: str, keys: list[str] = (), quantiles: str = "ex
     summary, cuts = df.groupBy(*keys).agg(*basic), quantile_columns(df, col, parts, keys)
     if keys:
         return summary.join(cuts, keys, "left")
-    return summary.withColumns({n: cuts.select(n).scalar() for n in parts})
+    return beside(summary, cuts)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -265,9 +266,7 @@ def distribution_stats(df: DataFrame, col: str) -> DataFrame:
     moments = df.agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
                      F.skewness(col).alias("skewness"), F.kurtosis(col).alias("kurtosis"))
     cuts = quantile_columns(df, col, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
-    return moments.withColumns({
-        "median": cuts.select("q2").scalar(),
-        "iqr": cuts.select("q3").scalar() - cuts.select("q1").scalar()})
+    return beside(moments, cuts.select(F.col("q2").alias("median"), (F.col("q3") - F.col("q1")).alias("iqr")))
 
 
 def normality_test(df: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:
@@ -281,10 +280,9 @@ def normality_test(df: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width counts over the column's range, as ``(bin, n)``; the last bin takes the maximum."""
     span = df.agg(F.min(col).cast("double").alias("low"), F.max(col).cast("double").alias("high"))
-    low, high = span.select("low").scalar(), span.select("high").scalar()
-    ranged = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_v"), low.alias("_a"), high.alias("_b"))
-    slot = F.when(F.col("_a") == F.col("_b"), 1).otherwise(
-        F.least(F.expr(f"width_bucket(_v, _a, _b, {int(bins)})"), F.lit(bins)))
+    ranged = beside(df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_v")), span)
+    slot = F.when(F.col("low") == F.col("high"), 1).otherwise(
+        F.least(F.expr(f"width_bucket(_v, low, high, {int(bins)})"), F.lit(bins)))
     return ranged.groupBy(slot.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
@@ -342,9 +340,12 @@ def mutual_information(df: DataFrame, target: str, features: list[str], bins: in
     lookup = edges.agg(F.map_from_entries(F.collect_list(F.struct("column", "edges"))).alias("m")).scalar()
 
     def slot(c: str) -> Column:
-        return F.size(F.filter(F.element_at("_edges", F.lit(c)), lambda e: e < F.col(c)))
+        below = [F.when(F.get(f"_{c}", F.lit(i)) < F.col(c), 1).otherwise(0) for i in range(bins - 1)]
+        return sum(below[1:], below[0])
 
-    binned = numbers.withColumn("_edges", lookup).select(*[slot(c).alias(c) for c in features], slot(target).alias("_y"))
+    edged = numbers.withColumn("_edges", lookup)
+    edged = edged.select(*cols, *[F.element_at("_edges", F.lit(c)).alias(f"_{c}") for c in cols])
+    binned = edged.select(*[slot(c).alias(c) for c in features], slot(target).alias("_y"))
     long_bins = binned.unpivot(["_y"], features, "feature", "_x")
     joint = long_bins.groupBy("feature", "_x", "_y").agg(F.count("*").alias("n"))
     # at most bins × bins cells per feature from here on

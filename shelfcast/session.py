@@ -16,7 +16,6 @@ def local_session(cores: int = 8, name: str = "shelfcast") -> SparkSession:
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SHELFCAST_DRIVER_MEMORY", "12g"))
