@@ -73,20 +73,17 @@ def read_sales_bundle(spark: SparkSession, folder: str | None = None, fmt: str =
 
 
 def read_with_quarantine(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected raw lines) of a CSV source.
+    """(valid rows, rejected raw lines) of CSV files with the schema's header.
 
     A line is rejected when the parser cannot fit it to the schema.
     """
-    permissive = T.StructType([*schema.fields, T.StructField("_raw", T.StringType())])
-    rows = (
-        spark.read.schema(permissive)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_raw")
-        .csv(path)
-    )
-    valid = nan_to_null(rows.where(F.col("_raw").isNull()).drop("_raw"))
-    return valid, rows.where(F.col("_raw").isNotNull()).select(F.col("_raw").alias("raw_line"))
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_raw"}
+    lines = spark.read.text(path).where(F.col("value") != ",".join(schema.names))
+    rows = lines.select("value", F.from_csv("value", f"{types}, _raw string", options).alias("row"))
+    bad = F.col("row._raw").isNotNull()
+    valid = rows.where(~bad).select(*[F.col("row").getField(c).alias(c) for c in schema.names])
+    return nan_to_null(valid), rows.where(bad).select(F.col("value").alias("raw_line"))
 
 
 def split_valid(df: DataFrame, rule) -> tuple[DataFrame, DataFrame]:
