@@ -11,12 +11,12 @@ from ..plans import jobs
 from ..session import scratch_path
 from ..sources import retail_views as views, tables
 from .forecasting import KEYS, daily_features, daily_sales
-from .registry import SQL, query, r, rounded
+from .registry import SQL, query, rounded
 from . import preparation, profiling  # noqa: F401  their SQL is reused below
 
 
 def _wide(dataset, name):
-    return f"""SELECT '{dataset}' AS dataset, 'profile' AS section, metric, '' AS key, round(value, 4) AS value FROM (
+    return f"""SELECT '{dataset}' AS dataset, 'profile' AS section, metric, '' AS key, value FROM (
       UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE ({EXCLUDED[dataset]})) AS DOUBLE) FROM ({SQL[name]})) ON COLUMNS(*)
       INTO NAME metric VALUE value)"""
 
@@ -25,7 +25,7 @@ EXCLUDED = {"sales": "records", "oil": "first_date, last_date"}
 
 
 def _part(dataset, name):
-    return f"SELECT '{dataset}' AS dataset, section, metric, key, round(value, 4) AS value FROM ({SQL[name]})"
+    return f"SELECT '{dataset}' AS dataset, section, metric, key, value FROM ({SQL[name]})"
 
 
 REPORT_SQL = " UNION ALL ".join([
@@ -36,15 +36,16 @@ REPORT_SQL = " UNION ALL ".join([
     _part("holidays", "agg4_holiday_profile"),
     _part("transactions", "agg5_transaction_profile"),
     f"""SELECT 'cross', CASE effect WHEN 'holiday' THEN 'holiday_impact' ELSE 'promo_impact' END, 'lift', '',
-        {r('lift', 4)} FROM ({SQL['agg24_lift']})""",
-    f"""SELECT 'cross', 'oil_impact', 'lag_correlation', CAST(lag AS VARCHAR), {r('correlation', 4)}
+        lift FROM ({SQL['agg24_lift']})""",
+    f"""SELECT 'cross', 'oil_impact', 'lag_correlation', CAST(lag AS VARCHAR), correlation
         FROM ({SQL['win9_lag_correlations']})""",
 ])
 
 
 @query("mon14_report", None, REPORT_SQL)
 def mon14(spark, sf):
-    return rounded(jobs.report(views.bundle(spark, sf)), 4, "value")
+    places = F.when(F.col("metric") == "avg_daily_sales", F.round("value", 4)).otherwise(F.round("value", 6))
+    return jobs.report(views.bundle(spark, sf)).withColumn("value", places)
 
 
 @query("job_prepare_features", None, f"""

@@ -392,9 +392,9 @@ def _trend_sql(widths):
 
 
 def _round_features(df):
-    means = [c for c in df.columns if "_rolling_mean_" in c or "_rolling_median_" in c]
-    others = [c for c in df.columns if "_rolling_" in c and c not in means]
-    return rounded(rounded(df, 4, *means) if means else df, 2, *others) if others else rounded(df, 4, *means)
+    rolled = [c for c in df.columns if c.startswith("sales_rolling_")]
+    means = [c for c in rolled if "_mean_" in c or "_median_" in c]
+    return rounded(rounded(df, 4, *means), 2, *[c for c in rolled if c not in means])
 
 
 PERIODS = (1, 7, 14, 30)

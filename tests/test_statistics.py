@@ -145,7 +145,7 @@ def test_drift(spark):
     assert diff["mean_diff"] == pytest.approx(250) and diff["std_diff"] == pytest.approx(0)
     chi = drift.chi2_drift(base, moved, ["kind"]).first()
     # 250 each against 500, 500, 0, 0
-    assert chi["df"] == 3 and chi["statistic"] == pytest.approx(2 * (125 ** 2 / 375 * 2 + 125)) and chi["p_value"] < 1e-9
+    assert chi["df"] == 3 and chi["statistic"] == pytest.approx(2 * 2 * (125 ** 2 / 375 + 125)) and chi["p_value"] < 1e-9
 
 
 def test_distribution_tails():
