@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, evaluate, forecast, joins, learner, linear, search
 from ..operators.additive import AdditiveSettings, additive_features, fit_additive_by_series
 from ..operators.arima import Arima, adf_by_series
+from ..session import materialize
 from ..sources import retail_views as views
 from .registry import query, r, rounded
 
@@ -29,7 +30,7 @@ def daily_features(spark, sf):
 
 @query("fct1_adf")
 def fct1(spark, sf):
-    return adf_by_series(daily_sales(spark, sf), "sales", KEYS)
+    return adf_by_series(materialize(daily_sales(spark, sf)), "sales", KEYS)
 
 
 @query("fct1_dickey_fuller_no_lags", "dense_daily", """
@@ -46,25 +47,25 @@ def fct1_plain(spark, sf):
 
 @query("fct2_auto_order")
 def fct2(spark, sf):
-    fits = Arima(KEYS).fit(daily_sales(spark, sf))
+    fits = Arima(KEYS).fit(materialize(daily_sales(spark, sf)))
     return fits.select(*KEYS, "p", "d", "q", "seasonal_p", "seasonal_d", "seasonal_q", "aic")
 
 
 @query("fct3_fit_arima")
 def fct3(spark, sf):
-    model, daily = Arima(KEYS), daily_sales(spark, sf)
+    model, daily = Arima(KEYS), materialize(daily_sales(spark, sf))
     return model.in_sample_metrics(model.fit(daily), daily)
 
 
 @query("fct4_predict_arima")
 def fct4(spark, sf):
-    model, daily = Arima(KEYS), daily_sales(spark, sf)
+    model, daily = Arima(KEYS), materialize(daily_sales(spark, sf))
     return model.predict(model.fit(daily), daily, 14)
 
 
 @query("fct5_diagnostics")
 def fct5(spark, sf):
-    model, daily = Arima(KEYS), daily_sales(spark, sf)
+    model, daily = Arima(KEYS), materialize(daily_sales(spark, sf))
     return model.diagnostics(model.fit(daily), daily)
 
 

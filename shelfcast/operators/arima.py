@@ -160,8 +160,7 @@ class Arima:
     def fit(self, history: DataFrame) -> DataFrame:
         """Orders, coefficients, residual variance and information criteria, one row per series."""
         keys, date = self.keys, self.date
-        # read by several rounds of sums; each round's small result is stored as well
-        history = materialize(history.select(*keys, date, self.value))
+        # the history is read by several rounds of sums, store it first; each round's small result is stored here
         orders = materialize(differencing_by_series(history, self.value, keys, date, self.max_d, self.seasonal))
         lags = list(range(1, LONG_AR + 1))
         base = _lagged(_differenced(history, self.value, keys, date, orders), "_z", lags, keys, date, "_a").withColumn("_one", F.lit(1.0))

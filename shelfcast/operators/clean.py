@@ -155,14 +155,20 @@ def fill_group_mean(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
     return filled.withColumn(col, F.coalesce(F.col(col).cast("double"), "_mean")).drop("_mean")
 
 
-def calendar_of(df: DataFrame, keys: list[str] = (), date: str = "date") -> DataFrame:
-    """Every day between the first and the last date (of each key)."""
-    span = df.groupBy(*keys).agg(F.min(date).alias("_a"), F.max(date).alias("_b")).where(F.col("_a").isNotNull())
-    return span.select(*keys, F.explode(F.sequence("_a", "_b")).alias(date))
+def fill_calendar(df: DataFrame, col: str, keys: list[str] = (), date: str = "date", backward: bool = True) -> DataFrame:
+    """One row for every day between the first and the last date (of each key), the column filled.
+
+    Each row repeats itself up to the day before its successor, so no calendar is joined. The input has one
+    row per key and date.
+    """
+    keys = list(keys)
+    filled = fill_forward_backward(df.where(F.col(date).isNotNull()).select(*keys, date, col), col, date, keys, backward)
+    following = F.lead(date).over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(date))
+    until = F.coalesce(F.date_sub(following, 1), F.col(date))
+    return filled.withColumn("_until", until).select(*keys, F.explode(F.sequence(date, "_until")).alias(date), col)
 
 
 def resample_daily(df: DataFrame, value: str, keys: list[str] = (), date: str = "date") -> DataFrame:
     """Daily mean over the full date range of each key, absent days carried forward."""
     daily = df.groupBy(*keys, date).agg(F.avg(value).alias(value))
-    full = calendar_of(daily, keys, date).join(daily, [*keys, date], "left")
-    return fill_forward_backward(full, value, date, list(keys), backward=False)
+    return fill_calendar(daily, value, keys, date, backward=False)

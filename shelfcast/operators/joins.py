@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.bundle import SalesBundle
 from .calendar import calendar_features, collapse_holidays, holiday_flags
-from .clean import beside, calendar_of, fill_forward_backward, fill_group_mean, fill_mean
+from .clean import beside, fill_calendar, fill_group_mean, fill_mean
 
 
 def small_enough(df: DataFrame, max_rows: int) -> bool:
@@ -22,7 +22,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left", max_r
 
 def daily_prices(oil: DataFrame, col: str = "dcoilwtico") -> DataFrame:
     """One filled price for each day of the table's span."""
-    return fill_forward_backward(calendar_of(oil).join(oil.select("date", col), "date", "left"), col)
+    return fill_calendar(oil, col)
 
 
 def join_oil(sales: DataFrame, oil: DataFrame, col: str = "dcoilwtico") -> DataFrame:
