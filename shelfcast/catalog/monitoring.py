@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift, evaluate, monitor, splits
 from ..session import scratch_path
-from ..sources import retail_views as views
+from ..sources import retail_views as views, tables
 from ..streaming import streams
 from .registry import query, r, rounded
 
@@ -99,6 +99,19 @@ def evl6(spark, sf):
     return rounded(out, 4, "mae", "rmse").withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
+@query("evl7_log_runs", "prediction_log", """
+SELECT 'run-' || model AS run_id, model, 'test' AS split, 'mae' AS metric, CAST(0 AS INT) AS step,
+       round(avg(abs(prediction - actual)), 4) AS value FROM prediction_log GROUP BY model""")
+def evl7(spark, sf):
+    folder = scratch_path(spark, "runs")
+    # one row per model
+    for row in evaluate.error_metrics(_log(spark, sf), ["model"]).collect():
+        tables.log_run(spark, folder, f"run-{row.model}", row.model, dt.datetime(2024, 2, 1), {"model": row.model},
+                       [("test", "mae", 0, row.mae)])
+    runs, metrics = tables.read_runs(spark, folder)
+    return rounded(metrics.join(runs.select("run_id", "model"), "run_id"), 4, "value")
+
+
 @query("evl8_promote_or_keep", "prediction_log", """
 , per AS (SELECT model, date < DATE '2024-01-16' AS old, sqrt(avg(pow(prediction - actual, 2))) AS rmse
           FROM prediction_log GROUP BY 1, 2)

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import calendar as cal, clean, encode, joins, windows
+from ..operators import calendar as cal, clean, encode, joins, linear, windows
+from ..session import scratch_path
 from ..sources import retail_views as views, tables as sinks
-from ..sources.schemas import HOLIDAY_LOCALES, HOLIDAY_TYPES
+from ..sources.schemas import HOLIDAY_LOCALES, HOLIDAY_TYPES, PREDICTIONS
 from ..functions.expressions import flag_name
 from .registry import query, r, rounded
 
@@ -60,6 +61,36 @@ def src4(spark, sf):
     return both.groupBy("metric").agg(F.count("*").alias("n"), F.sum("bad").alias("rejected"))
 
 
+@query("snk1_write_processed", "sales_fact", """
+SELECT date, store_nbr, family, sales, onpromotion, CAST(year(date) AS INT) AS year FROM sales_fact""")
+def snk1(spark, sf):
+    path = scratch_path(spark, "processed")
+    sinks.write_processed(views.sales_fact(spark, sf).withColumn("year", F.year("date")), path, partition_by=["year"])
+    return spark.read.parquet(path)
+
+
+@query("snk3_write_predictions", "prediction_log", """
+SELECT 'run-1' AS run_id, model AS series, date, prediction, actual FROM prediction_log""")
+def snk3(spark, sf):
+    path = scratch_path(spark, "predictions")
+    sinks.write_predictions(views.prediction_log(spark, sf).withColumnRenamed("model", "series"), path, "run-1")
+    return spark.read.schema(PREDICTIONS).parquet(path)
+
+
+@query("snk4_model_table", "dense_daily", """
+, lagged AS (SELECT store_nbr, sales, lag(sales, 7) OVER (PARTITION BY store_nbr ORDER BY date) AS x FROM dense_daily)
+SELECT 'run-1' AS run_id, CAST(store_nbr AS VARCHAR) AS series, 'one' AS term, round(regr_intercept(sales, x), 4) AS value
+FROM lagged GROUP BY store_nbr
+UNION ALL SELECT 'run-1', CAST(store_nbr AS VARCHAR), 'lag_7', round(regr_slope(sales, x), 4) FROM lagged GROUP BY store_nbr""")
+def snk4(spark, sf):
+    daily = clean.resample_daily(views.dense_sales(spark, sf), "sales", ["store_nbr"])
+    rows = windows.lags(daily, "sales", (7,), windows.Series(("store_nbr",))).withColumn("one", F.lit(1.0))
+    fits = linear.grouped_ols(rows, ["store_nbr"], ["one", "sales_lag_7"], "sales")
+    path = scratch_path(spark, "models")
+    sinks.write_model_table(linear.coefficient_rows(fits, ["store_nbr"], ["one", "lag_7"]), path, "run-1")
+    return rounded(sinks.read_model_table(spark, path, "run-1"), 4, "value")
+
+
 @query("snk2_long_metrics", "prediction_log", """
 SELECT model, run_id, metric, value FROM (
   SELECT model, run_id, 'mae' AS metric, round(avg(abs(prediction - actual)), 6) AS value FROM prediction_log GROUP BY ALL

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.expressions import indicator, weekday_monday0
 from ..sources.schemas import HOLIDAY_LOCALES, HOLIDAY_TYPES
@@ -26,10 +26,14 @@ def holiday_dates(holidays: DataFrame) -> DataFrame:
 
 
 def mark_members(df: DataFrame, members: DataFrame, key: str, name: str) -> DataFrame:
-    """1 where the key occurs among the members, else 0. ``members`` holds each key once, for a date
-    key that is at most one row per calendar day."""
+    """1 where the key occurs among the members, else 0. ``members`` holds each key once.
+
+    Dates are at most one row per calendar day and are broadcast; for other keys Spark decides by size.
+    """
     marked = members.select(key).withColumn(name, F.lit(1))
-    return df.join(F.broadcast(marked), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    if isinstance(members.schema[key].dataType, T.DateType):
+        marked = F.broadcast(marked)
+    return df.join(marked, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
 def weekend_holiday_flags(df: DataFrame, holidays: DataFrame, date: str = "date") -> DataFrame:

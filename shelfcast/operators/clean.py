@@ -135,8 +135,8 @@ def fill_mean(df: DataFrame, col: str) -> DataFrame:
 def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """The columns of a one-row frame beside every row, as one scalar subquery."""
     names = one_row.columns
-    value = one_row.select(F.struct(*names).alias("_one")).scalar()
-    return df.select("*", value.alias("_one")).select(*df.columns, *[F.col("_one").getField(n).alias(n) for n in names])
+    value = one_row.select(F.struct(*names).alias("_beside")).scalar()
+    return df.select("*", value.alias("_beside")).select(*df.columns, *[F.col("_beside").getField(n).alias(n) for n in names])
 
 
 def attach_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFrame:

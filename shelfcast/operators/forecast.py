@@ -8,9 +8,9 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .clean import filter_ids
+from .clean import beside, filter_ids
 from .linear import FIT_FIELDS, dot, information, per_series, residual_sum, solve, unpack
-from .splits import rolling_origins
+from .splits import origin_span
 
 
 def forecast_frame(history: DataFrame, days: int, keys: list[str], ids: list | None = None, date: str = "date",
@@ -75,16 +75,18 @@ def ensemble(predictions: DataFrame, keys: list[str], weights: DataFrame | None
         F.try_divide(F.sum(F.col("prediction") * F.col("_w")), F.sum("_w")).alias("prediction"))
 
 
-def _assigned_cutoffs(rows: DataFrame, cutoffs: DataFrame, horizon: int, date: str) -> DataFrame:
-    """Each row with the cutoffs whose horizon covers it (``_cutoffs``) and its training block."""
-    listed = cutoffs.agg(F.array_sort(F.collect_list("cutoff")).alias("c")).scalar()
-    return (
-        rows.withColumn("_all", listed)
-        .withColumn("_cutoffs", F.filter("_all", lambda c: (c < F.col(date)) & (F.datediff(F.col(date), c) <= horizon)))
-        # the first cutoff that may train on this row; none for rows after the last one
-        .withColumn("_block", F.get(F.filter("_all", lambda c: c >= F.col(date)), F.lit(0)))
-        .drop("_all")
-    )
+def _assigned_cutoffs(rows: DataFrame, origins: DataFrame, period: int, horizon: int, date: str) -> DataFrame:
+    """Each row with the cutoffs whose horizon covers it (``_cutoffs``) and the first cutoff that may train
+    on it (``_block``, unknown after the last one). Cutoff i lies i periods before the last."""
+    age = F.datediff("_last_cutoff", F.col(date))
+    first = F.greatest(F.lit(0), F.floor(age / period) + 1).cast("int")
+    last = F.least(F.col("_steps"), F.floor((age + horizon) / period)).cast("int")
+    covering = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    block = F.least(F.col("_steps"), F.floor(age / period)).cast("int")
+    return beside(rows, origins).select(
+        *rows.columns,
+        F.transform(covering, lambda i: F.date_sub("_last_cutoff", i * period)).alias("_cutoffs"),
+        F.when((age >= 0) & (F.col("_steps") >= 0), F.date_sub("_last_cutoff", block * period)).alias("_block"))
 
 
 def backtest_naive(daily: DataFrame, value: str, keys: list[str], initial: int = 30, period: int = 7,
@@ -94,7 +96,7 @@ def backtest_naive(daily: DataFrame, value: str, keys: list[str], initial: int =
         raise ValueError("the horizon must not exceed the season")
     w = Window.partitionBy(*keys).orderBy(date)
     lagged = daily.withColumn("prediction", F.lag(value, season).over(w))
-    rows = _assigned_cutoffs(lagged, rolling_origins(daily, initial, period, horizon, date), horizon, date)
+    rows = _assigned_cutoffs(lagged, origin_span(daily, initial, period, horizon, date), period, horizon, date)
     return rows.select(*keys, date, F.explode("_cutoffs").alias("cutoff"), "prediction", F.col(value).alias("actual"))
 
 
@@ -113,8 +115,8 @@ def backtest_linear(daily: DataFrame, value: str, keys: list[str], initial: int
     w = Window.partitionBy(*keys).orderBy(date)
     names = [f"_l{k}" for k in lags]
     lagged = daily.select("*", F.lit(1.0).alias("_one"), *[F.lag(value, k).over(w).alias(n) for k, n in zip(lags, names)])
-    cutoffs = rolling_origins(daily, initial, period, horizon, date)
-    rows = _assigned_cutoffs(lagged.na.drop(subset=[value, *names]), cutoffs, horizon, date)
+    origins = origin_span(daily, initial, period, horizon, date)
+    rows = _assigned_cutoffs(lagged.na.drop(subset=[value, *names]), origins, period, horizon, date)
     cols = ["_one", *names, value]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     blocks = rows.where(F.col("_block").isNotNull()).groupBy(*keys, F.col("_block").alias("cutoff")).agg(

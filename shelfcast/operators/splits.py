@@ -67,11 +67,17 @@ def cv_summary(fold_metrics: DataFrame) -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
+def origin_span(df: DataFrame, initial: int = 30, period: int = 7, horizon: int = 7, date: str = "date") -> DataFrame:
+    """One row: the last cutoff date and how many steps of ``period`` days the earliest one lies before it."""
+    span = df.agg(F.min(date).alias("a"), F.max(date).alias("b"))
+    last = F.date_sub("b", horizon)
+    steps = F.floor(F.datediff(last, F.date_add("a", initial)) / period).cast("int")
+    return span.select(last.alias("_last_cutoff"), steps.alias("_steps"))
+
+
 def rolling_origins(df: DataFrame, initial: int = 30, period: int = 7, horizon: int = 7, date: str = "date") -> DataFrame:
     """Cutoff dates of a rolling-origin backtest: the last one leaves ``horizon`` days, earlier ones are
     ``period`` days apart, and each has ``initial`` days before it."""
-    span = df.agg(F.min(date).alias("a"), F.max(date).alias("b"))
-    last, first = F.date_sub("b", horizon), F.date_add("a", initial)
-    steps = F.floor(F.datediff(last, first) / period)
-    return span.where(steps >= 0).select(F.explode(F.transform(
-        F.sequence(F.lit(0), steps.cast("int")), lambda i: F.date_sub(last, i * period))).alias("cutoff"))
+    span = origin_span(df, initial, period, horizon, date).where(F.col("_steps") >= 0)
+    return span.select(F.explode(F.transform(
+        F.sequence(F.lit(0), "_steps"), lambda i: F.date_sub("_last_cutoff", i * period))).alias("cutoff"))
