@@ -239,7 +239,11 @@ def spl7_best(spark, sf):
     return search.best_candidate(trials, KEYS)
 
 
-@query("udf3_user_model")
+@query("udf3_user_model", "dense_daily", """
+, rows AS (SELECT store_nbr, sales, row_number() OVER (PARTITION BY store_nbr ORDER BY date) - 1 AS t FROM dense_daily),
+fit AS (SELECT store_nbr, regr_slope(sales, t) AS s, regr_intercept(sales, t) AS c, count(*) AS n FROM rows GROUP BY store_nbr)
+SELECT store_nbr, CAST((SELECT max(date) FROM dense_daily) + step AS DATE) AS date, step,
+       round(c + s * (n + step - 1), 4) AS prediction FROM fit, (SELECT CAST(unnest(generate_series(1, 7)) AS INT) AS step)""")
 def udf3(spark, sf):
     import numpy as np
 
@@ -249,4 +253,4 @@ def udf3(spark, sf):
         return [level + slope * len(pdf), slope]
     model = forecast.GroupedModel("line", KEYS, line, lambda p, days: [p[0] + p[1] * i for i in range(days)])
     daily = daily_sales(spark, sf)
-    return model.predict(model.fit(daily), daily, 7)
+    return rounded(model.predict(model.fit(daily), daily, 7), 4, "prediction")

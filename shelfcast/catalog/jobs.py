@@ -12,7 +12,7 @@ from ..session import scratch_path
 from ..sources import retail_views as views, tables
 from .forecasting import KEYS, daily_features, daily_sales
 from .registry import SQL, query, rounded
-from . import preparation, profiling  # noqa: F401  their SQL is reused below
+from . import monitoring, preparation, profiling  # noqa: F401  their SQL is reused below
 
 
 def _wide(dataset, name):
@@ -69,14 +69,18 @@ def job_predict(spark, sf):
     return jobs.generate_predictions(history, models, best, KEYS, 30, [0, 1, 2]).select(*KEYS, "date", "step", "prediction", "model")
 
 
-@query("job_check_drift")
+@query("job_check_drift", None, f"""
+WITH scored AS (SELECT * FROM ({SQL['mon3_ks_drift']}) WHERE "column" IN ('sales', 'onpromotion'))
+SELECT TIMESTAMP '2002-01-01' AS ts, 'drift_metrics' AS metric_type, "column" AS series, 'ks_stat' AS metric, ks_stat AS value FROM scored
+UNION ALL SELECT TIMESTAMP '2002-01-01', 'drift_metrics', "column", 'drift_p', p_value FROM scored""")
 def job_drift(spark, sf):
     fact = views.sales_fact(spark, sf)
     cut = dt.date(1998, 7, 1)
     log = scratch_path(spark, "drift-log")
     jobs.check_drift(fact.where(F.col("date") < cut), fact.where(F.col("date") >= cut), ["sales", "onpromotion"],
                      Thresholds(), log, dt.datetime(2002, 1, 1))
-    return tables.read_metrics_log(spark, log, "drift_metrics")
+    found = tables.read_metrics_log(spark, log, "drift_metrics").drop("model")
+    return rounded(found, 8, "value").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("mon12_retrain_best_model")
