@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import es_mix, exact_blocks, hilbert_pack, lang_kn, simhash_grid
+from shelfcast.llm import (
+    chat_tree, es_mix, exact_blocks, hilbert_pack, lang_kn, pii_boost, secret_cost, simhash_grid, topk_blocks, url_bloom)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,9 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
+
+
+#: Rules of the URL filter: verdict, host, path start.
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+         ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+#: Host labels of sites whose URLs are listed.
+BAD_LABELS = ["spam-farm", "adult-x", "cheap-pills", "casino-win"]
 
 
 @query("op1_exact_blocks", """
@@ -39,6 +47,19 @@ def op1(spark, sf_dir):
     return exact_blocks.exact_groups(table(spark, sf_dir, "documents")).drop("twins")
 
 
+@query("op2_pii_boost")
+def op2(spark, sf_dir):
+    return pii_boost.personal_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op3_chat_tree")
+def op3(spark, sf_dir):
+    said = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
+    breaking = chat_tree.END + chat_tree.START + "assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", breaking), (-1, 1, "assistant", breaking)], said.schema)
+    return chat_tree.read_back(*chat_tree.prefix_tree(said.unionByName(extra), vocabulary()))
+
+
 @query("op4_language_kn")
 def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -52,6 +73,37 @@ def op5(spark, sf_dir):
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op6_secret_cost")
+def op6(spark, sf_dir):
+    return secret_cost.secret_spans(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op7_url_bloom", """
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)
+), parts AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw_host, rest FROM cut
+), hosts AS (
+    SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path FROM parts
+), rules(verdict, rule_host, rule_path) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), matched AS (
+    SELECT h.*, r.verdict, r.rule_host || r.rule_path AS rule,
+           row_number() OVER (PARTITION BY h.page_id ORDER BY length(r.rule_host || r.rule_path) DESC) AS place,
+           len(list_intersect(string_split(h.host, '.'), ['spam-farm', 'adult-x', 'cheap-pills', 'casino-win'])) > 0 AS bad
+    FROM hosts h LEFT JOIN rules r ON (h.host = r.rule_host OR ends_with(h.host, '.' || r.rule_host))
+         AND starts_with(h.path, r.rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict, bad AS listed
+FROM matched WHERE place = 1""")
+def op7(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_bloom.judged(pages, RULES, url_bloom.listed_by_label(pages, BAD_LABELS))
+
+
 @query("op8_hilbert_packing")
 def op8(spark, sf_dir):
     return hilbert_pack.packed(table(spark, sf_dir, "documents"), vocabulary()).drop("ids")
@@ -60,3 +112,19 @@ def op8(spark, sf_dir):
 @query("op9_mix_sources")
 def op9(spark, sf_dir):
     return es_mix.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_topk_blocks", """
+WITH fine AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM fine q JOIN fine c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def op10(spark, sf_dir):
+    return topk_blocks.top_k(table(spark, sf_dir, "embeddings"))
