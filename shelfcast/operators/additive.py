@@ -17,15 +17,10 @@ from .linear import dot, moments_of_array, per_series, residual_sum, solve, unpa
 
 REGRESSORS = ["onpromotion", "dcoilwtico", "transactions", "holiday"]
 CHANGEPOINTS = 25
+#: Days whose mean stands for a future regressor that is not known.
+HELD_DAYS = 28
 YEARLY_ORDER, WEEKLY_ORDER = 10, 3
 DAYS_PER_YEAR = 365.25
-# Position of each part in the design row.
-TREND = slice(0, 2 + CHANGEPOINTS)
-YEARLY = slice(TREND.stop, TREND.stop + 2 * YEARLY_ORDER)
-WEEKLY = slice(YEARLY.stop, YEARLY.stop + 2 * WEEKLY_ORDER)
-EXTRA = slice(WEEKLY.stop, WEEKLY.stop + len(REGRESSORS) - 1)
-HOLIDAYS = slice(EXTRA.stop, EXTRA.stop + 1)
-WIDTH = HOLIDAYS.stop
 
 
 @dataclass(frozen=True)
@@ -41,6 +36,25 @@ class AdditiveSettings:
     holidays_prior_scale: float = 10.0
     changepoint_range: float = 0.8
     interval_width: float = 0.8
+    changepoints: int = CHANGEPOINTS
+    yearly_order: int = YEARLY_ORDER
+    weekly_order: int = WEEKLY_ORDER
+    trend_prior_scale: float = 5.0
+
+    @property
+    def parts(self) -> dict[str, slice]:
+        """Position of each part in the design row."""
+        sizes = {"trend": 2 + self.changepoints, "yearly": 2 * self.yearly_order, "weekly": 2 * self.weekly_order,
+                 "regressors": len(REGRESSORS) - 1, "holidays": 1}
+        out, at = {}, 0
+        for name, size in sizes.items():
+            out[name] = slice(at, at + size)
+            at += size
+        return out
+
+    @property
+    def width(self) -> int:
+        return self.parts["holidays"].stop
 
 
 def additive_features(df: DataFrame, keys: list[str], date: str = "date", target: str = "sales") -> DataFrame:
@@ -71,31 +85,33 @@ def design_row(settings: AdditiveSettings) -> Column:
     """The design row as one array; needs ``ds``, the regressors, and the series' ``_start`` and ``_span``."""
     days = F.datediff("ds", F.lit("1970-01-01").cast("date")).cast("double")
     t = F.datediff("ds", "_start") / F.greatest(F.col("_span"), F.lit(1)).cast("double")
-    cuts = [settings.changepoint_range * i / CHANGEPOINTS for i in range(1, CHANGEPOINTS + 1)]
+    cuts = [settings.changepoint_range * i / settings.changepoints for i in range(1, settings.changepoints + 1)]
     columns = [F.lit(1.0), t, *[F.greatest(t - c, F.lit(0.0)) for c in cuts]]
-    columns += _fourier(days, DAYS_PER_YEAR, YEARLY_ORDER, _enabled(settings.yearly_seasonality, 730))
-    columns += _fourier(days, 7.0, WEEKLY_ORDER, _enabled(settings.weekly_seasonality, 14))
+    columns += _fourier(days, DAYS_PER_YEAR, settings.yearly_order, _enabled(settings.yearly_seasonality, 730))
+    columns += _fourier(days, 7.0, settings.weekly_order, _enabled(settings.weekly_seasonality, 14))
     columns += [F.col(r).cast("double") for r in REGRESSORS]
     return F.array(*columns)
 
 
 def prior_scales(settings: AdditiveSettings) -> np.ndarray:
     """Prior deviation of each coefficient, relative to the size of the series."""
-    scale = np.full(WIDTH, 5.0)
-    scale[2:TREND.stop] = settings.changepoint_prior_scale
-    scale[YEARLY] = scale[WEEKLY] = scale[EXTRA] = settings.seasonality_prior_scale
-    scale[HOLIDAYS] = settings.holidays_prior_scale
+    parts = settings.parts
+    scale = np.full(settings.width, settings.trend_prior_scale)
+    scale[2:parts["trend"].stop] = settings.changepoint_prior_scale
+    scale[parts["trend"].stop:parts["holidays"].start] = settings.seasonality_prior_scale
+    scale[parts["holidays"]] = settings.holidays_prior_scale
     return scale
 
 
-def ridge_solve(xtx, xty, yty, n, scale):
+def ridge_solve(xtx, xty, yty, n, scale, slopes: int = 0):
     """(coefficients, residual variance) under normal priors; the noise level comes from a first fit
-    without them."""
+    without them. The ``slopes`` columns after the first two are changes of slope over the whole span."""
     free, _ = solve(xtx, xty)
     sigma2 = residual_sum(xtx, xty, yty, free) / max(1, n - min(n - 1, len(xty)))
     size2 = yty / n if yty > 0 else 1.0
     # columns keep their own units: a prior of the series' size over the column's root mean square
     spread2 = np.maximum(np.diag(xtx) / n, 1e-12)
+    spread2[2:2 + slopes] = 1.0  # a prior on the slope itself, however late it begins
     penalty = sigma2 / (scale ** 2 * size2) * spread2
     beta, _ = solve(xtx, xty, penalty)
     return beta, residual_sum(xtx, xty, yty, beta) / n
@@ -134,10 +150,10 @@ class Additive:
     def _designed(self, features: DataFrame, spans: DataFrame) -> DataFrame:
         return features.join(spans, list(self.keys)).withColumn("_x", design_row(self.settings))
 
-    def _solve(self, rows: DataFrame, target: str, scale: np.ndarray) -> DataFrame:
+    def _solve(self, rows: DataFrame, target: str, scale: np.ndarray, slopes: int = 0) -> DataFrame:
         def fit(row):
             xtx, xty, yty = unpack(row["moments"])
-            beta, sigma2 = ridge_solve(xtx, xty, yty, int(row["n"]), scale)
+            beta, sigma2 = ridge_solve(xtx, xty, yty, int(row["n"]), scale, slopes)
             return {"coef": beta, "sigma2": sigma2, "n": int(row["n"])}
         keys = list(self.keys)
         return per_series(moments_of_array(rows, keys, "_x", target), keys, FIT_FIELDS, fit)
@@ -145,31 +161,50 @@ class Additive:
     def fit(self, features: DataFrame) -> DataFrame:
         """One row per series: start, span, coefficients, residual variance."""
         keys, scale = list(self.keys), prior_scales(self.settings)
+        trend_part, width = self.settings.parts["trend"], self.settings.width
         spans = self._spans(features)
         rows = self._designed(features, spans)
-        fits = materialize(self._solve(rows, "y", scale))
+        slopes = self.settings.changepoints
+        fits = materialize(self._solve(rows, "y", scale, slopes)).withColumn("n_left_out", F.lit(0).cast("bigint"))
         if self.multiplicative:
-            joined = rows.join(fits.select(*keys, F.col("coef").alias("_c"), F.col("sigma2").alias("_s2")), keys)
-            trend = _part("_c", "_x", TREND)
-            # a trend at or below the noise level cannot be divided by; such rows are left out
-            ratio = F.when(trend > 1e-6, F.col("y") / trend - 1)
-            rest = joined.select(*keys, ratio.alias("_r"), F.slice("_x", TREND.stop + 1, WIDTH - TREND.stop).alias("_x"))
-            relative = self._solve(rest.where(F.col("_r").isNotNull()), "_r", scale[TREND.stop:])
-            fits = fits.join(relative.select(*keys, F.col("coef").alias("_rest")), keys, "left").withColumn(
-                "coef", F.when(F.col("_rest").isNotNull(), F.concat(F.slice("coef", 1, TREND.stop), "_rest"))
-                .otherwise(F.concat(F.slice("coef", 1, TREND.stop), F.array_repeat(F.lit(0.0), WIDTH - TREND.stop)))
-            ).drop("_rest")
+            sizes = rows.groupBy(*keys).agg(F.sqrt(F.avg(F.col("y") * F.col("y"))).alias("_size"))
+            fits = self._relative(rows, fits, sizes, scale)
+            # the trend again without the seasons now known, and the seasons relative to it
+            seasons = _part("_c", "_x", slice(trend_part.stop, width))
+            joined = rows.join(fits.select(*keys, F.col("coef").alias("_c")), keys)
+            level = F.when(1 + seasons > 0.1, F.col("y") / (1 + seasons))
+            bare = joined.select(*keys, level.alias("_r"), F.slice("_x", 1, trend_part.stop).alias("_x"))
+            trend = materialize(self._solve(bare.where(F.col("_r").isNotNull()), "_r", scale[:trend_part.stop], slopes))
+            both = fits.drop("coef").join(fits.select(*keys, F.col("coef").alias("_c")), keys).join(
+                trend.select(*keys, F.col("coef").alias("_t")), keys, "left")
+            kept = F.coalesce("_t", F.slice("_c", 1, trend_part.stop))
+            fits = both.withColumn("coef", F.concat(kept, F.slice("_c", trend_part.stop + 1, width - trend_part.stop))).drop("_c", "_t")
+            fits = self._relative(rows, fits, sizes, scale)
         fits = materialize(fits.join(spans, keys))
         errors = self._scored(features, fits.drop("sigma2")).groupBy(*keys).agg(
             F.avg((F.col("y") - F.col("prediction")) * (F.col("y") - F.col("prediction"))).alias("sigma2"))
         return materialize(fits.drop("sigma2").join(errors, keys))
 
+    def _relative(self, rows: DataFrame, fits: DataFrame, sizes: DataFrame, scale: np.ndarray) -> DataFrame:
+        """The fits with all parts but the trend fitted to the relative deviation from it. Rows whose trend is below
+        a thousandth of the series' size cannot be divided by it; they take no part and are counted."""
+        keys, trend_part, width = list(self.keys), self.settings.parts["trend"], self.settings.width
+        rest_size = width - trend_part.stop
+        joined = rows.join(fits.select(*keys, F.col("coef").alias("_c")), keys).join(sizes, keys)
+        trend = _part("_c", "_x", trend_part)
+        ratio = F.when(trend > F.col("_size") / 1000, F.col("y") / trend - 1)
+        rest = joined.select(*keys, ratio.alias("_r"), F.slice("_x", trend_part.stop + 1, rest_size).alias("_x"))
+        relative = self._solve(rest.where(F.col("_r").isNotNull()), "_r", scale[trend_part.stop:])
+        found = fits.join(relative.select(*keys, F.col("coef").alias("_rest"), F.col("n").alias("_n")), keys, "left")
+        zeros = F.array_repeat(F.lit(0.0), rest_size)
+        return materialize(found.withColumn("coef", F.concat(F.slice("coef", 1, trend_part.stop), F.coalesce("_rest", zeros)))
+                           .withColumn("n_left_out", F.col("n") - F.coalesce("_n", F.lit(0))).drop("_rest", "_n"))
+
     def _scored(self, features: DataFrame, fits: DataFrame) -> DataFrame:
         """Rows with the parts of the fit and their sum."""
         keys = list(self.keys)
         rows = features.join(fits, keys).withColumn("_x", design_row(self.settings))
-        parts = {"trend": TREND, "yearly": YEARLY, "weekly": WEEKLY, "regressors": EXTRA, "holidays": HOLIDAYS}
-        rows = rows.withColumns({n: _part("coef", "_x", p) for n, p in parts.items()}).drop("_x", "coef")
+        rows = rows.withColumns({n: _part("coef", "_x", p) for n, p in self.settings.parts.items()}).drop("_x", "coef")
         rest = F.col("yearly") + F.col("weekly") + F.col("regressors") + F.col("holidays")
         total = F.col("trend") * (1 + rest) if self.multiplicative else F.col("trend") + rest
         return rows.withColumn("prediction", total)
@@ -181,18 +216,27 @@ class Additive:
     def in_sample_metrics(self, features: DataFrame, fits: DataFrame) -> DataFrame:
         return error_metrics(self._scored(features, fits), list(self.keys), actual="y")
 
-    def future(self, features: DataFrame, days: int) -> DataFrame:
-        """The days after each series with its last known regressors."""
+    def future(self, features: DataFrame, days: int, known: DataFrame | None = None) -> DataFrame:
+        """The days after each series with their regressors: as ``known`` (keys, ds, some regressors) has them,
+        else the oil price of the last day and the mean of the last ``HELD_DAYS`` days of the others. A daily
+        count jumps too much for its last value to stand for the days ahead."""
         keys = list(self.keys)
-        held = [r for r in REGRESSORS if r != "holiday"]
-        last = features.groupBy(*keys).agg(*[F.max_by(r, "ds").alias(r) for r in held])
-        frame = forecast_frame(features, days, keys, date="ds", align=False)
-        return frame.join(last, keys).withColumn("holiday", F.lit(0.0))
-
-    def predict(self, fits: DataFrame, features: DataFrame, days: int) -> DataFrame:
+        recent = F.datediff(F.col("_last"), "ds") < HELD_DAYS
+        ends = features.groupBy(*keys).agg(F.max("ds").alias("_last"))
+        held = features.join(ends, keys).where(recent).groupBy(*keys).agg(
+            F.max_by("dcoilwtico", "ds").alias("dcoilwtico"), *[F.avg(r).alias(r) for r in ("onpromotion", "transactions")])
+        frame = forecast_frame(features, days, keys, date="ds", align=False).join(held, keys).withColumn("holiday", F.lit(0.0))
+        if known is None:
+            return frame
+        given = [r for r in REGRESSORS if r in known.columns]
+        told = known.groupBy(*keys, "ds").agg(*[F.max(F.col(r).cast("double")).alias(f"_{r}") for r in given])
+        return frame.join(told, [*keys, "ds"], "left").withColumns(
+            {r: F.coalesce(f"_{r}", r) for r in given}).drop(*[f"_{r}" for r in given])
+
+    def predict(self, fits: DataFrame, features: DataFrame, days: int, known: DataFrame | None = None) -> DataFrame:
         """Point forecast with an interval of ± z residual deviations."""
         z = normal_quantile(0.5 + self.settings.interval_width / 2)
-        frame = known_series(self.future(features, days), fits, list(self.keys))
+        frame = known_series(self.future(features, days, known), fits, list(self.keys))
         scored = self._scored(frame, fits)
         return scored.select(*self.keys, F.col("ds").alias("date"), "step", "prediction",
                              *interval(F.col("prediction"), F.sqrt("sigma2"), z))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ..functions.expressions import normal_quantile
 from ..functions.special import dickey_fuller_p
 from ..session import materialize
+from .clean import fill_forward_backward
 from .decompose import decompose, strengths
 from .evaluate import error_metrics
 from .forecast import forecast_frame, interval, known_series
@@ -36,24 +37,30 @@ def adf_by_series(daily: DataFrame, value: str, keys: list[str], date: str = "da
                   alpha: float = 0.05) -> DataFrame:
     """Augmented Dickey–Fuller test with a constant; the number of lags is the one with the best AIC.
 
-    All lag orders are read off one matrix per series.
+    All lag orders are read off one matrix per series. Without ``max_lag`` the limit follows each series' own
+    length: lags beyond it are columns of zeros, which take no rows from the series and are never chosen.
     """
+    w = _window(keys, date)
+    own_limit = F.lit(max_lag)
     if max_lag is None:
-        longest = daily.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        longest = daily.groupBy(*keys).agg(F.count(value).alias("n")).agg(F.max("n")).first()[0] or 0
         max_lag = max(1, lag_limit(longest))
-    w = _window(keys, date)
-    steps = daily.select(*keys, date, (F.col(value) - F.lag(value).over(w)).alias("_dy"), F.lag(value).over(w).alias("_y1"))
+        known = F.count(value).over(Window.partitionBy(*keys))
+        own_limit = F.greatest(F.lit(1), F.ceil(12 * F.pow(known / 100, 0.25)))
+    steps = daily.select(*keys, date, (F.col(value) - F.lag(value).over(w)).alias("_dy"), F.lag(value).over(w).alias("_y1"),
+                         own_limit.alias("_limit"))
     names = [f"_d{i}" for i in range(1, max_lag + 1)]
-    rows = steps.select(*keys, "_dy", "_y1", F.lit(1.0).alias("_one"), *[F.lag("_dy", i).over(w).alias(n) for i, n in enumerate(names, 1)])
+    rows = steps.select(*keys, "_dy", "_y1", F.lit(1.0).alias("_one"), *[
+        F.when(F.col("_limit") >= i, F.lag("_dy", i).over(w)).otherwise(0.0).alias(n) for i, n in enumerate(names, 1)])
     grams = moments(rows, keys, ["_one", "_y1", *names], "_dy")
 
     def fit(row):
         xtx, xty, yty = unpack(row["moments"])
         n = int(row["n"])
         best = None
-        for lags in range(0, min(max_lag, lag_limit(n + max_lag + 1)) + 1):
+        for lags in range(0, max_lag + 1):
             k = lags + 2
-            if n <= k + 1:
+            if n <= k + 1 or (lags and not xtx[k - 1, k - 1] > 0):
                 break
             beta, inverse = solve(xtx[:k, :k], xty[:k])
             rss = residual_sum(xtx[:k, :k], xty[:k], yty, beta)
@@ -71,11 +78,15 @@ def adf_by_series(daily: DataFrame, value: str, keys: list[str], date: str = "da
 def differencing_by_series(daily: DataFrame, value: str, keys: list[str], date: str = "date", max_d: int = 2,
                            seasonal: bool = True, strength: float = 0.64) -> DataFrame:
     """``d`` and ``seasonal_d`` per series: the fewest differences after which the unit-root test rejects,
-    and a seasonal difference where the weekly pattern is strong."""
+    and a seasonal difference where the weekly pattern is strong. A series too short to be tested is not
+    differenced further."""
     if seasonal:
         parts = decompose(daily.select(*keys, date, value), value, SEASON, keys, date)
-        out = strengths(parts, keys).select(*keys, F.coalesce(
-            (F.col("seasonal_strength") > strength).cast("int"), F.lit(0)).alias("seasonal_d"))
+        sizes = daily.groupBy(*keys).agg(F.count(value).alias("_n"))
+        # a pattern of less than four weeks is no pattern yet
+        strong = (F.col("seasonal_strength") > strength) & (F.col("_n") >= 4 * SEASON)
+        out = sizes.join(strengths(parts, keys), keys, "left").select(
+            *keys, F.coalesce(strong.cast("int"), F.lit(0)).alias("seasonal_d"))
     else:
         out = daily.select(*keys).distinct().withColumn("seasonal_d", F.lit(0))
     current = daily.select(*keys, date, value)
@@ -86,7 +97,7 @@ def differencing_by_series(daily: DataFrame, value: str, keys: list[str], date:
         out = out.join(test, keys, "left")
         current = current.withColumn(value, F.col(value) - F.lag(value).over(w))
     for d in reversed(range(max_d)):
-        needed = F.when(F.col(f"_s{d}"), d).otherwise(needed)
+        needed = F.when(F.coalesce(f"_s{d}", F.lit(True)), d).otherwise(needed)
     return out.select(*keys, needed.cast("int").alias("d"), "seasonal_d")
 
 
@@ -103,8 +114,9 @@ LONG_FIELDS = [T.StructField("long_ar", T.ArrayType(T.DoubleType()))]
 
 
 def _lagged(df, col, lags, keys, date, prefix):
+    """Lag columns; lags beyond the series' ``lag_cap`` are zero."""
     w = _window(keys, date)
-    return df.select("*", *[F.lag(col, k).over(w).alias(f"{prefix}{k}") for k in lags])
+    return df.select("*", *[F.when(F.col("lag_cap") >= k, F.lag(col, k).over(w)).otherwise(0.0).alias(f"{prefix}{k}") for k in lags])
 
 
 def _with_shocks(df, keys, date, fits):
@@ -135,7 +147,9 @@ class Arima:
     """Order search, fit, diagnostics and forecast per series.
 
     The history has one row per key and day without gaps. Candidates are all lag orders up to the limits;
-    each is a sub-block of one matrix per series and the best AIC wins.
+    each is a sub-block of one matrix per series and the best AIC wins. No lag reaches further back than a
+    quarter of the series, so short series get smaller models, down to a constant; a series without any known
+    value gets a row without coefficients and NULL forecasts.
     """
 
     name = "arima"
@@ -161,13 +175,14 @@ class Arima:
         """Orders, coefficients, residual variance and information criteria, one row per series."""
         keys, date = self.keys, self.date
         # the history is read by several rounds of sums, store it first; each round's small result is stored here
-        orders = materialize(differencing_by_series(history, self.value, keys, date, self.max_d, self.seasonal))
+        caps = history.groupBy(*keys).agg(F.floor(F.count(self.value) / 4).cast("int").alias("lag_cap"))
+        orders = materialize(differencing_by_series(history, self.value, keys, date, self.max_d, self.seasonal).join(caps, keys))
         lags = list(range(1, LONG_AR + 1))
         base = _lagged(_differenced(history, self.value, keys, date, orders), "_z", lags, keys, date, "_a").withColumn("_one", F.lit(1.0))
         long_moments = moments(base, keys, ["_one", *[f"_a{k}" for k in lags]], "_z")
         long_fits = materialize(per_series(
             long_moments, keys, LONG_FIELDS,
-            lambda row: {"long_ar": solve(*unpack(row["moments"])[:2])[0]} if row["n"] > LONG_AR + 1 else None))
+            lambda row: {"long_ar": solve(*unpack(row["moments"])[:2])[0]}))
         grams = moments(self._rows(history, orders, long_fits), keys, self._columns, "_z")
         ar, ma, (max_p, max_q, max_sp, max_sq) = self.ar, self.ma, self.limits
 
@@ -190,49 +205,57 @@ class Arima:
                 aic, bic = information(n, rss, k)
                 if best is None or aic < best[0]:
                     best = (aic, bic, (p, q, sp, sq), cols, beta, rss / (n - k))
-            if best is None:
-                return None
             coef = np.zeros(len(xty))
+            if best is None:  # too few rows for any candidate: their mean
+                coef[0] = xty[0] / n
+                best = (None, None, (0, 0, 0, 0), [0], coef[:1], max(0.0, yty / n - coef[0] ** 2))
             coef[best[3]] = best[4]
             p, q, sp, sq = best[2]
             return {"p": p, "q": q, "seasonal_p": sp, "seasonal_q": sq, "n": n, "coef": coef, "sigma2": best[5],
                     "aic": best[0], "bic": best[1]}
         chosen = per_series(grams, keys, MODEL_FIELDS, choose)
-        return materialize(chosen.join(orders, keys).join(long_fits, keys))
+        return materialize(orders.join(chosen, keys, "left").join(long_fits, keys, "left"))
 
     def diagnostics(self, fits: DataFrame, history: DataFrame, level: float = 0.95) -> DataFrame:
         """Actual and fitted values, residuals and the interval of each day that has all its lags."""
         z = normal_quantile(0.5 + level / 2)
-        orders = fits.select(*self.keys, "d", "seasonal_d")
+        orders = fits.select(*self.keys, "d", "seasonal_d", "lag_cap")
         rows = self._rows(history, orders, fits.select(*self.keys, "long_ar"))
-        joined = rows.na.drop(subset=["_z", *self._columns]).join(fits.select(*self.keys, "coef", "sigma2"), self.keys)
-        residual = F.col("_z") - dot("coef", F.array(*self._columns))
-        fitted = F.col("_y") - residual
+        # only the terms the model has are asked for; the others may lie before the series
+        terms = F.zip_with("coef", F.array(*self._columns), lambda c, x: F.when(c == 0, 0.0).otherwise(c * x))
+        joined = rows.join(fits.select(*self.keys, "coef", "sigma2"), self.keys).withColumn(
+            "residual", F.col("_z") - F.aggregate(terms, F.lit(0.0), lambda a, v: a + v)).where("residual IS NOT NULL")
+        fitted = F.col("_y") - F.col("residual")
         return joined.select(*self.keys, self.date, F.col("_y").alias("actual"), fitted.alias("prediction"),
-                             residual.alias("residual"), *interval(fitted, F.sqrt("sigma2"), z))
+                             "residual", *interval(fitted, F.sqrt("sigma2"), z))
 
     def in_sample_metrics(self, fits: DataFrame, history: DataFrame) -> DataFrame:
         errors = error_metrics(self.diagnostics(fits, history), self.keys)
         return errors.join(fits.select(*self.keys, "aic", "bic"), self.keys)
 
     def predict(self, fits: DataFrame, history: DataFrame, days: int, level: float = 0.95) -> DataFrame:
-        """Recursive forecast of the days after the history; an error for a series without a model.
+        """Recursive forecast of the days after the history; an error for a series without a row in ``fits``.
 
-        Only the last rows of each series leave the window: enough for the longest lag and the differences.
+        Only the last rows of each series leave the window: enough for the longest lag and the differences. An
+        unknown value among them takes the last known one before it.
         """
         keys, date, ar, ma = self.keys, self.date, self.ar, self.ma
         wanted = known_series(forecast_frame(history, days, keys, date=date, align=False), fits, keys)
         depth = max([LONG_AR, *ar, *ma]) + SEASON + self.max_d + 1
         last = history.groupBy(*keys).agg(F.max(date).alias("_last"))
         near = history.join(last, keys).where(F.datediff("_last", date) < 2 * depth + LONG_AR).drop("_last")
-        rows = _with_shocks(_differenced(near, self.value, keys, date, fits.select(*keys, "d", "seasonal_d")),
+        near = fill_forward_backward(near, self.value, date, keys)
+        rows = _with_shocks(_differenced(near, self.value, keys, date, fits.select(*keys, "d", "seasonal_d", "lag_cap")),
                             keys, date, fits.select(*keys, "long_ar"))
         tail = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(date, "_y", "_z", "_e"))).alias("t"))
         arrays = tail.select(*keys, *[F.col("t").getField(c).alias(c) for c in ("_y", "_z", "_e")])
         ready = arrays.join(fits.select(*keys, "d", "seasonal_d", "coef", "sigma2"), keys)
 
         def ahead(row):
-            y, z, e = (list(np.nan_to_num(np.asarray(row[c], float))) for c in ("_y", "_z", "_e"))
+            if row["coef"] is None or row["sigma2"] is None:
+                return None
+            # the first differences and shocks of a series are unknown, and no term with a coefficient reaches them
+            y, z, e = ([0.0] * depth + list(np.nan_to_num(np.asarray(row[c], float))) for c in ("_y", "_z", "_e"))
             d, sd, coef = int(row["d"]), int(row["seasonal_d"]), np.asarray(row["coef"], float)
             path = []
             for _ in range(days):
@@ -250,4 +273,5 @@ class Arima:
         paths = per_series(ready, keys, fields, ahead)
         point = F.get("_path", F.col("step") - 1)
         z = normal_quantile(0.5 + level / 2)
-        return wanted.join(paths, keys).select(*keys, date, "step", point.alias("prediction"), *interval(point, F.col("_sigma"), z))
+        return wanted.join(paths, keys, "left").select(
+            *keys, date, "step", point.alias("prediction"), *interval(point, F.col("_sigma"), z))

@@ -7,23 +7,30 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from .clean import fill_calendar
 from .forecast import forecast_frame, known_series
 from .linear import per_series
 from .windows import Series, sequences
 
 
 def window_vectors(daily: DataFrame, value: str, keys: list[str], length: int = 30, date: str = "date") -> DataFrame:
-    """Windows of the last ``length`` values relative to their mean (``features``) and the next value
-    relative to it (``label``)."""
+    """Every full window of the last ``length`` values relative to their mean (``features``) and the next value
+    relative to it (``label``). A window whose mean is 0 is taken relative to the series' mean size (``level``)."""
     windows = sequences(daily, [value], value, length, 1, series=Series(tuple(keys), (date,)))
     values = F.transform("x", lambda row: row[0])
-    level = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / length
-    return (
-        windows.select(*keys, date, values.alias("_v"), level.alias("level"), F.col("y")[0].alias("next"))
-        .where(F.col("level") != 0)
-        .select(*keys, date, "level", "next", (F.col("next") / F.col("level")).alias("label"),
-                array_to_vector(F.transform("_v", lambda v: v / F.col("level"))).alias("features"))
-    )
+    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / length
+    sized = windows.select(*keys, date, values.alias("_v"), mean.alias("_mean"), F.col("y")[0].alias("next")).join(
+        series_sizes(daily, value, keys), keys)
+    level = F.when(F.col("_mean") != 0, F.col("_mean")).otherwise(F.col("size"))
+    return sized.withColumn("level", level).select(
+        *keys, date, "level", "next", (F.col("next") / F.col("level")).alias("label"),
+        array_to_vector(F.transform("_v", lambda v: v / F.col("level"))).alias("features"))
+
+
+def series_sizes(daily: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """``size`` of each series: its mean absolute value, or 1 if that is 0 or unknown."""
+    mean = F.avg(F.abs(value))
+    return daily.groupBy(*keys).agg(F.coalesce(F.when(mean > 0, mean), F.lit(1.0)).alias("size"))
 
 
 def mark_validation(windows: DataFrame, keys: list[str], share: float = 0.2, date: str = "date") -> DataFrame:
@@ -34,11 +41,11 @@ def mark_validation(windows: DataFrame, keys: list[str], share: float = 0.2, dat
 
 
 def fit_sequence_regressor(daily: DataFrame, value: str, keys: list[str], length: int = 30, method: str = "linear",
-                           max_iter: int = 20, share: float = 0.2, seed: int = 42, date: str = "date"):
+                           max_iter: int = 20, share: float = 0.2, seed: int = 42, date: str = "date", ridge: float = 1e-3):
     """(fitted model, ``(train_loss, val_loss)`` row). Boosted trees stop at the best validation round."""
     marked = mark_validation(window_vectors(daily, value, keys, length, date), keys, share, date)
     if method == "linear":
-        model = LinearRegression(regParam=1e-3, maxIter=max_iter).fit(marked.where(~F.col("is_val")))
+        model = LinearRegression(regParam=ridge, maxIter=max_iter).fit(marked.where(~F.col("is_val")))
     elif method == "gbt":
         model = GBTRegressor(maxIter=max_iter, maxDepth=4, seed=seed, validationIndicatorCol="is_val").fit(marked)
     else:
@@ -58,7 +65,11 @@ def predict_next(model, daily: DataFrame, value: str, keys: list[str], length: i
 
 
 class SequenceModel:
-    """The window regression as a forecaster: one linear rule for all series, applied step by step."""
+    """The window regression as a forecaster: one linear rule for all series, applied step by step.
+
+    A missing day in the last window takes the value before it, a shorter series is preceded by its mean, and a
+    series without any known value has NULL forecasts.
+    """
 
     name = "sequence"
 
@@ -68,24 +79,26 @@ class SequenceModel:
     def fit(self, history: DataFrame) -> DataFrame:
         model, _ = fit_sequence_regressor(history, self.value, self.keys, self.length, date=self.date)
         weights = F.array(*[F.lit(float(c)) for c in model.coefficients])
-        return history.select(*self.keys).distinct().withColumns({"coef": weights, "intercept": F.lit(float(model.intercept))})
+        return series_sizes(history, self.value, self.keys).withColumns({"coef": weights, "intercept": F.lit(float(model.intercept))})
 
     def predict(self, fits: DataFrame, history: DataFrame, days: int) -> DataFrame:
         keys, length = self.keys, self.length
         wanted = known_series(forecast_frame(history, days, keys, date=self.date, align=False), fits, keys)
         last = history.groupBy(*keys).agg(F.max(self.date).alias("_last"))
         near = history.join(last, keys).where(F.datediff("_last", self.date) < length)
+        near = fill_calendar(near, self.value, keys, self.date)
         tails = near.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(self.date, self.value))).alias("_t"))
         ready = tails.select(*keys, F.col("_t").getField(self.value).alias("_tail")).join(fits, keys)
 
         def ahead(row):
-            values, weights = list(row["_tail"]), np.asarray(row["coef"], float)
-            if len(values) < length:
+            values, weights = [float(v) for v in row["_tail"] if v is not None and v == v], np.asarray(row["coef"], float)
+            if not values:
                 return None
+            values = [float(np.mean(values))] * (length - len(values)) + values
             for _ in range(days):
                 window = np.asarray(values[-length:], float)
-                level = window.mean()
-                values.append(float((weights @ (window / level) + row["intercept"]) * level) if level else 0.0)
+                level = window.mean() or row["size"]
+                values.append(float((weights @ (window / level) + row["intercept"]) * level) if window.any() else 0.0)
             return {"_path": values[-days:]}
         paths = per_series(ready, keys, [T.StructField("_path", T.ArrayType(T.DoubleType()))], ahead)
-        return wanted.join(paths, keys).select(*keys, self.date, "step", F.get("_path", F.col("step") - 1).alias("prediction"))
+        return wanted.join(paths, keys, "left").select(*keys, self.date, "step", F.get("_path", F.col("step") - 1).alias("prediction"))

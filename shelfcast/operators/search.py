@@ -62,7 +62,7 @@ def search_additive(train: DataFrame, validation: DataFrame, keys: list[str], ca
         out = []
         for i, scale in enumerate(scales):
             try:
-                beta, _ = ridge_solve(xtx, xty, yty, int(row["n"]), scale)
+                beta, _ = ridge_solve(xtx, xty, yty, int(row["n"]), scale, base.changepoints)
                 value = float(np.sqrt(residual_sum(vxx, vxy, vyy, beta) / int(row["n_val"])))
             except np.linalg.LinAlgError:
                 value = None
