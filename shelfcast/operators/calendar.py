@@ -68,19 +68,20 @@ def effective_holidays(holidays: DataFrame) -> DataFrame:
 def local_holidays(fact: DataFrame, stores: DataFrame, holidays: DataFrame) -> DataFrame:
     """Holiday flags that apply to each row's store: national always, regional by state, local by city.
 
-    Three equi-joins on a date and a place; each right side has one row per key.
+    Holidays meet the stores first, both small; the fact is then joined once, by date and store, for all flags.
     """
     kept = holidays.where(~F.col("transferred"))
+    flags = ["is_national", "is_regional", "is_local"]
 
-    def keyed(locale, place, name):
-        rows = kept.where(F.col("locale") == locale)
-        keys = ["date"] + ([F.col("locale_name").alias(place)] if place else [])
-        return rows.select(*keys).distinct().withColumn(name, F.lit(1))
+    def placed(locale, place, name):
+        rows = kept.where(F.col("locale") == locale).select("date", F.col("locale_name").alias(place)).distinct()
+        return stores.select("store_nbr", place).join(rows, place).select("store_nbr", "date", F.lit(name).alias("flag"))
 
-    df = fact.join(stores.select("store_nbr", "city", "state"), "store_nbr", "left")
-    df = df.join(F.broadcast(keyed("National", None, "is_national")), "date", "left")
-    df = df.join(keyed("Regional", "state", "is_regional"), ["date", "state"], "left")
-    df = df.join(keyed("Local", "city", "is_local"), ["date", "city"], "left")
-    flags = ["is_national", "is_regional", "is_local"]
+    # the national dates, at most one per calendar day, beside every store
+    national = kept.where(F.col("locale") == "National").agg(F.collect_set("date").alias("dates")).scalar()
+    everywhere = stores.select("store_nbr", F.explode(national).alias("date"), F.lit("is_national").alias("flag"))
+    days = everywhere.unionByName(placed("Regional", "state", "is_regional")).unionByName(placed("Local", "city", "is_local"))
+    marked = days.groupBy("date", "store_nbr").agg(*[F.max(indicator(F.col("flag") == f)).alias(f) for f in flags])
+    df = fact.join(stores.select("store_nbr", "city", "state"), "store_nbr", "left").join(marked, ["date", "store_nbr"], "left")
     df = df.withColumns({f: F.coalesce(f, F.lit(0)) for f in flags})
     return df.withColumn("is_store_holiday", F.greatest(*flags))

@@ -73,21 +73,23 @@ QUALITY_LIMITS = [
 
 
 def quality_measures(sales: DataFrame, transactions: DataFrame) -> DataFrame:
-    """The measures the quality gate looks at, as ``(measure, value)``."""
+    """The measures the quality gate looks at, as ``(measure, value)``. The distinct rows with their number of
+    copies are made once; all measures of the fact are sums over them."""
     columns = sales.columns
-    cells = sum((F.count_if(F.col(c).isNull()) for c in columns[1:]), F.count_if(F.col(columns[0]).isNull()))
+    distinct = sales.groupBy(*columns).agg(F.count("*").alias("_n"))
+
+    def mean(rows):
+        known = rows & F.col("sales").isNotNull()
+        return F.try_divide(F.sum(F.when(known, F.col("sales") * F.col("_n"))), F.sum(F.when(known, F.col("_n"))))
+    cells = F.sum(sum((F.col(c).isNull().cast("int") for c in columns[1:]), F.col(columns[0]).isNull().cast("int")) * F.col("_n"))
     span = F.datediff(F.max("date"), F.min("date")) + 1
     grid = span.cast("double") * F.count_distinct("store_nbr") * F.count_distinct("family")
-    promoted, plain = F.col("onpromotion") > 0, F.col("onpromotion") == 0
-    over_fact = sales.agg(
-        percent(F.count("*"), grid).alias("completeness_pct"),
-        percent(cells, F.count("*") * len(columns)).alias("missing_pct"),
-        F.try_divide(F.avg(F.when(promoted, F.col("sales"))), F.avg(F.when(plain, F.col("sales"))))
-        .alias("promotion_lift"),
-    )
-    copies = sales.groupBy(*columns).count().agg(
-        percent(F.sum(F.col("count") - 1), F.sum("count")).alias("duplicates_pct"))
-    daily = sales.groupBy("date").agg(F.sum("sales").alias("sales"))
+    over_fact = distinct.agg(
+        percent(F.sum("_n"), grid).alias("completeness_pct"),
+        percent(cells, F.sum("_n") * len(columns)).alias("missing_pct"),
+        F.try_divide(mean(F.col("onpromotion") > 0), mean(F.col("onpromotion") == 0)).alias("promotion_lift"),
+        percent(F.sum(F.col("_n") - 1), F.sum("_n")).alias("duplicates_pct"))
+    daily = distinct.groupBy("date").agg(F.sum(F.col("sales") * F.col("_n")).alias("sales"))
     # one row per calendar date: a single window partition is small
     gap = F.datediff("date", F.lag("date").over(Window.partitionBy(F.lit(0)).orderBy("date")))
     over_days = daily.withColumn("gap", gap).agg(
@@ -97,7 +99,7 @@ def quality_measures(sales: DataFrame, transactions: DataFrame) -> DataFrame:
 
     def long(df):
         return df.unpivot([], df.columns, "measure", "value")
-    return long(over_fact).unionByName(long(copies)).unionByName(long(over_days)).unionByName(long(tickets))
+    return long(over_fact).unionByName(long(over_days)).unionByName(long(tickets))
 
 
 def quality_gate(measures: DataFrame, limits=None) -> DataFrame:
@@ -158,11 +160,12 @@ def fill_group_mean(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
 def fill_calendar(df: DataFrame, col: str, keys: list[str] = (), date: str = "date", backward: bool = True) -> DataFrame:
     """One row for every day between the first and the last date (of each key), the column filled.
 
-    Each row repeats itself up to the day before its successor, so no calendar is joined. The input has one
-    row per key and date.
+    Each row repeats itself up to the day before its successor, so no calendar is joined. Repeated dates of a key
+    are averaged first.
     """
     keys = list(keys)
-    filled = fill_forward_backward(df.where(F.col(date).isNotNull()).select(*keys, date, col), col, date, keys, backward)
+    once = df.where(F.col(date).isNotNull()).groupBy(*keys, date).agg(F.avg(col).alias(col))
+    filled = fill_forward_backward(once, col, date, keys, backward)
     following = F.lead(date).over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(date))
     until = F.coalesce(F.date_sub(following, 1), F.col(date))
     return filled.withColumn("_until", until).select(*keys, F.explode(F.sequence(date, "_until")).alias(date), col)
@@ -170,5 +173,4 @@ def fill_calendar(df: DataFrame, col: str, keys: list[str] = (), date: str = "da
 
 def resample_daily(df: DataFrame, value: str, keys: list[str] = (), date: str = "date") -> DataFrame:
     """Daily mean over the full date range of each key, absent days carried forward."""
-    daily = df.groupBy(*keys, date).agg(F.avg(value).alias(value))
-    return fill_calendar(daily, value, keys, date, backward=False)
+    return fill_calendar(df, value, keys, date, backward=False)

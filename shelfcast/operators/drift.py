@@ -10,18 +10,30 @@ from .evaluate import METRICS, error_metrics
 from .ordered import running_totals
 
 
+def value_counts(df: DataFrame, cols: list[str], kind: str = "double") -> DataFrame:
+    """Occurrences of each known value, as ``(column, value, n)``."""
+    rows = df.select(*[F.col(c).cast(kind).alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    return rows.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
 def _side_counts(reference: DataFrame, current: DataFrame, cols: list[str], kind: str) -> DataFrame:
     """Occurrences of each value on both sides, as ``(column, value, n_ref, n_cur)``."""
-    def long(df, is_ref):
-        rows = df.select(*[F.col(c).cast(kind).alias(c) for c in cols]).unpivot([], cols, "column", "value")
-        return rows.where(F.col("value").isNotNull()).withColumn("_ref", F.lit(int(is_ref)))
-    both = long(reference, True).unionByName(long(current, False))
-    return both.groupBy("column", "value").agg(F.sum("_ref").alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur"))
+    return both_sides(value_counts(reference, cols, kind), value_counts(current, cols, kind))
+
+
+def both_sides(reference: DataFrame, current: DataFrame) -> DataFrame:
+    both = reference.withColumn("_ref", F.lit(1)).unionByName(current.withColumn("_ref", F.lit(0)))
+    return both.groupBy("column", "value").agg(
+        F.sum(F.col("n") * F.col("_ref")).alias("n_ref"), F.sum(F.col("n") * (1 - F.col("_ref"))).alias("n_cur"))
 
 
 def ks_drift(reference: DataFrame, current: DataFrame, cols: list[str], alpha: float = 0.05) -> DataFrame:
     """Two-sample Kolmogorov–Smirnov statistic and asymptotic p-value of each column."""
-    counts = _side_counts(reference, current, cols, "double")
+    return ks_of_counts(_side_counts(reference, current, cols, "double"), alpha)
+
+
+def ks_of_counts(counts: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """The same from ``(column, value, n_ref, n_cur)``."""
     totals = counts.groupBy("column").agg(F.sum("n_ref").alias("n"), F.sum("n_cur").alias("m"))
     cumulative = running_totals(counts, ["column"], "value", ["n_ref", "n_cur"])
     gap = F.abs(F.try_divide(F.col("n_ref_upto"), F.col("n")) - F.try_divide(F.col("n_cur_upto"), F.col("m")))

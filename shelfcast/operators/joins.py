@@ -6,18 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.bundle import SalesBundle
 from .calendar import calendar_features, collapse_holidays, holiday_flags
-from .clean import beside, fill_calendar, fill_group_mean, fill_mean
-
-
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """Whether the frame has at most ``max_rows`` rows; counting stops just past the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = 500_000) -> DataFrame:
-    """Broadcasts the dimension only after counting it; beyond the limit Spark shuffles both sides and
-    adaptive execution splits hot keys."""
-    return fact.join(F.broadcast(dim) if small_enough(dim, max_rows) else dim, on, how)
+from .clean import attach_stats, beside, fill_calendar, fill_mean
 
 
 def daily_prices(oil: DataFrame, col: str = "dcoilwtico") -> DataFrame:
@@ -62,14 +51,26 @@ def join_transactions(sales: DataFrame, transactions: DataFrame) -> DataFrame:
     return sales.join(transactions, ["date", "store_nbr"], "left")
 
 
-def fill_transactions(joined: DataFrame) -> DataFrame:
-    """After the join: store mean, then the rolling mean falls back on the count."""
-    filled = fill_group_mean(joined, "transactions", ["store_nbr"])
-    return filled.withColumn("transactions_rolling_mean", F.coalesce("transactions_rolling_mean", "transactions"))
+def filled_transactions(sales: DataFrame, transactions: DataFrame) -> DataFrame:
+    """One row per date and store of the sales with the finished transaction columns.
+
+    Where a day has no count it takes the store's mean over its sales rows, which is the mean over days weighted
+    by their number of sales rows; the rolling mean falls back on the count. All of this happens at the small
+    date and store grain.
+    """
+    days = sales.groupBy("date", "store_nbr").agg(F.count("*").alias("_rows"))
+    known = join_transactions(days, process_transactions(transactions))
+    weight = F.when(F.col("transactions").isNotNull(), F.col("_rows"))
+    filled = attach_stats(known, ["store_nbr"], _mean=F.sum(F.col("transactions") * F.col("_rows")) / F.sum(weight))
+    count = F.coalesce(F.col("transactions").cast("double"), "_mean")
+    return filled.select("date", "store_nbr", count.alias("transactions"),
+                         F.coalesce("transactions_rolling_mean", count).alias("transactions_rolling_mean"))
 
 
 def join_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    return join_dimension(sales, stores, "store_nbr")
+    """Spark broadcasts the stores while their size in bytes allows it; beyond that both sides are shuffled and
+    adaptive execution splits hot keys."""
+    return sales.join(stores, "store_nbr", "left")
 
 
 def build_fact(tables: SalesBundle, holiday_mode: str = "collapse") -> DataFrame:
@@ -77,7 +78,7 @@ def build_fact(tables: SalesBundle, holiday_mode: str = "collapse") -> DataFrame
     df = calendar_features(tables.sales)
     df = join_oil(df, tables.oil)
     df = join_holidays(df, tables.holidays, holiday_mode)
-    return fill_transactions(join_transactions(df, process_transactions(tables.transactions)))
+    return join_transactions(df, filled_transactions(tables.sales, tables.transactions))
 
 
 def daily_sales_with_oil(sales: DataFrame, oil: DataFrame) -> DataFrame:

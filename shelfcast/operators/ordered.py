@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from ..session import materialize
 
 CUTS = 256
 
@@ -29,7 +31,9 @@ def bucketed(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
     number = F.col(value).cast("double")
     cut = F.percentile_approx(number, [i / CUTS for i in range(1, CUTS)], 10 * CUTS)
     if keys:
-        tagged = counts.join(counts.groupBy(*keys).agg(cut.alias("_cuts")), keys)
+        cuts = counts.groupBy(*keys).agg(cut.alias("_cuts"))
+        # with one row per listed column the cuts are small, and a join by column would put each column in one task
+        tagged = counts.join(F.broadcast(cuts) if keys == ["column"] else cuts, keys)
     else:
         tagged = counts.withColumn("_cuts", counts.agg(cut.alias("_cuts")).scalar())
     return _search(tagged, number)
@@ -111,17 +115,21 @@ def quantile_columns(df: DataFrame, value: str, probs: dict[str, float], keys: l
 def rows_at(df: DataFrame, order: list[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:
     """The order keys of the rows at some 0-based positions, as ``(_rank, order columns)``.
 
-    ``ranks`` gets the row count. The position is narrowed level by level: totals per first column, then
-    per second column within the values found, and so on; no level sorts the whole table.
+    ``ranks`` gets the row count. A position asked for twice comes twice, one at or past the row count not at
+    all. The position is narrowed level by level: totals per first column, then per second column within the
+    values found, and so on; no level sorts the whole table. The first column is a date, so its totals are
+    bounded by the calendar.
     """
     first = order[0]
+    if isinstance(df.schema[first].dataType, (T.TimestampType, T.TimestampNTZType)):
+        raise ValueError(f"{first} has more values than a calendar has days; order by its date first")
     totals = df.groupBy(first).agg(F.count("*").alias("_n"))
     w = Window.partitionBy(F.lit(0)).orderBy(first)
     placed = totals.select(
         first, "_n", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
         F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_all"))
     found = (
-        placed.withColumn("_rank", F.explode(F.array_distinct(F.array(*ranks(F.col("_all"))))))
+        placed.withColumn("_rank", F.explode(F.array(*ranks(F.col("_all")))))
         .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n")))
         .select(first, "_rank", (F.col("_rank") - F.col("_start")).alias("_rest"))
     )
@@ -141,12 +149,14 @@ def rows_at(df: DataFrame, order: list[str], ranks: Callable[[Column], list[Colu
 
 def segment_by_rank(df: DataFrame, order: list[str], ranks: Callable[[Column], list[Column]],
                     name: str = "segment") -> DataFrame:
-    """Number of cut positions at or before each row: 0 before the first cut, 1 before the second, …
+    """Number of cut positions at or before each row: 0 before the first cut, 1 before the second, … Equal cuts
+    count each, a cut at 0 lies before all rows, one at the row count or beyond after all.
 
     ``order`` must identify a row. Rows are compared with the cut rows' keys, so the table itself is
     neither sorted nor shuffled.
     """
-    cuts = rows_at(df, order, ranks)
+    # the order columns are read level by level: stored once, so that the table is read twice in all
+    cuts = rows_at(materialize(df.select(*order)), order, ranks)
     bounds = cuts.agg(F.array_sort(F.collect_list(F.struct(*order))).alias("b")).scalar()
     return (
         df.withColumn("_bounds", bounds)

@@ -217,7 +217,7 @@ def type_advice(df: DataFrame) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
     texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     whole = [F.bool_and(F.coalesce(F.col(c) == F.round(c), F.lit(False))).alias(c) for c in doubles]
-    ratio = [(F.count_distinct(c) / F.count("*") < 0.5).alias(c) for c in texts]
+    ratio = [F.coalesce(F.try_divide(F.count_distinct(c), F.count("*")) < 0.5, F.lit(False)).alias(c) for c in texts]
     if not whole + ratio:
         raise ValueError("no double or string column")
     one = df.agg(*whole, *ratio).unpivot([], doubles + texts, "column", "holds")

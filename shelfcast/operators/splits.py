@@ -13,9 +13,10 @@ def split_date(df: DataFrame, test_size: float = 0.2, date: str = "date") -> Dat
 
 
 def split_by_date(df: DataFrame, test_size: float = 0.2, date: str = "date") -> tuple[DataFrame, DataFrame]:
-    """(rows before the split date, rows from it on)."""
+    """(rows before the split date, rows from it on). Without a split date (nothing to test) all rows are training rows."""
     cut = split_date(df, test_size, date).scalar()
-    return df.where(F.col(date) < cut), df.where(F.col(date) >= cut)
+    is_test = F.coalesce(F.col(date) >= cut, F.lit(False))
+    return df.where(~is_test), df.where(is_test)
 
 
 def label_split(df: DataFrame, order: list[str], test_size: float = 0.2, val_size: float | None = None) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..operators.drift import ks_drift
+from ..operators.drift import both_sides, ks_of_counts, value_counts
 from ..operators.monitor import check_thresholds
+from ..session import materialize
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet",
@@ -34,7 +35,11 @@ def run_available(stream: DataFrame, out: str, checkpoint: str, partition_by: li
 def run_each_batch(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
     """Write ``transform`` of each micro-batch to its own folder, so a repeated batch replaces itself."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            transform(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start().awaitTermination()
@@ -63,23 +68,28 @@ def threshold_alerts(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def drift_alerts(stream: DataFrame, reference: DataFrame, cols: list[str], out: str, checkpoint: str) -> None:
-    """Kolmogorov–Smirnov drift of each micro-batch against a fixed reference."""
-    run_each_batch(stream, lambda batch: ks_drift(reference, batch, cols), out, checkpoint)
+    """Kolmogorov–Smirnov drift of each micro-batch against a fixed reference, whose value counts are stored once."""
+    counted = materialize(value_counts(reference, cols))
+    run_each_batch(stream, lambda batch: ks_of_counts(both_sides(counted, value_counts(batch, cols))), out, checkpoint)
 
 
 def score(rows: DataFrame, coefficients: DataFrame, key: str, features: list[str]) -> DataFrame:
     """Linear score of each row with its key's coefficients ``(key, intercept, <feature>_coef …)``.
 
-    One row per key on the right; Spark broadcasts it while it is small and shuffles both sides beyond that.
+    One row per key on the right; Spark broadcasts it while it is small and shuffles both sides beyond that. A
+    row whose key has no coefficients keeps a NULL score.
     """
     total = F.col("intercept")
     for f in features:
         total = total + F.col(f"{f}_coef") * F.col(f)
-    return rows.join(coefficients, key).withColumn("score", total).drop("intercept", *[f"{f}_coef" for f in features])
+    return rows.join(coefficients, key, "left").withColumn("score", total).drop("intercept", *[f"{f}_coef" for f in features])
 
 
 def suppress_duplicates(rows: DataFrame, keys: list[str], delay: str = "1 hour", ts: str = "ts") -> DataFrame:
-    """The first of re-sent rows that arrive within the delay."""
+    """The first of re-sent rows: a row is dropped if an equal key came at most the delay before it. On a stream
+    the state of a key ends with the delay after its first row; a batch compares each row with the one before."""
     if not rows.isStreaming:
-        return rows.dropDuplicates(keys)
+        w = Window.partitionBy(*keys).orderBy(ts)
+        fresh = F.coalesce(F.col(ts) > F.lag(ts).over(w) + F.expr(f"INTERVAL {delay}"), F.lit(True))
+        return rows.withColumn("_fresh", fresh).where("_fresh").drop("_fresh")
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)

@@ -154,10 +154,12 @@ def test_oil_outside_its_span(spark, small_bundle):
     assert [r.dcoilwtico for r in got] == [10.0, 10.0, 10.0, 10.0] + [20.0] * 6
 
 
-def test_dimension_beyond_the_limit_is_not_broadcast(small_bundle):
-    small = joins.join_dimension(small_bundle.sales, small_bundle.stores, "store_nbr")
-    assert small.count() == joins.join_dimension(small_bundle.sales, small_bundle.stores, "store_nbr", max_rows=0).count()
-    assert not joins.small_enough(small_bundle.stores, 0)
+def test_repeated_price_dates_are_averaged(spark, small_bundle):
+    first = days(3)[0]
+    oil = spark.createDataFrame([(first, 10.0), (first, 20.0), (days(3)[2], 30.0)], schemas.OIL)
+    prices = joins.daily_prices(oil).orderBy("date").collect()
+    assert [(r.date, r.dcoilwtico) for r in prices] == [(days(3)[0], 15.0), (days(3)[1], 15.0), (days(3)[2], 30.0)]
+    assert joins.join_oil(small_bundle.sales, oil).count() == small_bundle.sales.count()
 
 
 def test_validation(features):

@@ -51,6 +51,8 @@ def test_alerts_and_scores(spark, folder):
     assert alerts.count() == 10
     coef = spark.createDataFrame([("m", 1.0, 2.0)], "model string, intercept double, prediction_coef double")
     scored = streams.run_available(streams.score(stream(spark, path), coef, "model", ["prediction"]), str(tmp / "s"), str(tmp / "scp"))
+    none = spark.createDataFrame([("other", 1.0, 2.0)], "model string, intercept double, prediction_coef double")
+    assert streams.score(spark.read.parquet(path), none, "model", ["prediction"]).where("score IS NULL").count() == 63
     assert scored.count() == 63 and scored.where("score <> 1 + 2 * prediction").count() == 0
 
 
