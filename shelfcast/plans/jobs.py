@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,8 +37,8 @@ class AdditiveModel:
     def fit(self, history: DataFrame) -> DataFrame:
         return self._model().fit(materialize(additive_features(history, list(self.keys))))
 
-    def predict(self, fits: DataFrame, history: DataFrame, days: int) -> DataFrame:
-        return self._model().predict(fits, additive_features(history, list(self.keys)), days)
+    def predict(self, fits: DataFrame, history: DataFrame, days: int, known: DataFrame | None = None) -> DataFrame:
+        return self._model().predict(fits, additive_features(history, list(self.keys)), days, known)
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,8 @@ def train_and_select(history: DataFrame, models: list[SeriesModel], keys: list[s
                      metric: str = "rmse") -> tuple[DataFrame, DataFrame]:
     """(long metrics per model on the last days, the best model's row).
 
-    Every model forecasts the whole test span; errors join on series and date.
+    Every model forecasts the whole test span. Errors compare the rows of series and date that all models
+    forecast; ``unscored`` counts the test rows a model has no forecast for.
     """
     history = materialize(history)
     cut = history.agg(F.date_sub(F.max("date"), test_days).alias("cut")).scalar()
@@ -75,8 +76,14 @@ def train_and_select(history: DataFrame, models: list[SeriesModel], keys: list[s
         predicted = model.predict(model.fit(train), train, test_days).select(
             F.lit(model.name).alias("model"), *keys, "date", "prediction")
         forecasts = predicted if forecasts is None else forecasts.unionByName(predicted)
-    errors = evaluate.error_metrics(joins.predictions_with_actuals(forecasts, test, [*keys, "date"]), ["model"])
-    metrics = materialize(errors.unpivot(["model"], evaluate.METRICS, "metric", "value"))
+    names = [m.name for m in models]
+    wanted = test.withColumn("model", F.explode(F.array(*[F.lit(n) for n in names])))
+    scored = materialize(wanted.join(forecasts, ["model", *keys, "date"], "left"))
+    whole = scored.groupBy(*keys, "date").agg(F.count("prediction").alias("_n")).where(F.col("_n") == len(names)).drop("_n")
+    errors = evaluate.error_metrics(scored.join(whole, [*keys, "date"], "left_semi"), ["model"])
+    missing = scored.groupBy("model").agg(F.count_if(F.col("prediction").isNull()).cast("double").alias("unscored"))
+    wide = missing.join(errors, "model", "left")
+    metrics = materialize(wide.unpivot(["model"], [*evaluate.METRICS, "unscored"], "metric", "value"))
     return metrics, evaluate.best_model(metrics, [m.name for m in models], metric)
 
 
@@ -93,8 +100,54 @@ def generate_predictions(history: DataFrame, models: list[SeriesModel], best: Da
     return model.predict(model.fit(history), history, days).withColumn("model", F.lit(model.name))
 
 
+def forecast_and_monitor(spark: SparkSession, folder: str, run_id: str, model: SeriesModel, history: DataFrame, keys: list[str],
+                         days: int, ts: dt.datetime, actuals: DataFrame | None = None) -> DataFrame:
+    """Forecast with the parameters stored under ``run_id``, append the predictions and their statistics (and
+    errors, where ``actuals`` (keys, date, actual) has them) to the run's tables, and return the predictions.
+    The same run written again replaces its rows."""
+    fits = tables.read_fits(spark, f"{folder}/fits", run_id)
+    future = materialize(model.predict(fits, history, days))
+    series = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    rows = future.select(*keys, "date", "prediction")
+    if actuals is not None:
+        rows = rows.join(actuals, [*keys, "date"], "left")
+    else:
+        rows = rows.withColumn("actual", F.lit(None).cast("double"))
+    tables.write_predictions(rows.withColumn("series", series), f"{folder}/predictions", run_id)
+    stats = rows.groupBy(series.alias("series")).agg(
+        F.count("prediction").cast("double").alias("predictions"), F.avg("prediction").alias("prediction_mean"),
+        F.stddev_pop("prediction").alias("prediction_std"),
+        F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("actual"), 2))).alias("rmse"))
+    names = ["predictions", "prediction_mean", "prediction_std", "rmse"]
+    long = tables.to_long_metrics(stats, ["series"], names).select(
+        F.lit(ts).alias("ts"), F.lit("prediction_metrics").alias("metric_type"), F.lit(model.name).alias("model"),
+        "series", "metric", "value", F.lit(run_id).alias("run_id"))
+    tables.replace_metrics(long, f"{folder}/prediction_metrics")
+    return future
+
+
+def cross_validate(history: DataFrame, models: list[SeriesModel], keys: list[str], cutoffs: list[dt.date], days: int) -> DataFrame:
+    """(model, fold, metric, value) of each model refitted at every cutoff and scored on the ``days`` after it;
+    feeds ``cv_summary``."""
+    history = materialize(history)
+    out = None
+    for i, cutoff in enumerate(sorted(cutoffs), 1):
+        span = history.where((F.col("date") <= F.lit(cutoff) + F.expr(f"INTERVAL {days} DAYS")))
+        train = span.where(F.col("date") <= F.lit(cutoff))
+        test = span.where(F.col("date") > F.lit(cutoff)).select(*keys, "date", F.col("sales").alias("actual"))
+        for model in models:
+            predicted = model.predict(model.fit(train), train, days).select(*keys, "date", "prediction")
+            errors = evaluate.error_metrics(joins.predictions_with_actuals(predicted, test, [*keys, "date"])).unpivot(
+                [], evaluate.METRICS, "metric", "value")
+            rows = errors.select(F.lit(model.name).alias("model"), F.lit(i).alias("fold"), "metric", "value")
+            out = rows if out is None else out.unionByName(rows)
+    return materialize(out)
+
+
 def report(bundle: SalesBundle) -> DataFrame:
-    """All profiles and cross analyses as ``(dataset, section, metric, key, value)``."""
+    """All profiles and cross analyses as ``(dataset, section, metric, key, value)``. The fact and the transactions,
+    which a dozen aggregates read, are stored first."""
+    bundle = replace(bundle, sales=materialize(bundle.sales), transactions=materialize(bundle.transactions))
     sales = profile.long_row(profile.sales_profile(bundle.sales), "profile")
     oil = profile.long_row(profile.oil_profile(bundle.oil).drop("first_date", "last_date"), "profile")
     flagged = cal.mark_members(bundle.sales, cal.holiday_dates(bundle.holidays), "date", "h")

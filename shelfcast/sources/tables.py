@@ -34,6 +34,11 @@ def append_metrics(df: DataFrame, path: str) -> None:
     )
 
 
+def replace_metrics(df: DataFrame, path: str) -> None:
+    """Long metric rows of one run; the run's rows are replaced when it is written again."""
+    _replace_run(df, path)
+
+
 def read_metrics_log(spark: SparkSession, path: str, metric_type: str | None = None,
                      start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """History between two inclusive instants; empty when nothing was logged."""
@@ -98,14 +103,29 @@ def rewrite_retained(spark: SparkSession, path: str, days: int, kept_path: str)
 def write_predictions(df: DataFrame, path: str, run_id: str) -> None:
     rows = df.withColumn("run_id", F.lit(run_id)).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PREDICTIONS.fields])
-    rows.write.mode("append").partitionBy("run_id").parquet(path)
+    _replace_run(rows, path)
+
+
+def _replace_run(rows: DataFrame, path: str) -> None:
+    """Write a run's partition; a run written again replaces itself, others stay."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
 def write_model_table(coefficients: DataFrame, path: str, run_id: str) -> None:
-    """Append ``(series, term, value)`` rows of one run."""
+    """The ``(series, term, value)`` rows of one run."""
     rows = coefficients.select(F.lit(run_id).alias("run_id"), F.col("series").cast("string").alias("series"),
                                "term", F.col("value").cast("double").alias("value"))
-    rows.write.mode("append").partitionBy("run_id").parquet(path)
+    _replace_run(rows, path)
+
+
+def write_fits(fits: DataFrame, path: str, run_id: str) -> None:
+    """A model's whole parameter table (orders, coefficients, variances, spans) under its run."""
+    _replace_run(fits.withColumn("run_id", F.lit(run_id)), path)
+
+
+def read_fits(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """The parameter table of a run as ``fit`` returned it."""
+    return spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
 
 
 def read_model_table(spark: SparkSession, path: str, run_id: str) -> DataFrame:
@@ -130,6 +150,13 @@ def log_run(spark: SparkSession, folder: str, run_id: str, model: str, start_tim
             .write.mode("append").parquet(f"{folder}/run_metrics")
 
 
+def log_runs(runs: DataFrame, run_metrics: DataFrame, folder: str) -> None:
+    """Append many runs at once: frames with the columns of the run and metric tables."""
+    for rows, schema, name in ((runs, schemas.RUNS, "runs"), (run_metrics, schemas.RUN_METRICS, "run_metrics")):
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        typed.write.mode("append").parquet(f"{folder}/{name}")
+
+
 def read_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return (spark.read.schema(schemas.RUNS).parquet(f"{folder}/runs"),
             spark.read.schema(schemas.RUN_METRICS).parquet(f"{folder}/run_metrics"))
