@@ -69,20 +69,64 @@ def fct5(spark, sf):
     return model.diagnostics(model.fit(daily), daily)
 
 
-@query("fct5_diagnostics_ar1", "dense_daily", """
+# The closed form of an ARIMA limited to one autoregressive term: a constant and the value before, or the constant
+# alone if that has the better AIC.
+_AR1 = """
 , lagged AS (SELECT *, lag(sales) OVER (PARTITION BY store_nbr ORDER BY date) AS l1 FROM dense_daily),
-fit AS (SELECT store_nbr, regr_slope(sales, l1) AS b, regr_intercept(sales, l1) AS a FROM lagged GROUP BY store_nbr)
-SELECT store_nbr, date, sales AS actual, round(a + b * l1, 4) AS prediction, """ + r("sales - a - b * l1", 4) + """ AS residual
-FROM lagged JOIN fit USING (store_nbr) WHERE l1 IS NOT NULL""")
+sums AS (SELECT store_nbr, CAST(count(*) AS DOUBLE) AS n, regr_slope(sales, l1) AS b1, regr_intercept(sales, l1) AS a1,
+         avg(sales) AS a0, regr_syy(sales, l1) AS rss0,
+         regr_syy(sales, l1) - pow(regr_sxy(sales, l1), 2) / regr_sxx(sales, l1) AS rss1
+         FROM lagged WHERE l1 IS NOT NULL GROUP BY store_nbr),
+picked AS (SELECT *, CASE WHEN n * ln(rss1 / n) + 4 < n * ln(rss0 / n) + 2 THEN 1 ELSE 0 END AS p FROM sums),
+fit AS (SELECT store_nbr, n, p, CASE WHEN p = 1 THEN a1 ELSE a0 END AS a, CASE WHEN p = 1 THEN b1 ELSE 0 END AS b,
+        CASE WHEN p = 1 THEN rss1 ELSE rss0 END AS rss,
+        n * ln(CASE WHEN p = 1 THEN rss1 ELSE rss0 END / n) + 2 * (p + 1) AS aic,
+        n * ln(CASE WHEN p = 1 THEN rss1 ELSE rss0 END / n) + (p + 1) * ln(n) AS bic,
+        sqrt(CASE WHEN p = 1 THEN rss1 / (n - 2) ELSE rss0 / (n - 1) END) AS sigma FROM picked),
+fitted AS (SELECT f.*, l.date, l.sales AS actual, a + CASE WHEN p = 1 THEN b * l1 ELSE 0 END AS prediction
+           FROM lagged l JOIN fit f ON f.store_nbr = l.store_nbr WHERE p = 0 OR l1 IS NOT NULL)"""
+Z95 = 1.959963984540054
+
+
+def ar1():
+    return Arima(KEYS, max_p=1, max_q=0, max_seasonal=0, max_d=0, seasonal=False)
+
+
+@query("fct2_order_ar1", "dense_daily", _AR1 + """
+SELECT store_nbr, CAST(p AS INT) AS p, 0 AS d, 0 AS q, CAST(n AS BIGINT) AS n, round(aic, 4) AS aic FROM fit""")
+def fct2_ar1(spark, sf):
+    return rounded(ar1().fit(materialize(daily_sales(spark, sf))).select(*KEYS, "p", "d", "q", "n", "aic"), 4, "aic")
+
+
+@query("fct3_fit_ar1", "dense_daily", _AR1 + """
+SELECT store_nbr, count(*) AS n, round(sqrt(avg(pow(prediction - actual, 2))), 4) AS rmse,
+       round(avg(abs(prediction - actual)), 4) AS mae, round(max(aic), 4) AS aic, round(max(bic), 4) AS bic
+FROM fitted GROUP BY store_nbr""")
+def fct3_ar1(spark, sf):
+    model, daily = ar1(), materialize(daily_sales(spark, sf))
+    scored = model.in_sample_metrics(model.fit(daily), daily)
+    return rounded(scored.select(*KEYS, "n", "rmse", "mae", "aic", "bic"), 4, "rmse", "mae", "aic", "bic")
+
+
+@query("fct4_predict_ar1", "dense_daily", _AR1 + f"""
+, last AS (SELECT store_nbr, max(date) AS m, arg_max(sales, date) AS y FROM dense_daily GROUP BY store_nbr),
+steps AS (SELECT CAST(unnest(generate_series(1, 14)) AS INT) AS step),
+ahead AS (SELECT f.store_nbr, CAST(m + step AS DATE) AS date, step, sigma,
+          CASE WHEN p = 0 THEN a ELSE a * (1 - pow(b, step)) / (1 - b) + pow(b, step) * y END AS prediction
+          FROM fit f JOIN last USING (store_nbr), steps)
+SELECT store_nbr, date, step, round(prediction, 4) AS prediction, round(prediction - {Z95} * sigma, 4) AS lower,
+       round(prediction + {Z95} * sigma, 4) AS upper FROM ahead""")
+def fct4_ar1(spark, sf):
+    model, daily = ar1(), materialize(daily_sales(spark, sf))
+    return rounded(model.predict(model.fit(daily), daily, 14), 4, "prediction", "lower", "upper")
+
+
+@query("fct5_diagnostics_ar1", "dense_daily", _AR1 + f"""
+SELECT store_nbr, date, actual, round(prediction, 4) AS prediction, """ + r("actual - prediction", 4) + f""" AS residual,
+       round(prediction - {Z95} * sigma, 4) AS lower, round(prediction + {Z95} * sigma, 4) AS upper FROM fitted""")
 def fct5_ar1(spark, sf):
-    from ..operators import windows
-    series = windows.Series(tuple(KEYS))
-    rows = windows.lags(daily_sales(spark, sf), "sales", (1,), series).withColumn("one", F.lit(1.0)).na.drop()
-    fits = linear.grouped_ols(rows, KEYS, ["one", "sales_lag_1"], "sales")
-    fitted = linear.dot("coef", F.array("one", "sales_lag_1"))
-    out = rows.join(fits.select(*KEYS, "coef"), KEYS).select(
-        *KEYS, "date", F.col("sales").alias("actual"), fitted.alias("prediction"), (F.col("sales") - fitted).alias("residual"))
-    return rounded(out, 4, "prediction", "residual")
+    model, daily = ar1(), materialize(daily_sales(spark, sf))
+    return rounded(model.diagnostics(model.fit(daily), daily), 4, "prediction", "residual", "lower", "upper")
 
 
 @query("fct6_additive_features", "dense_daily dense_sales oil_filled holidays", """
@@ -109,6 +153,53 @@ def fct7_additive(spark, sf):
     return model.in_sample_metrics(features, fits)
 
 
+# The closed form of an additive model that is a line: no changepoint, no season, no regressor, a free prior.
+LINE = AdditiveSettings(seasonality_mode="additive", yearly_seasonality=False, weekly_seasonality=False, changepoints=0,
+                        trend_prior_scale=1e9)
+_LINE = """
+, rows AS (SELECT store_nbr, date, sales, CAST(date_diff('day', min(date) OVER (PARTITION BY store_nbr), date) AS DOUBLE) AS t FROM dense_daily),
+fit AS (SELECT store_nbr, regr_slope(sales, t) AS s, regr_intercept(sales, t) AS c, max(t) AS last_t, max(date) AS last_date,
+        sqrt(regr_syy(sales, t) / count(*) - pow(regr_sxy(sales, t), 2) / regr_sxx(sales, t) / count(*)) AS sigma
+        FROM rows GROUP BY store_nbr),
+fitted AS (SELECT store_nbr, date, sales, c + s * t AS prediction FROM rows JOIN fit USING (store_nbr)),
+steps AS (SELECT CAST(unnest(generate_series(1, 30)) AS INT) AS step),
+ahead AS (SELECT store_nbr, CAST(last_date + step AS DATE) AS date, step, c + s * (last_t + step) AS prediction, sigma FROM fit, steps)"""
+Z80 = 1.2815515655446004
+
+
+def _line(spark, sf):
+    return fit_additive_by_series(daily_sales(spark, sf), KEYS, LINE)
+
+
+@query("fct7_fit_line", "dense_daily", _LINE + """
+SELECT store_nbr, count(*) AS n, round(sqrt(avg(pow(prediction - sales, 2))), 3) AS rmse,
+       round(avg(abs(prediction - sales)), 3) AS mae FROM fitted GROUP BY store_nbr""")
+def fct7_line(spark, sf):
+    model, features, fits = _line(spark, sf)
+    return rounded(model.in_sample_metrics(features, fits).select(*KEYS, "n", "rmse", "mae"), 3, "rmse", "mae")
+
+
+@query("fct8_predict_line", "dense_daily", _LINE + "SELECT store_nbr, date, step, round(prediction, 3) AS prediction FROM ahead")
+def fct8_line(spark, sf):
+    model, features, fits = _line(spark, sf)
+    return rounded(model.predict(fits, features, 30).drop("lower", "upper"), 3, "prediction")
+
+
+@query("fct9_components_line", "dense_daily", _LINE + """
+SELECT store_nbr, date AS ds, round(prediction, 3) AS trend, 0e0 AS yearly, 0e0 AS weekly, 0e0 AS holidays, 0e0 AS regressors,
+       round(prediction, 3) AS prediction FROM fitted""")
+def fct9_line(spark, sf):
+    model, features, fits = _line(spark, sf)
+    return rounded(model.components(features, fits), 3, "trend", "prediction")
+
+
+@query("fct10_intervals_line", "dense_daily", _LINE + f"""
+SELECT store_nbr, date, round(prediction - {Z80} * sigma, 3) AS lower, round(prediction + {Z80} * sigma, 3) AS upper FROM ahead""")
+def fct10_line(spark, sf):
+    model, features, fits = _line(spark, sf)
+    return rounded(model.predict(fits, features, 30).select(*KEYS, "date", "lower", "upper"), 3, "lower", "upper")
+
+
 @query("fct8_predict_additive")
 def fct8(spark, sf):
     model, features, fits = fit_additive_by_series(daily_features(spark, sf), KEYS)
@@ -132,9 +223,22 @@ def fct11(spark, sf):
     return learner.fit_sequence_regressor(daily_sales(spark, sf), "sales", KEYS)[1]
 
 
+@query("fct11_sequence_next", "dense_daily", """
+, framed AS (SELECT store_nbr, date, sales AS v2, lag(sales) OVER w AS v1, lead(sales) OVER w AS nxt FROM dense_daily
+             WINDOW w AS (PARTITION BY store_nbr ORDER BY date)),
+marked AS (SELECT *, (v1 + v2) / 2 AS level, percent_rank() OVER (PARTITION BY store_nbr ORDER BY date DESC) < 0.2 AS is_val
+           FROM framed WHERE v1 IS NOT NULL AND nxt IS NOT NULL),
+fit AS (SELECT regr_slope(nxt / level, v1 / level) AS s, regr_intercept(nxt / level, v1 / level) AS c FROM marked WHERE NOT is_val)
+SELECT round(avg(pow(c + s * v1 / level - nxt / level, 2)) FILTER (NOT is_val), 6) AS train_loss,
+       round(avg(pow(c + s * v1 / level - nxt / level, 2)) FILTER (is_val), 6) AS val_loss FROM marked, fit""")
+def fct11_next(spark, sf):
+    losses = learner.fit_sequence_regressor(daily_sales(spark, sf), "sales", KEYS, length=2, ridge=0.0, max_iter=200)[1]
+    return rounded(losses, 6, "train_loss", "val_loss")
+
+
 @query("fct11_sequence_boosted")
 def fct11_gbt(spark, sf):
-    return learner.fit_sequence_regressor(daily_sales(spark, sf), "sales", KEYS, length=14, method="gbt", max_iter=5)[1]
+    return learner.fit_sequence_regressor(daily_sales(spark, sf), "sales", KEYS, method="gbt")[1]
 
 
 @query("fct12_baselines_in_sample", "dense_daily", """

@@ -63,12 +63,77 @@ def job_train(spark, sf):
 
 @query("job_generate_predictions")
 def job_predict(spark, sf):
-    models = jobs.default_models(KEYS)[1:]
+    models = jobs.default_models(KEYS)
     history = daily_features(spark, sf)
     _, best = jobs.train_and_select(history, models, KEYS)
     return jobs.generate_predictions(history, models, best, KEYS, 30, [0, 1, 2]).select(*KEYS, "date", "step", "prediction", "model")
 
 
+_NAIVE = """
+, last AS (SELECT max(date) AS m FROM dense_daily), test AS (SELECT d.* FROM dense_daily d, last WHERE date > m - 14),
+scored AS (SELECT t.sales AS actual, p.sales AS prediction FROM last, test t
+  JOIN dense_daily p ON p.store_nbr = t.store_nbr AND p.date = m - 14 - 7 + (CAST(date_diff('day', m - 14, t.date) AS INT) - 1) % 7 + 1),
+errors AS (SELECT avg(pow(prediction - actual, 2)) AS mse, sqrt(avg(pow(prediction - actual, 2))) AS rmse,
+  avg(abs(prediction - actual)) AS mae, avg(abs((prediction - actual) / nullif(actual, 0))) * 100 AS mape, 0e0 AS unscored FROM scored),
+metrics AS (SELECT 'seasonal_naive' AS model, metric, round(value, 4) AS value FROM (UNPIVOT errors ON COLUMNS(*) INTO NAME metric VALUE value))"""
+
+
+def _naive():
+    return [jobs.SeasonalNaive(tuple(KEYS))]
+
+
+@query("job_select_naive", "dense_daily", _NAIVE + " SELECT * FROM metrics")
+def job_naive(spark, sf):
+    return rounded(jobs.train_and_select(daily_sales(spark, sf), _naive(), KEYS)[0], 4, "value")
+
+
+@query("mon12_retrain_naive", "dense_daily", _NAIVE + " SELECT * FROM metrics")
+def mon12_naive(spark, sf):
+    folder, start = scratch_path(spark, "runs"), dt.datetime(2002, 1, 1)
+    tables.log_run(spark, folder, "run-1", "seasonal_naive", start, metrics=[("test", "rmse", 0, 1.0)])
+    return rounded(jobs.retrain_best_model(spark, folder, daily_sales(spark, sf), _naive(), KEYS, start)[1], 4, "value")
+
+
+@query("job_predict_naive", "dense_daily", """
+, last AS (SELECT store_nbr, max(date) AS m FROM dense_daily GROUP BY store_nbr)
+SELECT l.store_nbr, CAST(l.m + step AS DATE) AS date, step, d.sales AS prediction, 'seasonal_naive' AS model
+FROM last l, (SELECT CAST(unnest(generate_series(1, 100)) AS INT) AS step)
+JOIN dense_daily d ON d.store_nbr = l.store_nbr AND d.date = l.m - 7 + (step - 1) % 7 + 1""")
+def job_predict_naive(spark, sf):
+    history = daily_sales(spark, sf)
+    best = spark.createDataFrame([("seasonal_naive", 1.0)], "model string, value double")
+    return jobs.generate_predictions(history, _naive(), best, KEYS, 100).select(*KEYS, "date", "step", "prediction", "model")
+
+
+@query("job_stored_model", "dense_daily", """
+, last AS (SELECT store_nbr, max(date) AS m FROM dense_daily GROUP BY store_nbr),
+future AS (SELECT l.store_nbr, d.sales AS prediction FROM last l, (SELECT CAST(unnest(generate_series(1, 14)) AS INT) AS step)
+JOIN dense_daily d ON d.store_nbr = l.store_nbr AND d.date = l.m - 7 + (step - 1) % 7 + 1)
+SELECT CAST(store_nbr AS VARCHAR) AS series, metric, round(value, 4) AS value FROM (
+  UNPIVOT (SELECT store_nbr, CAST(count(*) AS DOUBLE) AS predictions, avg(prediction) AS prediction_mean,
+           stddev_pop(prediction) AS prediction_std FROM future GROUP BY store_nbr)
+  ON predictions, prediction_mean, prediction_std INTO NAME metric VALUE value)""")
+def job_stored(spark, sf):
+    """Fit, store, read, predict and monitor, twice under one run: the second write replaces the first."""
+    folder, history, model = scratch_path(spark, "store"), daily_sales(spark, sf), _naive()[0]
+    tables.write_fits(model.fit(history), f"{folder}/fits", "run-1")
+    for _ in range(2):
+        jobs.forecast_and_monitor(spark, folder, "run-1", model, history, KEYS, 14, dt.datetime(2002, 1, 1))
+    return rounded(spark.read.parquet(f"{folder}/prediction_metrics").select("series", "metric", "value"), 4, "value")
+
+
+@query("spl5_cross_validate_naive", "dense_daily", """
+, cuts(fold, cut) AS (VALUES (1, DATE '1999-06-01'), (2, DATE '2000-06-01'), (3, DATE '2001-06-01')),
+scored AS (SELECT fold, t.sales AS actual, p.sales AS prediction FROM cuts
+  JOIN dense_daily t ON t.date > cut AND t.date <= cut + 14
+  JOIN dense_daily p ON p.store_nbr = t.store_nbr AND p.date = cut - 7 + (CAST(date_diff('day', cut, t.date) AS INT) - 1) % 7 + 1)
+SELECT 'seasonal_naive' AS model, fold, round(sqrt(avg(pow(prediction - actual, 2))), 4) AS rmse FROM scored GROUP BY fold""")
+def cross_validate(spark, sf):
+    cuts = [dt.date(y, 6, 1) for y in (1999, 2000, 2001)]
+    rows = jobs.cross_validate(daily_sales(spark, sf), _naive(), KEYS, cuts, 14).where("metric = 'rmse'")
+    return rounded(rows.select("model", "fold", F.col("value").alias("rmse")), 4, "rmse")
+
+
 @query("job_check_drift", None, f"""
 WITH scored AS (SELECT * FROM ({SQL['mon3_ks_drift']}) WHERE "column" IN ('sales', 'onpromotion'))
 SELECT TIMESTAMP '2002-01-01' AS ts, 'drift_metrics' AS metric_type, "column" AS series, 'ks_stat' AS metric, ks_stat AS value FROM scored
@@ -86,10 +151,10 @@ def job_drift(spark, sf):
 @query("mon12_retrain_best_model")
 def mon12(spark, sf):
     folder, start = scratch_path(spark, "runs"), dt.datetime(2002, 1, 1)
-    history, models = daily_sales(spark, sf), jobs.default_models(KEYS)[2:]
+    history, models = daily_features(spark, sf), jobs.default_models(KEYS)
     earlier, _ = jobs.train_and_select(history.where(F.col("date") < dt.date(2001, 6, 1)), models, KEYS)
     for model in models:
-        # four error metrics per model
+        # five numbers per model
         rows = earlier.where(F.col("model") == model.name).collect()
         tables.log_run(spark, folder, f"run-{model.name}", model.name, start, metrics=[("test", m.metric, 0, m.value) for m in rows])
     return jobs.retrain_best_model(spark, folder, history, models, KEYS, start)[1]

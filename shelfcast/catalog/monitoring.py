@@ -104,10 +104,12 @@ SELECT 'run-' || model AS run_id, model, 'test' AS split, 'mae' AS metric, CAST(
        round(avg(abs(prediction - actual)), 4) AS value FROM prediction_log GROUP BY model""")
 def evl7(spark, sf):
     folder = scratch_path(spark, "runs")
-    # one row per model
-    for row in evaluate.error_metrics(_log(spark, sf), ["model"]).collect():
-        tables.log_run(spark, folder, f"run-{row.model}", row.model, dt.datetime(2024, 2, 1), {"model": row.model},
-                       [("test", "mae", 0, row.mae)])
+    scored = evaluate.error_metrics(_log(spark, sf), ["model"]).withColumn("run_id", F.concat(F.lit("run-"), "model"))
+    headers = scored.select("run_id", F.lit(None).cast("string").alias("parent_id"), F.lit("default").alias("experiment"), "model",
+                            F.lit(dt.datetime(2024, 2, 1)).alias("start_time"))
+    values = scored.select("run_id", F.lit("test").alias("split"), F.lit("mae").alias("metric"), F.lit(0).alias("step"),
+                           F.col("mae").alias("value"))
+    tables.log_runs(headers, values, folder)
     runs, metrics = tables.read_runs(spark, folder)
     return rounded(metrics.join(runs.select("run_id", "model"), "run_id"), 4, "value")
 
@@ -269,18 +271,30 @@ def mon10(spark, sf):
 
 @query("mon11_retrain_decision", "prediction_log", """
 , status AS (SELECT model, min(date) AS trained_on, round(sqrt(avg(pow(prediction - actual, 2)) FILTER (date >= DATE '2024-01-16'))
-   / sqrt(avg(pow(prediction - actual, 2)) FILTER (date < DATE '2024-01-16')), 6) AS error_ratio, 0.5e0 AS p_value
-   FROM prediction_log GROUP BY model)
-SELECT *, concat_ws(',', CASE WHEN date_diff('day', trained_on, DATE '2024-01-20') > 30 THEN 'age' END,
-       CASE WHEN error_ratio > 1.0 THEN 'performance' END, CASE WHEN p_value < 0.05 THEN 'drift' END) AS reason,
-       CASE WHEN error_ratio > 1.0 THEN 'retrain' ELSE 'skip' END AS decision FROM status""")
+   / sqrt(avg(pow(prediction - actual, 2)) FILTER (date < DATE '2024-01-16')), 6) AS error_ratio
+   FROM prediction_log GROUP BY model),
+acc AS (SELECT model, sum(x) OVER w AS a, sum(y) OVER w AS b, sum(x) OVER (PARTITION BY model) AS n,
+   sum(y) OVER (PARTITION BY model) AS m FROM (
+     SELECT model, prediction AS v, count(*) FILTER (date < DATE '2024-01-16')::DOUBLE AS x,
+            count(*) FILTER (date >= DATE '2024-01-16')::DOUBLE AS y FROM prediction_log GROUP BY model, prediction)
+   WINDOW w AS (PARTITION BY model ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ks AS (SELECT model, pow(max(abs(a / n - b / m)), 2) * max(n) * max(m) / (max(n) + max(m)) AS l2 FROM acc GROUP BY model),
+joined AS (SELECT status.*, round(CAST(""" + _p_sql() + """ AS DOUBLE), 6) AS p_value FROM status JOIN ks USING (model)),
+reasoned AS (SELECT *, concat_ws(',', CASE WHEN date_diff('day', trained_on, DATE '2024-02-05') > 30 THEN 'age' END,
+       CASE WHEN error_ratio > 1.0 THEN 'performance' END, CASE WHEN p_value < 0.6 THEN 'drift' END) AS reason FROM joined)
+SELECT *, CASE WHEN reason = '' THEN 'skip' ELSE 'retrain' END AS decision FROM reasoned""")
 def mon11(spark, sf):
     log = _log(spark, sf)
     ratio = drift.concept_drift(log.where(F.col("date") < CUT), log.where(F.col("date") >= CUT)) \
         .where(F.col("metric") == "rmse").select("model", F.round("ratio", 6).alias("error_ratio"))
     trained = log.groupBy("model").agg(F.min("date").alias("trained_on"))
-    status = trained.join(ratio, "model").withColumn("p_value", F.lit(0.5))
-    return monitor.retrain_decision(status, dt.date(2024, 1, 20), 30, 1.0)
+    # a column per model, so that the drift test judges each model's predictions
+    names = sorted(views.METRIC_OF_EVENT)
+    wide = log.select("date", *[F.when(F.col("model") == n, F.col("prediction")).alias(n) for n in names])
+    drifted = drift.ks_drift(wide.where(F.col("date") < CUT), wide.where(F.col("date") >= CUT), names).select(
+        F.col("column").alias("model"), F.round("p_value", 6).alias("p_value"))
+    status = trained.join(ratio, "model").join(drifted, "model")
+    return monitor.retrain_decision(status, dt.date(2024, 2, 5), 30, 1.0, 0.6)
 
 
 @query("mon13_prediction_anomalies", "prediction_log", """
@@ -380,9 +394,10 @@ def str4(spark, sf):
 
 @query("str5_score_stream", "prediction_log", """
 , fit AS (SELECT model, regr_slope(actual, prediction) AS s, regr_intercept(actual, prediction) AS c FROM prediction_log GROUP BY model)
-SELECT row_id, model, round(c + s * prediction, 6) AS score FROM prediction_log JOIN fit USING (model)""")
+SELECT row_id, model, round(c + s * prediction, 6) AS score FROM prediction_log
+LEFT JOIN (SELECT * FROM fit WHERE model <> 'error') USING (model)""")
 def str5(spark, sf):
-    fit = _log(spark, sf).groupBy("model").agg(
+    fit = _log(spark, sf).where("model <> 'error'").groupBy("model").agg(
         F.regr_intercept("actual", "prediction").alias("intercept"), F.regr_slope("actual", "prediction").alias("prediction_coef"))
     scored = streams.score(_prediction_stream(spark, sf), fit, "model", ["prediction"])
     return rounded(_run(spark, scored.select("row_id", "model", "score"), "scores"), 6, "score")

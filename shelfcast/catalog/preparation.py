@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import calendar as cal, clean, encode, joins, linear, windows
 from ..session import scratch_path
 from ..sources import retail_views as views, tables as sinks
-from ..sources.schemas import HOLIDAY_LOCALES, HOLIDAY_TYPES, PREDICTIONS
+from ..sources.bundle import FILE_NAMES, read_sales_bundle, read_with_quarantine
+from ..sources.schemas import HOLIDAY_LOCALES, HOLIDAY_TYPES, PREDICTIONS, SALES
 from ..functions.expressions import flag_name
 from .registry import query, r, rounded
 
@@ -34,8 +35,16 @@ UNION ALL SELECT 'oil', count(*), count(DISTINCT date) FROM oil
 UNION ALL SELECT 'holidays', count(*), count(DISTINCT date) FROM holidays
 UNION ALL SELECT 'transactions', count(*), count(DISTINCT date) FROM transactions""")
 def src1(spark, sf):
-    out = None
-    for name, df in views.bundle(spark, sf).tables().items():
+    folder, out = scratch_path(spark, "source"), None
+    written = views.bundle(spark, sf).tables()
+    for name, df in written.items():  # as Parquet in a folder, and as CSV under a path of its own each
+        sinks.write_processed(df, f"{folder}/{FILE_NAMES[name]}.parquet")
+        sinks.write_processed(df, f"{folder}/csv/{name}", "csv")
+    by_folder = read_sales_bundle(spark, folder, "parquet").tables()
+    by_path = read_sales_bundle(spark, paths={name: f"{folder}/csv/{name}" for name in written}).tables()
+    for name, df in by_folder.items():
+        if name in ("sales", "transactions"):
+            df = by_path[name]
         dates = F.count_distinct("date") if "date" in df.columns else F.lit(0).cast("bigint")
         row = df.agg(F.lit(name).alias("name"), F.count("*").alias("n"), dates.alias("n_dates"))
         out = row if out is None else out.unionByName(row)
@@ -51,10 +60,24 @@ def src3(spark, sf):
     return found.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "model", "series", "metric", "value")
 
 
-@query("src4_quarantine", "metric_log", """
+@query("src4_quarantine", "dense_sales", """
+SELECT 'valid' AS kind, count(*) AS n, CAST(sum(sales) AS DOUBLE) AS total FROM dense_sales WHERE day(date) <> 7
+UNION ALL SELECT 'rejected', count(*), NULL FROM dense_sales WHERE day(date) = 7""")
+def src4(spark, sf):
+    """Sales lines as text, those of every seventh day of a month with a word where the amount belongs."""
+    amount = F.when(F.dayofmonth("date") == 7, "many").otherwise(F.col("sales").cast("string"))
+    lines = views.dense_sales(spark, sf).select(F.concat_ws(",", "date", "store_nbr", F.lit("ALL"), amount, "onpromotion"))
+    path = scratch_path(spark, "lines")
+    lines.write.text(path)
+    valid, rejected = read_with_quarantine(spark, path, SALES)
+    return valid.agg(F.lit("valid").alias("kind"), F.count("*").alias("n"), F.sum("sales").alias("total")).unionByName(
+        rejected.agg(F.lit("rejected").alias("kind"), F.count("*").alias("n"), F.lit(None).cast("double").alias("total")))
+
+
+@query("src4_split_valid", "metric_log", """
 SELECT metric, count(*) AS n, sum(CASE WHEN value BETWEEN 1 AND 100 THEN 0 ELSE 1 END)::BIGINT AS rejected
 FROM metric_log GROUP BY metric""")
-def src4(spark, sf):
+def src4_rule(spark, sf):
     from ..sources.bundle import split_valid
     good, bad = split_valid(views.metric_log(spark, sf), F.col("value").between(1, 100))
     both = good.withColumn("bad", F.lit(0)).unionByName(bad.withColumn("bad", F.lit(1)))
@@ -452,18 +475,18 @@ def win2(spark, sf):
 
 
 @query("win2_rolling_median", "sales_fact", f"""
-SELECT date, store_nbr, family, sales, {_rolling_sql((7, 14), ('median',))} FROM sales_fact""")
+SELECT date, store_nbr, family, sales, {_rolling_sql(WIDTHS, ('median',))} FROM sales_fact""")
 def win2_median(spark, sf):
     fact = views.sales_fact(spark, sf).drop("onpromotion")
-    return _round_features(windows.rolling(fact, "sales", (7, 14), ("median",)))
+    return _round_features(windows.rolling(fact, "sales", WIDTHS, ("median",)))
 
 
 @query("win2_rolling_blocked", "sales_fact", f"""
-SELECT date, store_nbr, family, sales, {_rolling_sql((7, 30), ('mean', 'max'))} FROM sales_fact""")
+SELECT date, store_nbr, family, sales, {_rolling_sql(WIDTHS, ('mean', 'std', 'min', 'max'))} FROM sales_fact""")
 def win2_blocked(spark, sf):
     series = windows.Series(("store_nbr", "family"), block_rows=40, chunk="year")
     fact = views.sales_fact(spark, sf).drop("onpromotion")
-    return _round_features(windows.rolling(fact, "sales", (7, 30), ("mean", "max"), series))
+    return _round_features(windows.rolling(fact, "sales", series=series))
 
 
 @query("win3_trend_flags", "sales_fact", f"SELECT date, store_nbr, family, sales, {_trend_sql(WIDTHS)} FROM sales_fact")
@@ -473,10 +496,10 @@ def win3(spark, sf):
 
 @query("win4_trend_strength", "sales_fact", "SELECT date, store_nbr, family, sales, " + ", ".join(
     r(f"(sales - avg(sales) {_frame(n)}) / nullif(avg(sales) {_frame(n)}, 0)", 6) + f" AS sales_trend_strength_{n}"
-    for n in (7, 30)) + " FROM sales_fact")
+    for n in WIDTHS) + " FROM sales_fact")
 def win4(spark, sf):
-    df = windows.trend_strength(views.sales_fact(spark, sf), "sales", (7, 30)).drop("onpromotion")
-    return rounded(df, 6, "sales_trend_strength_7", "sales_trend_strength_30")
+    df = windows.trend_strength(views.sales_fact(spark, sf), "sales").drop("onpromotion")
+    return rounded(df, 6, *[f"sales_trend_strength_{n}" for n in WIDTHS])
 
 
 @query("win5_transactions_rolling_mean", "transactions", """

@@ -558,6 +558,29 @@ def spl2(spark, sf):
     return splits.label_split(views.sales_fact(spark, sf), KEYS, 0.15, 0.15).select(*KEYS, "split")
 
 
+@query("spl1_split_no_test", "sales_fact", "SELECT 'train' AS part, count(*) AS n FROM sales_fact UNION ALL SELECT 'test', 0")
+def spl1_none(spark, sf):
+    train, test = splits.split_by_date(views.sales_fact(spark, sf), 0.0)
+    return train.agg(F.lit("train").alias("part"), F.count("*").alias("n")).unionByName(
+        test.agg(F.lit("test").alias("part"), F.count("*").alias("n")))
+
+
+@query("spl2_split_no_validation", "sales_fact", _INDEXED + """
+SELECT date, store_nbr, family, CASE WHEN i < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM ix""")
+def spl2_none(spark, sf):
+    return splits.label_split(views.sales_fact(spark, sf), KEYS, 0.2, 0.0).select(*KEYS, "split")
+
+
+@query("spl3_fewer_rows_than_folds", "dense_sales", """
+, few AS (SELECT DISTINCT date_trunc('year', date)::DATE AS date FROM dense_sales)
+SELECT date, 5 AS fold FROM few WHERE (SELECT count(*) FROM few) < 30
+UNION ALL SELECT date, NULL FROM few WHERE (SELECT count(*) FROM few) >= 30""")
+def spl3_few(spark, sf):
+    """More folds than rows: blocks have no rows, so every row is a remainder row."""
+    years = views.dense_sales(spark, sf).select(F.trunc("date", "year").alias("date")).distinct()
+    return splits.kfold_blocked(years, 30, ["date"]).select("date", (F.col("fold") / 6).cast("int").alias("fold"))
+
+
 @query("spl3_kfold_blocked", "sales_fact", _INDEXED + """
 SELECT date, store_nbr, family, CAST(least(i // (n // 5), 5) AS INT) AS fold FROM ix""")
 def spl3(spark, sf):
