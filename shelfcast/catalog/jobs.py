@@ -134,6 +134,28 @@ def cross_validate(spark, sf):
     return rounded(rows.select("model", "fold", F.col("value").alias("rmse")), 4, "rmse")
 
 
+@query("udf4_search_objective", "dense_daily", """
+, cuts(fold, cut) AS (VALUES (1, DATE '1999-06-01'), (2, DATE '2000-06-01'), (3, DATE '2001-06-01')),
+means AS (SELECT fold, store_nbr, avg(sales) FILTER (date > cut - 28) AS m28, avg(sales) FILTER (date > cut - 7) AS m7
+          FROM dense_daily JOIN cuts ON date > cut - 28 AND date <= cut GROUP BY fold, store_nbr),
+paths AS (SELECT fold, t.sales AS actual, p.sales AS naive, m28, m7 FROM cuts
+  JOIN dense_daily t ON t.date > cut AND t.date <= cut + 14
+  JOIN dense_daily p ON p.store_nbr = t.store_nbr AND p.date = cut - 7 + (CAST(date_diff('day', cut, t.date) AS INT) - 1) % 7 + 1
+  JOIN means USING (fold) WHERE means.store_nbr = t.store_nbr),
+long AS (SELECT fold, 0 AS candidate, 'seasonal_naive' AS model, naive AS prediction, actual FROM paths
+  UNION ALL SELECT fold, 1, 'recent_mean', m28, actual FROM paths UNION ALL SELECT fold, 2, 'recent_mean', m7, actual FROM paths),
+folds AS (SELECT candidate, model, fold, avg(CASE WHEN prediction < actual THEN 3 * (actual - prediction) ELSE prediction - actual END) AS v
+          FROM long GROUP BY ALL)
+SELECT candidate, model, round(avg(v), 4) AS value FROM folds GROUP BY candidate, model""")
+def udf4(spark, sf):
+    """Three candidates under an objective that weighs a forecast below the sale three times."""
+    def short_costs_more(prediction, actual):
+        return F.avg(F.when(prediction < actual, 3 * (actual - prediction)).otherwise(prediction - actual))
+    candidates = [*_naive(), jobs.RecentMean(tuple(KEYS)), jobs.RecentMean(tuple(KEYS), 7)]
+    cuts = [dt.date(y, 6, 1) for y in (1999, 2000, 2001)]
+    return rounded(jobs.search_models(daily_sales(spark, sf), candidates, KEYS, cuts, 14, short_costs_more), 4, "value")
+
+
 @query("job_check_drift", None, f"""
 WITH scored AS (SELECT * FROM ({SQL['mon3_ks_drift']}) WHERE "column" IN ('sales', 'onpromotion'))
 SELECT TIMESTAMP '2002-01-01' AS ts, 'drift_metrics' AS metric_type, "column" AS series, 'ks_stat' AS metric, ks_stat AS value FROM scored

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import calendar as cal, drift, evaluate, joins, monitor, profile, windows
 from ..operators.additive import Additive, AdditiveSettings, additive_features
@@ -56,6 +57,23 @@ class SeasonalNaive:
         return future.select(*self.keys, "date", "step", F.col("seasonal_naive").alias("prediction"))
 
 
+@dataclass(frozen=True)
+class RecentMean:
+    """The mean of each series' last ``width`` days."""
+
+    keys: tuple[str, ...]
+    width: int = 28
+    name: str = "recent_mean"
+
+    def fit(self, history: DataFrame) -> DataFrame:
+        return history.select(*self.keys).distinct()
+
+    def predict(self, fits: DataFrame, history: DataFrame, days: int) -> DataFrame:
+        known = history.join(fits, list(self.keys), "left_semi")
+        future = baseline_forecast(known, "sales", list(self.keys), days, width=self.width)
+        return future.select(*self.keys, "date", "step", F.col("moving_average").alias("prediction"))
+
+
 def default_models(keys: list[str]) -> list[SeriesModel]:
     return [Arima(keys), AdditiveModel(tuple(keys)), SequenceModel(keys), SeasonalNaive(tuple(keys))]
 
@@ -126,22 +144,44 @@ def forecast_and_monitor(spark: SparkSession, folder: str, run_id: str, model: S
     return future
 
 
-def cross_validate(history: DataFrame, models: list[SeriesModel], keys: list[str], cutoffs: list[dt.date], days: int) -> DataFrame:
-    """(model, fold, metric, value) of each model refitted at every cutoff and scored on the ``days`` after it;
-    feeds ``cv_summary``."""
-    history = materialize(history)
+Objective = Callable[[Column, Column], Column]
+
+
+def root_mean_square(prediction: Column, actual: Column) -> Column:
+    return F.sqrt(F.avg(F.pow(prediction - actual, 2)))
+
+
+def _fold_forecasts(history: DataFrame, models: list[SeriesModel], keys: list[str], cutoffs: list[dt.date], days: int) -> DataFrame:
+    """(candidate, model, fold, keys, date, prediction, actual) of every model refitted at every cutoff."""
     out = None
     for i, cutoff in enumerate(sorted(cutoffs), 1):
         span = history.where((F.col("date") <= F.lit(cutoff) + F.expr(f"INTERVAL {days} DAYS")))
         train = span.where(F.col("date") <= F.lit(cutoff))
         test = span.where(F.col("date") > F.lit(cutoff)).select(*keys, "date", F.col("sales").alias("actual"))
-        for model in models:
+        for number, model in enumerate(models):
             predicted = model.predict(model.fit(train), train, days).select(*keys, "date", "prediction")
-            errors = evaluate.error_metrics(joins.predictions_with_actuals(predicted, test, [*keys, "date"])).unpivot(
-                [], evaluate.METRICS, "metric", "value")
-            rows = errors.select(F.lit(model.name).alias("model"), F.lit(i).alias("fold"), "metric", "value")
+            rows = joins.predictions_with_actuals(predicted, test, [*keys, "date"]).select(
+                F.lit(number).alias("candidate"), F.lit(model.name).alias("model"), F.lit(i).alias("fold"),
+                *keys, "date", "prediction", "actual")
             out = rows if out is None else out.unionByName(rows)
-    return materialize(out)
+    return out
+
+
+def cross_validate(history: DataFrame, models: list[SeriesModel], keys: list[str], cutoffs: list[dt.date], days: int) -> DataFrame:
+    """(model, fold, metric, value) of each model refitted at every cutoff and scored on the ``days`` after it;
+    feeds ``cv_summary``."""
+    rows = _fold_forecasts(materialize(history), models, keys, cutoffs, days)
+    errors = evaluate.error_metrics(rows, ["model", "fold"])
+    return materialize(errors.unpivot(["model", "fold"], evaluate.METRICS, "metric", "value"))
+
+
+def search_models(history: DataFrame, candidates: list[SeriesModel], keys: list[str], cutoffs: list[dt.date], days: int,
+                  objective: Objective = root_mean_square) -> DataFrame:
+    """(candidate, model, value): the mean over folds of a user's objective, an aggregate of prediction and actual; smaller
+    is better. A candidate without a value comes last."""
+    rows = _fold_forecasts(materialize(history), candidates, keys, cutoffs, days)
+    folds = rows.groupBy("candidate", "model", "fold").agg(objective(F.col("prediction"), F.col("actual")).alias("value"))
+    return folds.groupBy("candidate", "model").agg(F.avg("value").alias("value")).orderBy(F.asc_nulls_last("value"), "candidate")
 
 
 def report(bundle: SalesBundle) -> DataFrame:
