@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,21 @@ def slices(sizes: Iterator[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, n
 
 
+def text_runs(column: pa.Array, most: int = 1 << 20, binary: bool = False) -> Iterator[list]:
+    """The texts of a column (NULL as empty) as Python values, about ``most`` bytes at a time: a batch of long texts
+    is never held twice."""
+    column = column.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for a, b in slices(sizes, most):
+        part = [x or b"" for x in column.slice(a, b - a).to_pylist()]
+        yield part if binary else [x.decode("utf-8", "replace") for x in part]
+
+
+def texts_of(column: pa.Array) -> Iterator[str]:
+    for run in text_runs(column):
+        yield from run
+
+
 def running_sums(df: DataFrame, order: list, size: str, before: str, within: str | None = None) -> DataFrame:
     """The rows, range-sorted by ``order``, with the sum of ``size`` over all earlier rows (of the same
     ``within``, by which ``order`` must then begin). No task holds more than one range partition at a time, and

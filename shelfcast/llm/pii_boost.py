@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier
@@ -25,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of, stored
+from shelfcast.llm.common import batch_of, stored, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, LEAST, PRECISION = 20_000, 50, 0.99
 TREES, DEPTH = 12, 3
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_LOCAL = string.ascii_letters + string.digits + "._%+-"
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -56,14 +57,13 @@ def _emails(text: str):
     at, done = text.find("@"), 0
     while at >= 0:
         # the run of allowed characters in front, however long, read back in growing windows
-        width = 64
-        while True:
+        width, start = 64, at
+        while start > done and start > at - width:
             low = max(done, at - width)
-            m = _LOCAL_END.search(text[low:at])
-            if m is None or m.start() > 0 or low == done:
+            start = low + len(text[low:at].rstrip(_LOCAL))
+            if start > low:
                 break
             width *= 4
-        start = at if m is None else low + m.start()
         d = _DOMAIN.match(text, at + 1) if start < at else None
         if d:
             yield 0, start, d.end()
@@ -142,8 +142,7 @@ def proposed_spans(docs: DataFrame) -> DataFrame:
     def work(batches):
         for batch in batches:
             rows = []
-            for row, doc, text in zip(*[c.to_pylist() for c in batch.columns]):
-                text = text or ""
+            for row, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2))):
                 base = base_spans(text)
                 own = [(k, s, e, True, features(text, k, s, e)) for k, s, e in base]
                 by_place = sorted((s, e) for _, s, e in base)

@@ -22,7 +22,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of
+from shelfcast.llm.common import batch_of, texts_of
 
 LEAST_COST, SEGMENT = 10.0, 32
 KINDS = ("assign", "access", "hex", "cost")
@@ -158,8 +158,8 @@ def secret_spans(docs: DataFrame, words: str) -> DataFrame:
         ranks = word_ranks(words)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                base, added, highest = scan(text or "", ranks)
+            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                base, added, highest = scan(text, ranks)
                 rows.append((doc, *[sum(k == i for _, k, _ in base) for i in range(3)],
                              hashlib.sha256(spelled(base).encode()).hexdigest(), spelled(sorted(base + added)), len(added), highest))
             yield batch_of(FOUND, [list(c) for c in zip(*rows)] if rows else [[] for _ in FOUND])

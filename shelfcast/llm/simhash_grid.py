@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of, free_name, slices, stored
+from shelfcast.llm.common import batch_of, free_name, slices, stored, text_runs
 from shelfcast.llm.hashing import xxh64_slices
 
 SHINGLE, DISTANCE = 3, 3
@@ -112,7 +112,7 @@ def _long_fingerprint(text: bytes, words_per: int, step: int = 1 << 20) -> np.ui
     return np.packbits((2 * totals > count)[::-1]).view(">u8").astype(np.uint64)[0]
 
 
-def fingerprints(texts: list[bytes], words_per: int = SHINGLE, together: int = 2 << 20) -> np.ndarray:
+def fingerprints(texts: list[bytes], words_per: int = SHINGLE, together: int = 1 << 20) -> np.ndarray:
     out = np.empty(len(texts), np.uint64)
     for a, b in slices((len(t) for t in texts), together):
         if b == a + 1 and len(texts[a]) > together:
@@ -129,8 +129,8 @@ def with_fingerprint(docs: DataFrame, name: str, words_per: int = SHINGLE) -> Da
 
     def work(batches):
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).fill_null(b"").to_pylist()
-            yield batch_of(schema, [*batch.columns, fingerprints(texts, words_per).view(np.int64)])
+            prints = [fingerprints(run, words_per) for run in text_runs(batch.column(at), binary=True)]
+            yield batch_of(schema, [*batch.columns, np.concatenate([*prints, np.zeros(0, np.uint64)]).view(np.int64)])
 
     return docs.mapInArrow(work, schema)
 
