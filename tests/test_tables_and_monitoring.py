@@ -155,7 +155,7 @@ def test_retraining_job(spark, weekly_series, tmp_path):
     run_id, metrics = jobs.retrain_best_model(spark, folder, weekly_series, models, ["store_nbr"], T0)
     runs, logged = tables.read_runs(spark, folder)
     new = runs.where(F.col("run_id") == run_id).first()
-    assert new["model"] == "seasonal_naive" and new["parent_id"] == "a" and metrics.count() == 4
+    assert new["model"] == "seasonal_naive" and new["parent_id"] == "a" and metrics.count() == 5
     assert logged.where(F.col("run_id") == run_id).count() == 4
 
 
