@@ -334,6 +334,22 @@ def spl7(spark, sf):
     return search.search_additive(features.where(F.col("ds") < cut), features.where(F.col("ds") >= cut), KEYS, grid)
 
 
+@query("spl7_search_line", "dense_daily", """
+, rows AS (SELECT store_nbr, date, sales, CAST(date_diff('day', DATE '1992-01-01', date) AS DOUBLE) AS t FROM dense_daily),
+fit AS (SELECT store_nbr, regr_slope(sales, t) AS s, regr_intercept(sales, t) AS c FROM rows
+        WHERE date < DATE '2001-01-01' GROUP BY store_nbr)
+SELECT store_nbr, CAST(unnest([0, 1]) AS INT) AS candidate, rmse FROM (
+  SELECT store_nbr, round(sqrt(avg(pow(c + s * t - sales, 2))), 3) AS rmse FROM rows JOIN fit USING (store_nbr)
+  WHERE date >= DATE '2001-01-01' GROUP BY store_nbr)""")
+def spl7_line(spark, sf):
+    """Two candidates that differ in the prior of a season the model does not have: equal lines."""
+    features = additive_features(daily_sales(spark, sf), KEYS)
+    cut = dt.date(2001, 1, 1)
+    grid = search.full_grid({"seasonality_prior_scale": [0.1, 10.0]})
+    trials = search.search_additive(features.where(F.col("ds") < cut), features.where(F.col("ds") >= cut), KEYS, grid, LINE)
+    return rounded(trials, 3, "rmse")
+
+
 @query("spl7_best_settings")
 def spl7_best(spark, sf):
     features = additive_features(daily_features(spark, sf), KEYS)
