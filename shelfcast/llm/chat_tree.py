@@ -26,7 +26,6 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,23 +153,28 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
     # the ancestors' places in the stream, neighbouring ones merged: along one conversation per node
     spans = T.StructType([T.StructField("node", T.StringType()), T.StructField("attends", T.ArrayType(T.ArrayType(T.LongType())))])
 
-    def ancestors(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("depth")
-        held, out = [], []
-        for node, start, n, own in zip(rows["node"], rows["stream_start"], rows["n_tokens"], rows["own"]):
-            if own:
-                out.append((node, [list(h) for h in held]))
-            if held and held[-1][1] == start:
-                held[-1] = (held[-1][0], start + n)
-            else:
-                held.append((start, start + n))
-        return pd.DataFrame(out, columns=["node", "attends"])
+    def ancestors(batches):
+        conv, held = None, []
+        for batch in batches:
+            names, attends = [], []
+            for c, node, start, n, own in zip(*[column.to_pylist() for column in batch.columns]):
+                if c != conv:
+                    conv, held = c, []
+                if own:
+                    names.append(node)
+                    attends.append([list(h) for h in held])
+                if held and held[-1][1] == start:
+                    held[-1] = (held[-1][0], start + n)
+                else:
+                    held.append((start, start + n))
+            yield batch_of(spans, [names, attends])
 
     shown = turns.select("conv_no", "depth", "node").join(
         placed.select("node", "stream_start", "n_tokens", "shown_by"), "node").withColumn("own", F.expr("conv_no = shown_by"))
     # only conversations that some node is shown by
     needed = placed.select(F.col("shown_by").alias("conv_no")).distinct()
-    attends = shown.join(needed, "conv_no", "left_semi").groupBy("conv_no").applyInPandas(ancestors, spans)
+    walks = shown.join(needed, "conv_no", "left_semi").repartition("conv_no").sortWithinPartitions("conv_no", "depth")
+    attends = walks.select("conv_no", "node", "stream_start", "n_tokens", "own").mapInArrow(ancestors, spans)
     full = nodes.select("node", "parent", "depth", "formatted", "loss", "token_ids", "n_tokens").join(
         placed.select("node", "stream_start", "position"), "node").join(attends, "node")
     paths = turns.select("conv_no", "depth", "node").join(names, "conv_no")
