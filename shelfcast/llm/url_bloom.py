@@ -37,7 +37,7 @@ def host_and_path(url):
 
 def canonical(host, path):
     """Host without ``www.`` and path without closing slashes, as one key."""
-    return F.concat(F.regexp_replace(host, "^www\\.", ""), F.regexp_replace(path, "/+$", ""))
+    return F.concat(F.regexp_replace(host, "^www\\.", ""), F.rtrim(path, F.lit("/")))
 
 
 def _bit(word: int):
@@ -82,9 +82,10 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFram
                                path.alias("path")), "urls")
     named = [(f"r {h} {p}", h + p, v, len(h + p)) for v, h, p in rules]
     rule_keys = spark.createDataFrame(named or [], "key string, rule string, rule_verdict string, rule_length int")
-    keys = stored(listed.select(F.concat(F.lit("u "), "key").alias("key")).unionByName(rule_keys.select("key")), "listed")
-    blocks = max(1, -(-keys.count() * BITS_PER_KEY // 512))
-    filter_ = stored(bloom_filter(keys, blocks), "bloom")
+    keys = listed.select(F.concat(F.lit("u "), "key").alias("key")).unionByName(rule_keys.select("key")).distinct()
+    lists = stored(keys.join(rule_keys, "key", "left"), "listed")
+    blocks = max(1, -(-lists.count() * BITS_PER_KEY // 512))
+    filter_ = stored(bloom_filter(lists.select("key"), blocks), "bloom")
 
     shapes = sorted({(h.count(".") + 1, len(p)) for _, h, p in rules})
     labels = F.size(F.split(F.col("host"), "\\."))
@@ -96,8 +97,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFram
     asks = rows.select("row_no", F.explode(F.array_compact(F.array(*asked))).alias("key"))
     hits = possible(asks, filter_, blocks)
 
-    lists = keys.distinct().join(rule_keys, "key", "left").hint("shuffle_hash")
-    found = hits.join(lists, "key").groupBy("row_no").agg(
+    # the stored lists are a side of their own, so that a key most pages ask for can be split
+    found = hits.join(lists.hint("shuffle_hash"), "key").groupBy("row_no").agg(
         F.min(F.when(F.col("rule").isNotNull(), F.struct(
             (-F.col("rule_length")).alias("shorter"), (F.col("rule_verdict") != "block").alias("allows"),
             F.col("rule").alias("rule"), F.col("rule_verdict").alias("rule_verdict")))).alias("best"),
