@@ -19,6 +19,7 @@ The arrays hold at most ``MOST_NGRAMS`` n-grams per order, the most frequent one
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of, free_name, slices, stored
+from shelfcast.llm.common import batch_of, free_name, slices, stored, text_runs
 
 ORDER = 4
 MOST_NGRAMS = 2_000_000
@@ -40,7 +41,12 @@ _MASK = [np.uint64((1 << (16 * n)) - 1) for n in range(ORDER + 1)]
 
 
 def _letters(text: str) -> str:
-    return _NOT_LETTERS.sub(" ", text.lower()).strip()
+    found = _NOT_LETTERS.sub(" ", text.lower())
+    if not found.isascii():  # signs such as superscript digits are word characters without being letters
+        for c in set(found):
+            if c != " " and not c.isalpha():
+                found = found.replace(c, " ")
+    return found.strip()
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -58,6 +64,11 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[at], owner
 
 
+def _counted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for a, b in slices((len(x) for x in texts), 1 << 20):
+        yield np.unique(_codes(texts[a:b])[0], return_counts=True)
+
+
 COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("code", T.LongType()),
                        T.StructField("n", T.LongType())])
 
@@ -66,13 +77,21 @@ def ngram_counts(train: DataFrame) -> DataFrame:
     """(lang, code, n) over all of ``train`` (lang, text)."""
     def count(batches):
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), object)
-            texts = batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                own = [x for x in (_letters(texts[i] or "") for i in np.flatnonzero(langs == lang)) if x]
-                for a, b in slices((len(x) for x in own), 1 << 20):
-                    code, n = np.unique(_codes(own[a:b])[0], return_counts=True)
-                    yield batch_of(COUNTS, [[lang] * len(code), code.view(np.int64), n])
+            at, langs = 0, batch.column(0).to_pylist()
+            held: dict[str, list] = {}
+            for run in text_runs(batch.column(1)):
+                by: dict[str, list[str]] = {}
+                for lang, text in zip(langs[at:at + len(run)], run):
+                    letters = _letters(text)
+                    if letters:
+                        by.setdefault(lang, []).append(letters)
+                at += len(run)
+                for lang, own in by.items():
+                    held.setdefault(lang, []).extend(_counted(own))
+            for lang, counted in held.items():
+                code, back = np.unique(np.concatenate([c for c, _ in counted]), return_inverse=True)
+                n = np.bincount(back, weights=np.concatenate([k for _, k in counted])).astype(np.int64)
+                yield batch_of(COUNTS, [[lang] * len(code), code.view(np.int64), n])
 
     partial = train.select("lang", "text").where("lang IS NOT NULL").mapInArrow(count, COUNTS)
     return partial.groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -148,13 +167,13 @@ class KneserNey:
             chars[a:b] += np.bincount(owner, minlength=b - a)
         return sums / np.maximum(1, chars)[:, None], chars
 
-    def calibrate(self, of: np.ndarray, texts: list[str]) -> None:
-        """Mean, deviation over documents and deviation of one character of the language's own cross-entropy."""
-        entropy, chars = self.entropies(texts)
+    def calibrate(self, of: np.ndarray, entropy: np.ndarray, chars: np.ndarray) -> None:
+        """Mean, deviation over documents and deviation of one character of the language's own cross-entropy, from
+        documents of language ``of`` with that entropy and so many characters."""
         for j in range(len(self.langs)):
-            own = np.flatnonzero((of == j) & (chars > 0))
+            own = np.flatnonzero((of == j) & (chars > 1))
             if len(own):
-                value, n = entropy[own, j], chars[own]
+                value, n = entropy[own], chars[own]
                 mean = np.average(value, weights=n)
                 self.calibration[j] = mean, np.sqrt(np.average((value - mean) ** 2, weights=n)), \
                     np.sqrt(np.mean((value - mean) ** 2 * n))
@@ -162,7 +181,7 @@ class KneserNey:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether the document is rejected."""
         letters = [_letters(t or "") for t in texts]
-        have = np.array([bool(x) for x in letters])
+        have = np.array([bool(x) for x in letters], bool)
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         entropy, chars = self.entropies(letters)
@@ -186,14 +205,37 @@ def train(docs: DataFrame) -> KneserNey:
     index = {x: i for i, x in enumerate(langs)}
     of = np.array([index[x] for x in table["lang"].to_pylist()], np.int64)
     model = KneserNey(langs, of, table["code"].to_numpy().astype(np.int64).view(np.uint64), table["n"].to_numpy())
-    # calibration: documents in the order of a hash, CALIBRATION at most, and of each at most what a window holds
-    sample = rows.orderBy(F.xxhash64("doc_id", "text")).limit(CALIBRATION).select("lang", F.left("text", F.lit(20000)).alias("text"))
-    pairs = [(r.lang, _letters(r.text or "")) for r in sample.collect()]
-    if langs and pairs:
-        model.calibrate(np.array([index.get(a, -1) for a, _ in pairs]), [b for _, b in pairs])
+    if langs:
+        # about CALIBRATION documents by a hash; three numbers of each come back
+        part = CALIBRATION / max(1, rows.count())
+        place = F.pmod(F.xxhash64("doc_id", "text", F.lit("calibration")), F.lit(1 << 30))
+        sample = rows.where(place < int(part * (1 << 30))).select("lang", "text") if part < 1 else rows.select("lang", "text")
+        found = _own_entropies(sample, model).limit(4 * CALIBRATION).toPandas()
+        model.calibrate(found["of"].to_numpy(), found["entropy"].to_numpy(), found["chars"].to_numpy())
     return model
 
 
+MEASURED = T.StructType([T.StructField("of", T.IntegerType()), T.StructField("entropy", T.DoubleType()), T.StructField("chars", T.LongType())])
+
+
+def _own_entropies(docs: DataFrame, model: KneserNey) -> DataFrame:
+    """(of, entropy, chars): for each document the cross-entropy of its whole text under its own language's model."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches):
+        known = shared.value
+        index = {x: i for i, x in enumerate(known.langs)}
+        for batch in batches:
+            at, langs = 0, batch.column(0).to_pylist()
+            for run in text_runs(batch.column(1)):
+                of = np.array([index.get(x, 0) for x in langs[at:at + len(run)]], np.int32)
+                entropy, chars = known.entropies([_letters(t) for t in run])
+                yield batch_of(MEASURED, [of, entropy[np.arange(len(of)), of], chars])
+                at += len(run)
+
+    return docs.select("lang", "text").mapInArrow(measure, MEASURED)
+
+
 def held_out(docs: DataFrame):
     """Whether a document is kept out of training."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
@@ -209,8 +251,9 @@ def identified(docs: DataFrame, model: KneserNey, names=("lang_pred", "score", "
     def work(batches):
         known = shared.value
         for batch in batches:
-            lang, score, rejected = known.predict(batch.column(at).to_pylist())
-            yield batch_of(schema, [*batch.columns, lang, score, pa.array(rejected)])
+            parts = [known.predict(run) for run in text_runs(batch.column(at))] or [known.predict([])]
+            yield batch_of(schema, [*batch.columns, [x for p in parts for x in p[0]], np.concatenate([p[1] for p in parts]),
+                                    pa.array(np.concatenate([p[2] for p in parts]))])
 
     return docs.mapInArrow(work, schema)
 

@@ -87,7 +87,7 @@ def test_held_out_accuracy(spark):
 def two_languages(spark):
     rows = [(i, ("the cat and the hat " if i % 2 else "der hund und die katze ") * (1 + i % 5), "en" if i % 2 else "de")
             for i in range(200)]
-    rows += [(500, None, "en"), (501, "", "de"), (502, "12 34 !!", "en"), (503, "the cat", None), (503, "the cat", None),
+    rows += [(500, None, "en"), (501, "", "de"), (502, "12 34 !! \u00b2\u00bd", "en"), (503, "the cat", None), (503, "the cat", None),
              (None, "der hund und", "de"), (504, "the cat and the hat " * 20000, None), (505, "ψφξ ωλκ θηβ " * 30, None)]
     return spark.createDataFrame([(d, t, lang, "s", "mine", 1, "x") for d, t, lang in rows], SCHEMA)
 
