@@ -109,6 +109,7 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     groups = twins.groupBy("block_count", "name").agg(
         F.max_by(F.struct("doc_id", "row_no", "twins"), F.struct("doc_id", "row_no")).alias("keep"),
         F.sum("twins").alias("group_size"))
+    groups = stored(groups, "text-groups")  # so that the join's large groups can be split
     return rows.join(groups, ["block_count", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row_no") == F.col("keep.row_no")).alias("kept"), "text_sha256", F.col("keep.twins").alias("twins"))
