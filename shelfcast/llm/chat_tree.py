@@ -139,9 +139,9 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
 
     nodes = stored(nodes.mapInArrow(tokens, schema), "nodes")
     # where the tree branches: below a parent of several children, and at the first turns
-    sizes = nodes.groupBy("parent").agg(F.count("*").alias("children"))
-    marked = nodes.select("node", "parent", "depth", "shown_by", "n_tokens").join(sizes, "parent").withColumn(
-        "branch", F.when((F.col("children") > 1) | (F.col("depth") == 0), F.substring("node", 1, 16)))
+    sizes = stored(nodes.where("depth > 0").groupBy("parent").agg(F.count("*").alias("children")).where("children > 1"), "branches")
+    marked = nodes.select("node", "parent", "depth", "shown_by", "n_tokens").join(sizes, "parent", "left").withColumn(
+        "branch", F.when(F.col("children").isNotNull() | (F.col("depth") == 0), F.substring("node", 1, 16)))
     marked = stored(marked.select("node", "branch", "n_tokens", "shown_by"), "marked")
     walked = turns.select("conv_no", "depth", "node").join(marked, "node")
     along = Window.partitionBy("conv_no").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
