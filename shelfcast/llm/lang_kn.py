@@ -9,7 +9,8 @@ no language has seen fall back through the stored context weights.
 
 The language of the lowest cross-entropy per character wins. A document is rejected if it has no letter, or if even
 the best cross-entropy is above what documents of that language reach: mean + ``MARGIN`` + ``SPREADS`` deviations
-of a mean over so many characters, measured on up to ``CALIBRATION`` training documents.
+of a mean over so many characters, measured on all training documents of the language. A language of fewer than
+``FEW`` documents has limits no lower than the others; without any measured document nothing is rejected for its entropy.
 
 Defined results: NULL text or text without letters gives ``und``, score 0, rejected. Documents with NULL lang never
 train. Without any training document everything is ``und``. Equal entropies give the first language by code point.
@@ -31,8 +32,7 @@ from shelfcast.llm.common import batch_of, free_name, slices, stored, text_runs
 
 ORDER = 4
 MOST_NGRAMS = 2_000_000
-CALIBRATION = 4000
-MARGIN, SPREADS = 1.0, 8.0
+MARGIN, SPREADS, FEW = 1.0, 8.0, 30
 #: Characters of evidence that the score counts at most.
 EVIDENCE = 48
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -103,7 +103,7 @@ class KneserNey:
 
     def __init__(self, langs: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray):
         self.langs, self.grams, self.probs, self.contexts, self.weights = langs, {}, {}, {}, {}
-        self.calibration = np.zeros((len(langs), 3))
+        self.calibration = np.full((len(langs), 3), np.inf)
         count, of, wide = n.astype(float), lang, code
         tables = {ORDER: (of, wide, count)}
         for order in range(ORDER - 1, 0, -1):
@@ -167,16 +167,21 @@ class KneserNey:
             chars[a:b] += np.bincount(owner, minlength=b - a)
         return sums / np.maximum(1, chars)[:, None], chars
 
-    def calibrate(self, of: np.ndarray, entropy: np.ndarray, chars: np.ndarray) -> None:
-        """Mean, deviation over documents and deviation of one character of the language's own cross-entropy, from
-        documents of language ``of`` with that entropy and so many characters."""
-        for j in range(len(self.langs)):
-            own = np.flatnonzero((of == j) & (chars > 1))
-            if len(own):
-                value, n = entropy[own], chars[own]
-                mean = np.average(value, weights=n)
-                self.calibration[j] = mean, np.sqrt(np.average((value - mean) ** 2, weights=n)), \
-                    np.sqrt(np.mean((value - mean) ** 2 * n))
+    def calibrate(self, sums: dict[str, tuple[int, int, float, float]]) -> None:
+        """Mean, deviation over documents and deviation of one character of each language's own cross-entropy, from
+        the sums over its documents: documents, characters, nats, nats squared by characters."""
+        measured = np.zeros((len(self.langs), 3))
+        docs = np.array([sums.get(x, (0,))[0] for x in self.langs])
+        for j in np.flatnonzero(docs):
+            n, chars, nats, squares = sums[self.langs[j]]
+            mean = nats / chars
+            spread = max(0.0, squares - mean * nats)  # of (entropy - mean) squared by characters
+            measured[j] = mean, np.sqrt(spread / chars), np.sqrt(spread / n)
+        if docs.max() >= FEW:
+            measured[docs < FEW] = np.maximum(measured[docs < FEW], measured[docs >= FEW].max(axis=0))
+        else:
+            measured[docs == 0] = np.inf
+        self.calibration = measured
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether the document is rejected."""
@@ -206,34 +211,37 @@ def train(docs: DataFrame) -> KneserNey:
     of = np.array([index[x] for x in table["lang"].to_pylist()], np.int64)
     model = KneserNey(langs, of, table["code"].to_numpy().astype(np.int64).view(np.uint64), table["n"].to_numpy())
     if langs:
-        # about CALIBRATION documents by a hash; three numbers of each come back
-        part = CALIBRATION / max(1, rows.count())
-        place = F.pmod(F.xxhash64("doc_id", "text", F.lit("calibration")), F.lit(1 << 30))
-        sample = rows.where(place < int(part * (1 << 30))).select("lang", "text") if part < 1 else rows.select("lang", "text")
-        found = _own_entropies(sample, model).limit(4 * CALIBRATION).toPandas()
-        model.calibrate(found["of"].to_numpy(), found["entropy"].to_numpy(), found["chars"].to_numpy())
+        model.calibrate({r.lang: tuple(r)[1:] for r in _own_sums(rows, model).collect()})  # one row per language
     return model
 
 
-MEASURED = T.StructType([T.StructField("of", T.IntegerType()), T.StructField("entropy", T.DoubleType()), T.StructField("chars", T.LongType())])
+MEASURED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("docs", T.LongType()),
+                         T.StructField("chars", T.LongType()), T.StructField("nats", T.DoubleType()),
+                         T.StructField("squares", T.DoubleType())])
 
 
-def _own_entropies(docs: DataFrame, model: KneserNey) -> DataFrame:
-    """(of, entropy, chars): for each document the cross-entropy of its whole text under its own language's model."""
+def _own_sums(docs: DataFrame, model: KneserNey) -> DataFrame:
+    """``MEASURED`` per language: sums over all its documents with letters, of the whole texts under its own model."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
         known = shared.value
         index = {x: i for i, x in enumerate(known.langs)}
+        held = np.zeros((len(index), 4))
         for batch in batches:
             at, langs = 0, batch.column(0).to_pylist()
             for run in text_runs(batch.column(1)):
-                of = np.array([index.get(x, 0) for x in langs[at:at + len(run)]], np.int32)
-                entropy, chars = known.entropies([_letters(t) for t in run])
-                yield batch_of(MEASURED, [of, entropy[np.arange(len(of)), of], chars])
+                pairs = [(index[x], t) for x, t in zip(langs[at:at + len(run)], map(_letters, run)) if t]
                 at += len(run)
-
-    return docs.select("lang", "text").mapInArrow(measure, MEASURED)
+                of = np.array([j for j, _ in pairs], np.int64)
+                entropy, chars = known.entropies([t for _, t in pairs])
+                nats = entropy[np.arange(len(of)), of] * chars
+                np.add.at(held, of, np.stack([np.ones(len(of)), chars, nats, nats ** 2 / np.maximum(1, chars)], axis=1))
+        have = np.flatnonzero(held[:, 0])
+        yield batch_of(MEASURED, [[known.langs[j] for j in have], *held[have, :2].astype(np.int64).T, *held[have, 2:].T])
+
+    parts = docs.select("lang", "text").mapInArrow(measure, MEASURED)
+    return parts.groupBy("lang").agg(*[F.sum(c).alias(c) for c in MEASURED.names[1:]])
 
 
 def held_out(docs: DataFrame):

@@ -113,3 +113,25 @@ def test_nothing_to_learn_from(spark):
     unlabelled = spark.createDataFrame([(1, "abc", None, "s", "", 1, "")], SCHEMA)
     r = lang_kn.identified(unlabelled, lang_kn.train_on_fold(unlabelled), ("a", "b", "c")).first()
     assert (r.a, r.b, r.c) == ("und", 0.0, True)
+
+
+def test_rare_languages_are_not_rejected(spark):
+    """Six languages of one document each beside thousands of another: all documents count in the calibration."""
+    import random
+    rng = random.Random(4)
+    words = {"en": "the cat and hat house river walks under over stone".split(), "f": "talo joki kivi kissa hattu alla yli kulkee".split()}
+    rows = [(i, " ".join(rng.choices(words["f" if i % 1500 == 0 else "en"], k=12)), f"f{i}" if i % 1500 == 0 else "en")
+            for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_kn.train(docs)
+    assert np.isfinite(model.calibration).all() and (model.calibration > 0).all()
+    got = lang_kn.identified(docs.where("lang <> 'en'"), model).collect()
+    assert len(got) == 6 and all(r.lang_pred == r.lang and not r.rejected for r in got)
+
+
+def test_language_without_calibration_is_not_rejected():
+    model = model_of(CORPUS)
+    model.calibrate({"xx": (100, 10_000, 9000.0, 8200.0)})
+    assert model.predict(["cdcd dcc ccd"])[0] == ["yy"] and not model.predict(["cdcd dcc ccd"])[2][0]
+    model.calibrate({})
+    assert not model.predict(["cdcd dcc ccd", "abab"])[2].any()
