@@ -14,7 +14,8 @@ of a mean over so many characters, measured on all training documents of the lan
 
 Defined results: NULL text or text without letters gives ``und``, score 0, rejected. Documents with NULL lang never
 train. Without any training document everything is ``und``. Equal entropies give the first language by code point.
-The arrays hold at most ``MOST_NGRAMS`` n-grams per order, the most frequent ones, which bounds the broadcast.
+Up to ``MOST_NGRAMS`` n-grams the model is broadcast; a larger one stays in tables, which Spark aggregates make and the
+documents' distinct n-grams are joined to. Both give the same probabilities from all counts.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of, free_name, slices, stored, text_runs
+from shelfcast.llm.common import batch_of, free_name, numbered, slices, stored, text_runs
 
 ORDER = 4
 MOST_NGRAMS = 2_000_000
@@ -97,13 +98,47 @@ def ngram_counts(train: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-class KneserNey:
+class Judge:
+    """What follows from cross-entropies, whatever holds the probabilities."""
+
+    def __init__(self, langs: list[str]):
+        self.langs, self.calibration = langs, np.full((len(langs), 3), np.inf)
+
+    def calibrate(self, sums: dict[str, tuple[int, int, float, float]]) -> None:
+        """Mean, deviation over documents and deviation of one character of each language's own cross-entropy, from
+        the sums over its documents: documents, characters, nats, nats squared by characters."""
+        measured = np.zeros((len(self.langs), 3))
+        docs = np.array([sums.get(x, (0,))[0] for x in self.langs])
+        for j in np.flatnonzero(docs):
+            n, chars, nats, squares = sums[self.langs[j]]
+            mean = nats / chars
+            spread = max(0.0, squares - mean * nats)  # of (entropy - mean) squared by characters
+            measured[j] = mean, np.sqrt(spread / chars), np.sqrt(spread / n)
+        if docs.max() >= FEW:
+            measured[docs < FEW] = np.maximum(measured[docs < FEW], measured[docs >= FEW].max(axis=0))
+        else:
+            measured[docs == 0] = np.inf
+        self.calibration = measured
+
+    def decide(self, have: np.ndarray, entropy: np.ndarray, chars: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and whether the document is rejected; ``have`` tells which have letters."""
+        best = entropy.argmin(axis=1)
+        low = entropy[np.arange(len(best)), best]
+        odds = np.exp(-(entropy - low[:, None]) * np.minimum(chars, EVIDENCE)[:, None])
+        score = np.where(have, 1 / odds.sum(axis=1), 0.0)
+        mean, wide, each = self.calibration[best].T
+        limit = mean + MARGIN + SPREADS * np.sqrt(wide ** 2 + each ** 2 / np.maximum(1, chars))
+        rejected = ~have | (low > limit)
+        return [self.langs[b] if h else "und" for b, h in zip(best, have)], score, rejected
+
+
+class KneserNey(Judge):
     """The models of all languages: for every order the sorted codes with natural-log probabilities per language, and
     sorted contexts with the log weight of falling back."""
 
     def __init__(self, langs: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray):
-        self.langs, self.grams, self.probs, self.contexts, self.weights = langs, {}, {}, {}, {}
-        self.calibration = np.full((len(langs), 3), np.inf)
+        super().__init__(langs)
+        self.grams, self.probs, self.contexts, self.weights = {}, {}, {}, {}
         count, of, wide = n.astype(float), lang, code
         tables = {ORDER: (of, wide, count)}
         for order in range(ORDER - 1, 0, -1):
@@ -167,45 +202,128 @@ class KneserNey:
             chars[a:b] += np.bincount(owner, minlength=b - a)
         return sums / np.maximum(1, chars)[:, None], chars
 
-    def calibrate(self, sums: dict[str, tuple[int, int, float, float]]) -> None:
-        """Mean, deviation over documents and deviation of one character of each language's own cross-entropy, from
-        the sums over its documents: documents, characters, nats, nats squared by characters."""
-        measured = np.zeros((len(self.langs), 3))
-        docs = np.array([sums.get(x, (0,))[0] for x in self.langs])
-        for j in np.flatnonzero(docs):
-            n, chars, nats, squares = sums[self.langs[j]]
-            mean = nats / chars
-            spread = max(0.0, squares - mean * nats)  # of (entropy - mean) squared by characters
-            measured[j] = mean, np.sqrt(spread / chars), np.sqrt(spread / n)
-        if docs.max() >= FEW:
-            measured[docs < FEW] = np.maximum(measured[docs < FEW], measured[docs >= FEW].max(axis=0))
-        else:
-            measured[docs == 0] = np.inf
-        self.calibration = measured
-
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether the document is rejected."""
         letters = [_letters(t or "") for t in texts]
         have = np.array([bool(x) for x in letters], bool)
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        entropy, chars = self.entropies(letters)
-        best = entropy.argmin(axis=1)
-        low = entropy[np.arange(len(best)), best]
-        odds = np.exp(-(entropy - low[:, None]) * np.minimum(chars, EVIDENCE)[:, None])
-        score = np.where(have, 1 / odds.sum(axis=1), 0.0)
-        mean, wide, each = self.calibration[best].T
-        limit = mean + MARGIN + SPREADS * np.sqrt(wide ** 2 + each ** 2 / np.maximum(1, chars))
-        rejected = ~have | (low > limit)
-        return [self.langs[b] if h else "und" for b, h in zip(best, have)], score, rejected
+        return self.decide(have, *self.entropies(letters))
+
 
+class TableModel(Judge):
+    """The same models as tables: ``grams[k]`` (code, p) and ``contexts[k]`` (context, total, weight) with one value
+    per language in each array. Only discounts, one number per language and order, come to the driver."""
 
-def train(docs: DataFrame) -> KneserNey:
+    def __init__(self, counts: DataFrame, langs: list[str]):
+        super().__init__(langs)
+        spark, many = counts.sparkSession, len(langs)
+        index = spark.createDataFrame(list(enumerate(langs)), "of int, lang string")
+        tables = {ORDER: stored(counts.join(F.broadcast(index), "lang").select("of", "code", "n"), "kn-counts")}
+        for order in range(ORDER - 1, 0, -1):
+            shorter = F.col("code").bitwiseAND(F.lit(int(_MASK[order]))).alias("code")
+            tables[order] = stored(tables[order + 1].select("of", shorter).groupBy("of", "code").agg(F.count("*").alias("n")), "kn-counts")
+        size = max(2, tables[1].select("code").distinct().count() + 1)
+        self.start = F.array_repeat(F.lit(1.0 / size), many)
+        self.grams, self.contexts = {}, {}
+        places = F.sequence(F.lit(0), F.lit(many - 1))
+        for order in range(1, ORDER + 1):
+            own = tables[order].withColumn("context", F.shiftrightunsigned("code", 16))
+            discount = [0.1] * many
+            for r in own.groupBy("of").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect():
+                discount[r.of] = float(np.clip(r.ones / max(1, r.ones + 2 * r.twos), 0.1, 0.9))
+            discounts = F.array(*[F.lit(d) for d in discount])
+            # at most one entry per language in each list
+            each = own.groupBy("context", "of").agg(F.sum("n").cast("double").alias("total"), F.count("*").alias("kinds"))
+            by_context = each.groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct(
+                "of", F.struct("total", "kinds")))).alias("m"))
+            self.contexts[order] = stored(by_context.select(
+                "context", F.transform(places, lambda j: F.coalesce(F.col("m")[j]["total"], F.lit(0.0))).alias("total"),
+                F.transform(places, lambda j: F.coalesce(F.get(discounts, j) * F.col("m")[j]["kinds"] / F.col("m")[j]["total"], F.lit(1.0)))
+                .alias("weight")), "kn-contexts")
+            grams = own.groupBy("code").agg(F.map_from_entries(F.collect_list(F.struct("of", "n"))).alias("m"))
+            grams = grams.withColumn("context", F.shiftrightunsigned("code", 16)).join(self.contexts[order], "context")
+            if order == 1:
+                grams = grams.withColumn("below", self.start)
+            else:
+                grams = grams.withColumn("suffix", F.col("code").bitwiseAND(F.lit(int(_MASK[order - 1])))).join(
+                    self.grams[order - 1].select(F.col("code").alias("suffix"), F.col("p").alias("below")), "suffix")
+            self.grams[order] = stored(grams.select("code", F.transform(places, lambda j: F.get("weight", j) * F.get("below", j) + F.coalesce(
+                F.try_divide(F.greatest(F.col("m")[j] - F.get(discounts, j), F.lit(0.0)), F.get("total", j)), F.lit(0.0))).alias("p")), "kn-grams")
+
+    def scored(self, codes: DataFrame) -> DataFrame:
+        """(code, p) of distinct codes: the stored probability, or that of the shorter n-gram times the context's weight."""
+        at = codes.withColumn("p", self.start)
+        for order in range(1, ORDER + 1):
+            own = F.col("code") if order == ORDER else F.col("code").bitwiseAND(F.lit(int(_MASK[order])))
+            at = at.withColumn("own", own).withColumn("context", F.shiftrightunsigned("own", 16))
+            at = at.join(self.grams[order].select(F.col("code").alias("own"), F.col("p").alias("found")), "own", "left").join(
+                self.contexts[order].select("context", "weight"), "context", "left")
+            back = F.when(F.col("weight").isNull(), F.col("p")).otherwise(F.zip_with("p", "weight", lambda p, w: p * w))
+            at = at.select("code", F.coalesce("found", back).alias("p"))
+        return at
+
+    def entropies(self, docs: DataFrame) -> DataFrame:
+        """(row_no, chars, nats) of the rows of ``docs`` (row_no, text) that have letters, nats per language."""
+        def grams(batches):
+            for batch in batches:
+                at, rows = 0, batch.column(0).to_numpy()
+                for run in text_runs(batch.column(1)):
+                    for row, text in zip(rows[at:at + len(run)], map(_letters, run)):
+                        for i in range(0, len(text), 1 << 20):
+                            code, n = np.unique(_codes([text[i:i + (1 << 20)]])[0], return_counts=True)
+                            yield batch_of(GRAMS, [np.full(len(code), row), code.view(np.int64), n])
+                    at += len(run)
+
+        found = stored(docs.select("row_no", "text").mapInArrow(grams, GRAMS), "kn-documents")
+        scored = stored(self.scored(found.select("code").distinct()), "kn-scored")
+        sums = [F.sum(-F.col("n") * F.ln(F.get("p", F.lit(j)))) for j in range(len(self.langs))]
+        return found.join(scored, "code").groupBy("row_no").agg(F.sum("n").alias("chars"), F.array(*sums).alias("nats"))
+
+    def own_sums(self, docs: DataFrame) -> DataFrame:
+        rows = numbered(docs.select("lang", "text"), "row_no")
+        of = F.array_position(F.array(*[F.lit(x) for x in self.langs]), F.col("lang")).cast("int") - 1
+        own = self.entropies(rows).join(rows.select("row_no", "lang"), "row_no").withColumn("nats", F.get("nats", of))
+        return own.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("chars").alias("chars"), F.sum("nats").alias("nats"),
+                                       F.sum(F.col("nats") * F.col("nats") / F.col("chars")).alias("squares"))
+
+    def identified(self, docs: DataFrame, names) -> DataFrame:
+        kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
+        row, chars, nats = (free_name(docs, n) for n in ("row_no", "chars", "nats"))
+        schema = T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(names, kinds)]])
+        rows = numbered(docs, row)
+        found = self.entropies(rows.select(F.col(row).alias("row_no"), "text"))
+        found = found.select(F.col("row_no").alias(row), F.col("chars").alias(chars), F.col("nats").alias(nats))
+        judge = Judge(self.langs)
+        judge.calibration = self.calibration
+
+        def work(batches):
+            for batch in batches:
+                *columns, n, sums = batch.columns[1:]
+                have = n.is_valid().to_numpy(zero_copy_only=False)
+                n = n.fill_null(0).to_numpy(zero_copy_only=False)
+                entropy = np.zeros((len(n), len(judge.langs)))
+                if have.any():
+                    entropy[have] = np.array(sums.flatten()).reshape(-1, len(judge.langs)) / n[have][:, None]
+                lang, score, rejected = judge.decide(have, entropy, n)
+                yield batch_of(schema, [*columns, lang, score, pa.array(rejected)])
+
+        joined = rows.join(found, row, "left")
+        return joined.select(row, *[F.col(f"`{c}`") for c in docs.columns], chars, nats).mapInArrow(work, schema)
+
+
+GRAMS = T.StructType([T.StructField("row_no", T.LongType()), T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
+
+
+def train(docs: DataFrame) -> KneserNey | TableModel:
     """The model of ``docs`` (doc_id, lang, text); rows with NULL lang take no part."""
     rows = docs.where("lang IS NOT NULL")
     counts = stored(ngram_counts(rows), "ngrams")
-    most = counts.orderBy(F.desc("n"), "lang", "code").limit(MOST_NGRAMS)
-    table = (most if counts.count() > MOST_NGRAMS else counts).toArrow()  # at most MOST_NGRAMS rows of numbers
+    if counts.count() > MOST_NGRAMS:
+        model = TableModel(counts, sorted(r.lang for r in counts.select("lang").distinct().collect()))
+        model.calibrate({r.lang: tuple(r)[1:] for r in model.own_sums(rows).collect()})
+        return model
+    table = counts.toArrow()  # at most MOST_NGRAMS rows of numbers
     langs = sorted(set(table["lang"].to_pylist()))
     index = {x: i for i, x in enumerate(langs)}
     of = np.array([index[x] for x in table["lang"].to_pylist()], np.int64)
@@ -249,8 +367,10 @@ def held_out(docs: DataFrame):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def identified(docs: DataFrame, model: KneserNey, names=("lang_pred", "score", "rejected")) -> DataFrame:
+def identified(docs: DataFrame, model: KneserNey | TableModel, names=("lang_pred", "score", "rejected")) -> DataFrame:
     """``docs`` with the predicted language, its score and whether the document is rejected, under ``names``."""
+    if isinstance(model, TableModel):
+        return model.identified(docs, names)
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(names, kinds)]])
     at = docs.columns.index("text")
@@ -266,7 +386,7 @@ def identified(docs: DataFrame, model: KneserNey, names=("lang_pred", "score", "
     return docs.mapInArrow(work, schema)
 
 
-def train_on_fold(docs: DataFrame) -> KneserNey:
+def train_on_fold(docs: DataFrame) -> KneserNey | TableModel:
     return train(docs.where(~held_out(docs)).select("doc_id", "lang", "text"))
 
 

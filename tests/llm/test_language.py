@@ -135,3 +135,22 @@ def test_language_without_calibration_is_not_rejected():
     assert model.predict(["cdcd dcc ccd"])[0] == ["yy"] and not model.predict(["cdcd dcc ccd"])[2][0]
     model.calibrate({})
     assert not model.predict(["cdcd dcc ccd", "abab"])[2].any()
+
+
+def test_model_in_tables_gives_the_same(spark, two_languages, monkeypatch):
+    names = ("a", "b", "c")
+    small = lang_kn.train_on_fold(two_languages)
+    want = lang_kn.identified(two_languages, small, names).collect()
+    monkeypatch.setattr(lang_kn, "MOST_NGRAMS", 3)
+    large = lang_kn.train_on_fold(two_languages)
+    assert large.langs == small.langs == ["de", "en"]  # no count is dropped
+    assert np.allclose(large.calibration, small.calibration, rtol=1e-3, atol=1e-4)
+    got = lang_kn.identified(two_languages, large, names).collect()
+    key = lambda r: (str(r.doc_id), r.a, r.c)
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    assert np.allclose(sorted(r.b for r in got), sorted(r.b for r in want), atol=1e-4)
+    probes = ["the cat", "der hund", "zzz qqq", "thd hun"]
+    rows = spark.createDataFrame(list(enumerate(probes)), "row_no long, text string")
+    entropy, chars = small.entropies(probes)
+    for r in large.entropies(rows).collect():
+        assert r.chars == chars[r.row_no] and np.allclose(np.array(r.nats) / r.chars, entropy[r.row_no], rtol=1e-4)
