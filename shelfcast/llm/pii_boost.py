@@ -3,10 +3,12 @@
 Base spans follow fixed rules and always stay. Generators with high recall propose further spans, which may overlap:
 addresses spelled with "at" and "dot", digit groups with any separators, dotted quads of any size. Boosted trees judge
 every candidate by its format (length, digits, groups, separators, check digit, ...) and its context (neighbouring
-characters, words in front). They are fitted with the base spans as positives on a sample of at most ``SAMPLE``
-candidates; the probability from which a candidate counts is calibrated per kind on a part of the sample that was not
-fitted, as the lowest one at which the accepted are ``PRECISION`` right. Accepted candidates that touch no base span are added; where
-they overlap each other the more probable one stays.
+characters, words in front). What decides the base rules is hidden from them: spans are read in a plain form without plus
+sign, country code and the spelling of "@" and ".", and check digit and number sizes are no features. The trees tell base
+spans from untouched candidates, which are unlabelled rather than wrong, on a sample of each kind and class. A candidate
+counts if it looks more like a base span than an unlabelled one and scores no lower than the lowest ``BELOW`` of the base spans
+of its kind in documents that were not fitted. Accepted candidates that touch no base span are added; where they
+overlap each other the more probable one stays.
 
 Defined results: a NULL text counts as empty and has no spans; the digest of no spans is that of the empty string.
 Rows may repeat and are judged each. With fewer than ``LEAST`` examples of either class nothing is added. An empty
@@ -29,7 +31,7 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import batch_of, stored, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, LEAST, PRECISION = 20_000, 50, 0.99
+SAMPLE, LEAST, BELOW, BINS = 20_000, 50, 0.25, 1000
 TREES, DEPTH = 12, 3
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = string.ascii_letters + string.digits + "._%+-"
@@ -97,27 +99,35 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
             digits = sum(c.isdigit() for c in m.group())
             if m.group().count(".") == 3:
                 out.append((1, m.start(), m.end()))
-            if 12 <= digits <= 19:
+            if 12 <= digits <= 19 and luhn("".join(c for c in m.group() if c.isdigit())):  # else it is no card by definition
                 out.append((2, m.start(), m.end()))
             if 7 <= digits <= 15:
                 out.append((3, m.start(), m.end()))
     return out
 
 
+_AT = re.compile(r"\s?[(\[]\s?(?:@|at)\s?[)\]]\s?|\sat\s|@", re.A)
+_DOT = re.compile(r"\s?[(\[]\s?(?:\.|dot)\s?[)\]]\s?|\sdot\s", re.A)
+_COUNTRY = re.compile(r"\+(?:[0-9]{1,3}[\x20.-]+(?=[(0-9]))?")
+
+
+def plain_form(span: str, kind: int) -> str:
+    """The span as it would read without what decides the base rule of its kind."""
+    if kind == 0:
+        return _DOT.sub(".", _AT.sub("@", span, count=1))
+    return _COUNTRY.sub("", span, count=1) if kind == 3 else span
+
+
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
-    """Format of the span and of its context. The plus sign and the check that decide the base rules are left to the
-    trees as features among others."""
-    span = text[start:end]
-    digits = "".join(c for c in span if "0" <= c <= "9")
+    """Format of the span's plain form, and its context."""
+    span = plain_form(text[start:end], kind)
     groups = [len(g) for g in re.findall("[0-9]+", span)] or [0]
     front = re.findall(r"[a-z]+", text[max(0, start - 40):start].lower())[-4:]
     before, after = text[start - 1:start], text[end:end + 1]
     return [float(x) for x in (
-        kind == 0, kind == 1, kind == 2, kind == 3, end - start, len(digits), len(groups), max(groups), min(groups),
-        sum(c.isalpha() for c in span), span.count(" "), span.count("-"), span.count("."), span.count("("), "@" in span,
-        "+" in text[max(0, start - 1):end], bool(digits) and len(digits) <= 19 and luhn(digits),
-        all(g <= 3 for g in groups) and all(int(g) <= 255 for g in re.findall("[0-9]+", span) if len(g) <= 3),
-        before.isspace() or not before, after.isspace() or not after, after in ",.;:!?)", before.isalnum(),
+        kind == 0, kind == 1, kind == 2, kind == 3, len(span), sum(groups), len(groups), max(groups), min(groups), groups[-1],
+        sum(c.isalpha() for c in span), span.count(" "), span.count("-"), span.count("."), span.count("("), span.count("/"),
+        before.isspace() or not before, after.isspace() or not after, after in ".,;:!?)", before.isalnum(),
         any(w.startswith(s) for w in front for s in _WORDS[kind]))]
 
 
@@ -165,25 +175,23 @@ def proposed_spans(docs: DataFrame) -> DataFrame:
 
 def fit(found: DataFrame):
     """Trees and the calibrated probability per kind, or None if there is too little to learn from."""
-    sample = (found.select("row_no", F.explode("proposed").alias("c")).select("row_no", "c.*")
-              .orderBy(F.xxhash64("row_no", "kind", "start")).limit(SAMPLE)
-              .select("kind", F.col("base").cast("double").alias("label"), array_to_vector("features").alias("features"),
-                      (F.pmod(F.xxhash64("row_no", F.lit("fold")), F.lit(3)) == 0).alias("kept_out")))
-    sample = stored(sample, "pii-sample")
-    fold = sample.where("NOT kept_out")
-    count = fold.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
-    if min(count[0] or 0, count[1] or 0) < LEAST:
+    each = found.select("row_no", F.explode("proposed").alias("c")).select(
+        "row_no", "c.*", (F.pmod(F.xxhash64("row_no", F.lit("fold")), F.lit(3)) == 0).alias("kept_out"))
+    counts = {(r.kind, r.base): r.n for r in each.where("NOT kept_out").groupBy("kind", "base").agg(F.count("*").alias("n")).collect()}
+    if min(sum(n for (_, base), n in counts.items() if base == label) for label in (True, False)) < LEAST:
         return None
+    fold = stored(each.where("NOT kept_out").orderBy(F.xxhash64("row_no", "kind", "start")).limit(SAMPLE).select(
+        F.col("base").cast("double").alias("label"), array_to_vector("features").alias("features")), "pii-sample")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=2, featuresCol="features", labelCol="label").fit(fold)
-    judged = model.transform(sample.where("kept_out")).select(
-        "kind", "label", vector_to_array("probability")[1].alias("p")).toPandas()  # at most SAMPLE rows
+    # scores of all base spans that were not fitted, as counts per kind and bin
+    judged = model.transform(each.where("kept_out AND base").select("kind", array_to_vector("features").alias("features")))
+    bins = judged.groupBy("kind", F.floor(vector_to_array("probability")[1] * BINS).alias("bin")).agg(F.count("*").alias("n")).collect()
     limits = {}
-    for kind, rows in judged.groupby("kind"):
-        rows = rows.sort_values("p", ascending=False)
-        right = rows["label"].cumsum().to_numpy() / np.arange(1, len(rows) + 1)
-        fine = np.flatnonzero((right >= PRECISION) & (np.arange(1, len(rows) + 1) >= LEAST // 2))
-        if len(fine):
-            limits[int(kind)] = max(0.5, float(rows["p"].to_numpy()[fine[-1]]))
+    for kind in {r.kind for r in bins}:
+        own = sorted((r.bin, r.n) for r in bins if r.kind == kind)
+        n = np.cumsum([n for _, n in own])
+        if n[-1] >= LEAST // 4:
+            limits[kind] = max(0.5, own[int(np.searchsorted(n, BELOW * n[-1]))][0] / BINS)
     return (model, limits) if limits else None
 
 

@@ -75,6 +75,23 @@ def test_trees_add_what_looks_like_base_spans(spark):
     assert got[5001].spans == got[5002].spans == "" and got[None].spans == "email:0:6"
 
 
+def personal_corpus(rng):
+    rows = []
+    for i in range(1500):
+        name, host = rng.choice(["jane", "bob.k", "maria", "li"]), rng.choice(["example", "mail-x", "shop"])
+        number = f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        rows.append((i, [f"please mail {name}@{host}.com today", f"call phone +1 {number} now", "nothing of note",
+                         f"we met at noon. Then {name} left (dot) by", f"item {rng.randint(100, 999)} {rng.randint(1000, 9999)} {rng.randint(100, 999)} of stock"][i % 5]))
+    return rows
+
+
+def test_spelled_addresses_and_plain_phones_are_added(spark):
+    late = [(5000, "phone (212) 555-0100 or mail jane at example dot com")]
+    got = {r.doc_id: r for r in pii_boost.personal_spans(frame(spark, personal_corpus(random.Random(3)) + late)).collect()}
+    assert got[5000].spans == "email:29:52,phone:6:20" and got[5000].n_added == 2
+    assert all(got[i].n_added == 0 for i in range(1500))
+
+
 def test_trees_learn_from_format_and_context(spark):
     rng = random.Random(8)
     rows = [(i, f"call tel +{rng.randint(1, 99)} 555 {rng.randint(100, 999)} {rng.randint(1000, 9999)} now" if i % 2 else
