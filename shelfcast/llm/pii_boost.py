@@ -180,7 +180,13 @@ def fit(found: DataFrame):
     counts = {(r.kind, r.base): r.n for r in each.where("NOT kept_out").groupBy("kind", "base").agg(F.count("*").alias("n")).collect()}
     if min(sum(n for (_, base), n in counts.items() if base == label) for label in (True, False)) < LEAST:
         return None
-    fold = stored(each.where("NOT kept_out").orderBy(F.xxhash64("row_no", "kind", "start")).limit(SAMPLE).select(
+    # about as many of each kind and class, by a hash
+    most, place = SAMPLE // (2 * len(KINDS)), F.pmod(F.xxhash64("row_no", "kind", "start"), F.lit(1 << 30))
+    part = F.lit(1 << 30)
+    for (kind, base), n in counts.items():
+        if n > most:
+            part = F.when((F.col("kind") == kind) & (F.col("base") == base), int(most / n * (1 << 30))).otherwise(part)
+    fold = stored(each.where(~F.col("kept_out") & (place < part)).select(
         F.col("base").cast("double").alias("label"), array_to_vector("features").alias("features")), "pii-sample")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=2, featuresCol="features", labelCol="label").fit(fold)
     # scores of all base spans that were not fitted, as counts per kind and bin

@@ -92,6 +92,14 @@ def test_spelled_addresses_and_plain_phones_are_added(spark):
     assert all(got[i].n_added == 0 for i in range(1500))
 
 
+def test_a_hot_source_switches_no_kind_off(spark, monkeypatch):
+    monkeypatch.setattr(pii_boost, "SAMPLE", 1600)
+    rng = random.Random(5)
+    hot = [(10_000 + i, " ; ".join(f"row {rng.randint(100, 999)} {rng.randint(10**6, 10**7)} {rng.randint(10**5, 10**6)}" for _ in range(60))) for i in range(800)]
+    model, limits = pii_boost.fit(pii_boost.proposed_spans(frame(spark, personal_corpus(rng) + hot)))
+    assert {0, 3} <= set(limits)
+
+
 def test_trees_learn_from_format_and_context(spark):
     rng = random.Random(8)
     rows = [(i, f"call tel +{rng.randint(1, 99)} 555 {rng.randint(100, 999)} {rng.randint(1000, 9999)} now" if i % 2 else
