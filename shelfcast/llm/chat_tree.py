@@ -9,7 +9,7 @@ tokens: those of its ancestors, neighbouring ones merged. A conversation is its
 Depth-first order is the order of paths. A path lists only the nodes where the tree branches, so a long conversation that nobody
 shares has a short path, and equal paths are ordered by depth. The order is a range sort over all nodes, and stream offsets are
 prefix sums over the range partitions: a first turn that a third of all conversations share is one row, and its
-subtree may span many tasks. One conversation is held in one task, as one text is.
+subtree may span many tasks. A conversation passes through one task row by row and is never held as a whole.
 
 The template is ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts ``<|`` gets a backslash, and backslashes
 between ``<`` and ``|`` one more, so no text can close or open a turn, and reading back removes one. In roles, backslashes and
@@ -26,7 +26,8 @@ import re
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,33 +93,38 @@ def _token_ids(formatted: list[str], path: str) -> list[np.ndarray]:
 TURNS = T.StructType([
     T.StructField("conv_no", T.LongType()), T.StructField("depth", T.IntegerType()), T.StructField("node", T.StringType()),
     T.StructField("parent", T.StringType()), T.StructField("formatted", T.StringType()), T.StructField("loss", T.BooleanType())])
+#: Where nodes stand on the path of the conversation that shows them.
+PLACES = T.StructType([
+    T.StructField("node", T.StringType()), T.StructField("path", T.StringType()), T.StructField("depth", T.IntegerType()),
+    T.StructField("n_tokens", T.LongType()), T.StructField("position", T.LongType()), T.StructField("shown_by", T.LongType())])
 TOKENS = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
 
 
 def _turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(conv_no, conv_id) and the turns with their nodes, both from stored conversations."""
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    whole = stored(whole.withColumn("conv_no", F.monotonically_increasing_id()), "conversations")
+    """(conv_no, conv_id) and the turns with their nodes, both from the stored turns."""
+    said = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    schema = T.StructType([conversations.schema["conv_id"], *TURNS.fields])
 
     def chain(batches):
+        conv, no, depth, parent = object(), TaskContext.get().partitionId() << 33, 0, ""
         for batch in batches:
             rows = []
-            for conv, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parent = ""
-                for depth, t in enumerate(turns):
-                    role, text = t["role"], t["text"]
-                    own = f"{parent}\n{len(role)}\n{role}\n{text}".encode("utf-8", "surrogatepass")
-                    node = hashlib.sha256(own).hexdigest()[:40]
-                    rows.append((conv, depth, node, parent, render(role, text), role == "assistant"))
-                    parent = node
-                    if len(rows) >= 2000:
-                        yield batch_of(TURNS, [list(c) for c in zip(*rows)])
-                        rows = []
+            for own_id, role, text in zip(*[column.to_pylist() for column in batch.columns]):
+                if own_id != conv:
+                    conv, no, depth, parent = own_id, no + 1, 0, ""
+                own = f"{parent}\n{len(role)}\n{role}\n{text}".encode("utf-8", "surrogatepass")
+                node = hashlib.sha256(own).hexdigest()[:40]
+                rows.append((conv, no, depth, node, parent, render(role, text), role == "assistant"))
+                depth, parent = depth + 1, node
+                if len(rows) >= 2000:
+                    yield batch_of(schema, [list(c) for c in zip(*rows)])
+                    rows = []
             if rows:
-                yield batch_of(TURNS, [list(c) for c in zip(*rows)])
+                yield batch_of(schema, [list(c) for c in zip(*rows)])
 
-    return whole.select("conv_no", "conv_id"), stored(whole.select("conv_no", "turns").mapInArrow(chain, TURNS), "turns")
+    sorted_turns = said.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    turns = stored(sorted_turns.select("conv_id", "role", "text").mapInArrow(chain, schema), "turns")
+    return turns.where("depth = 0").select("conv_no", "conv_id"), turns.drop("conv_id")
 
 
 def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, DataFrame]:
@@ -144,10 +150,23 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
         "branch", F.when(F.col("children").isNotNull() | (F.col("depth") == 0), F.substring("node", 1, 16)))
     marked = stored(marked.select("node", "branch", "n_tokens", "shown_by"), "marked")
     walked = turns.select("conv_no", "depth", "node").join(marked, "node")
-    along = Window.partitionBy("conv_no").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
-    walked = walked.withColumn("path", F.array_join(F.collect_list("branch").over(along), "")).withColumn(
-        "position", F.sum("n_tokens").over(along) - F.col("n_tokens"))
-    placed = walked.where("conv_no = shown_by").select("node", "path", "depth", "n_tokens", "position", "shown_by")
+    walked = walked.repartition("conv_no").sortWithinPartitions("conv_no", "depth")
+
+    def walk(batches):
+        conv, path, position = None, "", 0
+        for batch in batches:
+            rows = []
+            for c, depth, node, branch, n, shown_by in zip(*[column.to_pylist() for column in batch.columns]):
+                if c != conv:
+                    conv, path, position = c, "", 0
+                path += branch or ""
+                if c == shown_by:
+                    rows.append((node, path, depth, n, position, shown_by))
+                position += n
+            if rows:
+                yield batch_of(PLACES, [list(c) for c in zip(*rows)])
+
+    placed = walked.select("conv_no", "depth", "node", "branch", "n_tokens", "shown_by").mapInArrow(walk, PLACES)
     placed = stored(running_sums(placed, ["path", "depth", "node"], "n_tokens", "stream_start"), "stream")
 
     # the ancestors' places in the stream, neighbouring ones merged: along one conversation per node
@@ -190,21 +209,28 @@ READ = T.StructType([
 def read_back(tree: DataFrame, paths: DataFrame) -> DataFrame:
     """Each conversation put together again from the nodes on its path, parsed and digested."""
     turns = paths.select("conv_no", "conv_id", "depth", "node").join(tree.select("node", "formatted", "loss"), "node")
-    whole = turns.groupBy("conv_no", "conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("depth", "formatted", "loss"))).alias("nodes"))
+    turns = turns.repartition("conv_no").sortWithinPartitions("conv_no", "depth")
 
     def digest(batches):
+        no, conv, n, said, loss_chars, loss, chars = None, None, 0, None, 0, None, 0
         for batch in batches:
             rows = []
-            for conv, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                formatted = "".join(n["formatted"] for n in nodes)
-                turns = parse(formatted)
-                said = hashlib.sha256()
-                for role, text in turns:
+            for c, own_id, formatted, counts in zip(*[column.to_pylist() for column in batch.columns]):
+                if c != no:
+                    if no is not None:
+                        rows.append((conv, n, said.hexdigest(), loss_chars, loss.hexdigest(), chars))
+                    no, conv, n, said, loss_chars, loss, chars = c, own_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+                # each rendered turn ends where the next begins, so the parts parse as the whole does
+                for role, text in parse(formatted):
+                    n += 1
                     said.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                loss = [text for (_, text), n in zip(turns, nodes) if n["loss"]]
-                rows.append((conv, len(turns), said.hexdigest(), sum(map(len, loss)),
-                             hashlib.sha256("".join(loss).encode("utf-8", "surrogatepass")).hexdigest(), len(formatted)))
-            yield batch_of(READ, [list(c) for c in zip(*rows)] if rows else [[] for _ in READ])
+                    if counts:
+                        loss_chars += len(text)
+                        loss.update(text.encode("utf-8", "surrogatepass"))
+                chars += len(formatted)
+            if rows:
+                yield batch_of(READ, [list(c) for c in zip(*rows)])
+        if no is not None:
+            yield batch_of(READ, [[x] for x in (conv, n, said.hexdigest(), loss_chars, loss.hexdigest(), chars)])
 
-    return whole.select(F.col("conv_id").cast("long"), "nodes").mapInArrow(digest, READ)
+    return turns.select("conv_no", F.col("conv_id").cast("long"), "formatted", "loss").mapInArrow(digest, READ)

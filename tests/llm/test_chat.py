@@ -91,3 +91,22 @@ def test_query_adds_the_breaking_conversation(spark):
 def test_no_conversations(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert chat_tree.read_back(*chat_tree.prefix_tree(empty, VOCABULARY)).count() == 0
+
+
+def test_long_conversations_pass_row_by_row(spark, monkeypatch):
+    """No step gathers a conversation: not in a list, and not in one Arrow batch."""
+    def refuse(*_):
+        raise AssertionError("a conversation is gathered")
+    monkeypatch.setattr(chat_tree.F, "collect_list", refuse)
+    said = [(None if i % 3 else 7, i, "assistant" if i % 2 else "user", f"t{i} é") for i in range(600)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = chat_tree.read_back(*chat_tree.prefix_tree(spark.createDataFrame([(*r, "n") for r in said], SCHEMA), VOCABULARY)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.n_turns for r in got) == [200, 400]
+    for r in got:
+        turns = [(a, b) for c, _, a, b in said if c == r.conv_id]
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256("".join(b for a, b in turns if a == "assistant").encode()).hexdigest()
+        assert r.formatted_chars == sum(len(chat_tree.render(a, b)) for a, b in turns)
