@@ -2,8 +2,8 @@
 
 Base spans are found by fixed rules. Values that follow a credential word (password, pwd, bearer, ...) are priced by
 dynamic programming: the cheapest way to cut a value into dictionary words, dates, repeats, keyboard walks and
-brute-force spans, as log10 of the guesses an attacker needs. A value of at least ``LEAST_COST`` that mixes kinds of
-characters and touches no base span is added as a ``cost`` span. Words are ranked by their place in a public
+brute-force spans, as log10 of the guesses an attacker needs. A value of at least ``LEAST_COST``, or ``LETTERS_COST`` if it
+has only letters as long foreign words do, that touches no base span is added as a ``cost`` span. Words are ranked by their place in a public
 tokenizer's merge list, whose path is a parameter.
 
 Defined results: a NULL text counts as empty and has no spans; the digest of no spans is that of the empty string.
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.common import batch_of, texts_of
 
-LEAST_COST, SEGMENT = 10.0, 32
+LEAST_COST, LETTERS_COST, SEGMENT = 10.0, 16.5, 32
 KINDS = ("assign", "access", "hex", "cost")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -117,10 +117,6 @@ def _base(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _mixed(value: str) -> bool:
-    return sum((any(c.isdigit() for c in value), any(c.isalpha() for c in value), any(not c.isalnum() for c in value))) >= 2
-
-
 def scan(text: str, ranks: dict[str, int]) -> tuple[list, list, float | None]:
     """Base spans, added spans, and the highest guess cost of a value in credential context."""
     low = text.lower()
@@ -130,14 +126,14 @@ def scan(text: str, ranks: dict[str, int]) -> tuple[list, list, float | None]:
         for m in _CONTEXT.finditer(text):
             value = m.group(1).rstrip(".,;:!?)]}")
             start, end = m.start(1), m.start(1) + len(value)
-            if len(value) < 8 or not _mixed(value):
+            if len(value) < 8:
                 continue
             cost = guess_cost(value, ranks)
             highest = cost if highest is None else max(highest, cost)
             while at < len(base) and base[at][0] < end:
                 reach = max(reach, base[at][2])
                 at += 1
-            if cost >= LEAST_COST and reach <= start:
+            if cost >= (LETTERS_COST if value.isalpha() else LEAST_COST) and reach <= start:
                 added.append((start, 3, end))
     return base, added, highest
 

@@ -179,3 +179,13 @@ def test_values_in_context_are_added(spark):
     assert by[4].spans == by[5].spans == "" and by[5].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert by[None].spans == "cost:7:19"
     assert secret_cost.secret_spans(spark.createDataFrame([], SCHEMA), WORDS).count() == 0
+
+
+def test_values_of_one_kind_of_characters_are_priced():
+    ranks = secret_cost.word_ranks(WORDS)
+    for text, span in (("pwd: kqzvwxjhtrplmnb", (5, 3, 20)), ("credential: 83920571640293", (12, 3, 26))):
+        base, added, highest = secret_cost.scan(text, ranks)
+        assert (base, added) == ([], [span]) and highest >= secret_cost.LEAST_COST
+    for text in ("the password is Zusammenarbeit", "pwd: 12345678901234", "pwd: responsabilidad", "token: --------------", "secret is 20191231"):
+        _, added, highest = secret_cost.scan(text, ranks)
+        assert added == [] and highest is not None
