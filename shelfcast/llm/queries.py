@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    chat_tree, es_mix, exact_blocks, hilbert_pack, lang_kn, pii_boost, secret_cost, simhash_grid, topk_blocks, url_bloom)
+    chat_tree, chunk_divergence, es_mix, exact_blocks, hilbert_pack, lang_kn, pii_boost, secret_cost, simhash_grid,
+    topk_blocks, url_bloom, warc_zstd)
+from shelfcast.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,3 +130,59 @@ WITH fine AS (
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 10""")
 def op10(spark, sf_dir):
     return topk_blocks.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_chunk_divergence", r"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), kept AS (
+    SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM docs) GROUP BY ALL HAVING count(*) >= 10
+), counts AS (
+    SELECT d.lang, d.source, d.term, count(*)::HUGEINT AS n
+    FROM (SELECT lang, source, unnest(terms) AS term FROM docs) d JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+    SELECT g.lang, g.source, coalesce(v.kinds, 0) AS kinds, coalesce(t.total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN (SELECT lang, count(*) AS kinds FROM kept GROUP BY 1) v USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) t USING (lang, source)
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.total + 2 * g.kinds)::HUGEINT AS p
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), langs AS (
+    SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang))::HUGEINT AS q
+    FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM counts GROUP BY ALL)
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+           CAST(coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+), terms AS (
+    SELECT s.lang, s.source, 'term' AS part, s.term AS item, CAST((s.p - l.q) * (s.p - l.q) // (s.p + l.q) AS BIGINT) AS value
+    FROM shares s JOIN langs l USING (lang, term) WHERE s.n > 0 AND s.p > l.q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""")
+def op11(spark, sf_dir):
+    return chunk_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op12_warc_dictionary", """
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+named AS (
+    SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
+           max(page_id) OVER (PARTITION BY body) AS keep_id FROM bodies
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep_id THEN keep_id END AS refers_to
+FROM named""")
+def op12(spark, sf_dir):
+    archive = scratch_path(spark, "warc")
+    warc_zstd.write_archive(table(spark, sf_dir, "pages"), archive)
+    return warc_zstd.read_archive(spark, archive, payloads=False).drop("url")
