@@ -31,6 +31,14 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+class Numbers(dict):
+    """Numbers its keys in the order they are first asked for."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
+
 def numbered(df: DataFrame, row: str) -> DataFrame:
     """The rows with a unique long ``row``, stored: ids that are made anew by each scan could differ between scans."""
     return stored(df.withColumn(row, F.monotonically_increasing_id()), "rows")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    chat_tree, chunk_divergence, es_mix, exact_blocks, hilbert_pack, lang_kn, pii_boost, secret_cost, simhash_grid,
-    topk_blocks, url_bloom, warc_zstd)
+    chat_tree, chunk_divergence, es_mix, exact_blocks, hilbert_pack, lang_kn, phrase_graph, pii_boost, secret_cost,
+    simhash_grid, topk_blocks, url_bloom, warc_zstd)
 from shelfcast.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,36 @@ def op12(spark, sf_dir):
     archive = scratch_path(spark, "warc")
     warc_zstd.write_archive(table(spark, sf_dir, "pages"), archive)
     return warc_zstd.read_archive(spark, archive, payloads=False).drop("url")
+
+
+@query("op13_phrase_graph", r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), words AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY 1
+), occurring AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM pieces, range(1, 5) AS s(size) WHERE len(w) >= size
+), counts AS (
+    SELECT lang, size, phrase, count(*) AS f FROM occurring GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+    SELECT lang, size, phrase, f AS a, k, string_split(phrase, ' ') AS w
+    FROM counts, range(1, 4) AS c(k) WHERE size > 1 AND k < size
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+           CAST(2000000::HUGEINT * c.a // (x.f + y.f)::HUGEINT AS BIGINT) AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), held AS (
+    SELECT DISTINCT s.lang, s.phrase FROM counts s JOIN counts g ON s.lang = g.lang AND s.size > 1 AND g.size > s.size
+    AND contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * g.f >= 80 * s.f
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+FROM best b JOIN words USING (lang) ANTI JOIN held h ON h.lang = b.lang AND h.phrase = b.phrase QUALIFY rank <= 2000""")
+def op13(spark, sf_dir):
+    return phrase_graph.collocations(table(spark, sf_dir, "documents"))
