@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from ..operators import clean, evaluate, forecast, joins, learner, linear, search
 from ..operators.additive import AdditiveSettings, additive_features, fit_additive_by_series
-from ..operators.arima import Arima, adf_by_series
+from ..operators.arima import Arima, adf_by_series, kpss_by_series, seasonal_root_by_series
 from ..session import materialize
 from ..sources import retail_views as views
 from .registry import query, r, rounded
@@ -45,6 +46,38 @@ def fct1_plain(spark, sf):
     return rounded(df.select(*KEYS, "n", "statistic", "is_stationary"), 6, "statistic")
 
 
+@query("fct2_kpss", "dense_daily", """
+, sized AS (SELECT store_nbr, date, row_number() OVER (PARTITION BY store_nbr ORDER BY date) AS i,
+            sales - avg(sales) OVER (PARTITION BY store_nbr) AS e, count(*) OVER (PARTITION BY store_nbr) AS n FROM dense_daily),
+summed AS (SELECT *, CAST(floor(4 * pow(n / 100, 0.25)) AS INT) AS lags,
+           sum(e) OVER (PARTITION BY store_nbr ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM sized),
+level AS (SELECT store_nbr, n, lags, sum(s * s) AS ss, sum(e * e) AS ee FROM summed GROUP BY store_nbr, n, lags),
+lagged AS (SELECT a.store_nbr, sum((1 - (a.i - b.i) / (a.lags + 1)) * a.e * b.e) AS pp FROM summed a JOIN summed b
+           ON a.store_nbr = b.store_nbr AND b.i < a.i AND b.i >= a.i - a.lags GROUP BY a.store_nbr),
+tested AS (SELECT store_nbr, n, lags, ss / n / (ee + 2 * pp) AS t FROM level JOIN lagged USING (store_nbr))
+SELECT store_nbr, n, lags, round(t, 6) AS statistic,
+       round(CASE WHEN t < 0.347 THEN 0.1 WHEN t < 0.463 THEN 0.1 - (t - 0.347) / 0.116 * 0.05
+             WHEN t < 0.574 THEN 0.05 - (t - 0.463) / 0.111 * 0.025
+             WHEN t < 0.739 THEN 0.025 - (t - 0.574) / 0.165 * 0.015 ELSE 0.01 END, 6) AS p_value, t < 0.463 AS is_stationary
+FROM tested""")
+def fct2_kpss(spark, sf):
+    return rounded(kpss_by_series(daily_sales(spark, sf), "sales", KEYS), 6, "statistic", "p_value")
+
+
+@query("fct2_seasonal_root_no_lags", "dense_daily", """
+, diffs AS (SELECT store_nbr, date, sales - lag(sales) OVER w AS d, sales - lag(sales, 7) OVER w AS m FROM dense_daily
+            WINDOW w AS (PARTITION BY store_nbr ORDER BY date)),
+rows AS (SELECT store_nbr, m - lag(m) OVER w AS y, lag(m) OVER w AS a, lag(d, 7) OVER w AS b FROM diffs
+         WINDOW w AS (PARTITION BY store_nbr ORDER BY date)),
+sums AS (SELECT store_nbr, count(*) AS n, sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS by_,
+         sum(y * y) AS yy FROM rows WHERE y IS NOT NULL AND b IS NOT NULL GROUP BY store_nbr),
+fit AS (SELECT *, (aa * by_ - ab * ay) / (aa * bb - ab * ab) AS cb, (bb * ay - ab * by_) / (aa * bb - ab * ab) AS ca FROM sums),
+tested AS (SELECT store_nbr, n, cb / sqrt((yy - ca * ay - cb * by_) / (n - 2) * aa / (aa * bb - ab * ab)) AS t FROM fit)
+SELECT store_nbr, n, 0 AS lags, round(t, 5) AS statistic, t > -1.8452369 AS needs_difference FROM tested""")
+def fct2_seasonal_root(spark, sf):
+    return rounded(seasonal_root_by_series(daily_sales(spark, sf), "sales", KEYS, max_lag=0), 5, "statistic")
+
+
 @query("fct2_auto_order")
 def fct2(spark, sf):
     fits = Arima(KEYS).fit(materialize(daily_sales(spark, sf)))
@@ -111,16 +144,46 @@ def fct3_ar1(spark, sf):
 @query("fct4_predict_ar1", "dense_daily", _AR1 + f"""
 , last AS (SELECT store_nbr, max(date) AS m, arg_max(sales, date) AS y FROM dense_daily GROUP BY store_nbr),
 steps AS (SELECT CAST(unnest(generate_series(1, 14)) AS INT) AS step),
-ahead AS (SELECT f.store_nbr, CAST(m + step AS DATE) AS date, step, sigma,
+ahead AS (SELECT f.store_nbr, CAST(m + step AS DATE) AS date, step,
+          sigma * CASE WHEN p = 0 THEN 1 ELSE sqrt((1 - pow(b, 2 * step)) / (1 - b * b)) END AS spread,
           CASE WHEN p = 0 THEN a ELSE a * (1 - pow(b, step)) / (1 - b) + pow(b, step) * y END AS prediction
           FROM fit f JOIN last USING (store_nbr), steps)
-SELECT store_nbr, date, step, round(prediction, 4) AS prediction, round(prediction - {Z95} * sigma, 4) AS lower,
-       round(prediction + {Z95} * sigma, 4) AS upper FROM ahead""")
+SELECT store_nbr, date, step, round(prediction, 4) AS prediction, round(prediction - {Z95} * spread, 4) AS lower,
+       round(prediction + {Z95} * spread, 4) AS upper FROM ahead""")
 def fct4_ar1(spark, sf):
     model, daily = ar1(), materialize(daily_sales(spark, sf))
     return rounded(model.predict(model.fit(daily), daily, 14), 4, "prediction", "lower", "upper")
 
 
+# A model of one difference and no terms is a walk with drift; its band grows with the root of the step, or of the
+# number of weeks if the difference is seasonal.
+_WALK = """
+, steps AS (SELECT CAST(unnest(generate_series(1, 30)) AS INT) AS step),
+diffs AS (SELECT store_nbr, date, sales, sales - lag(sales, {lag}) OVER (PARTITION BY store_nbr ORDER BY date) AS z FROM dense_daily),
+fit AS (SELECT store_nbr, avg(z) AS c, stddev_samp(z) AS sigma, max(date) AS m FROM diffs GROUP BY store_nbr),
+ahead AS (SELECT f.store_nbr, CAST(f.m + step AS DATE) AS date, step, d.sales + c * k AS prediction, {z} * sigma * sqrt(k) AS half
+          FROM (SELECT *, CAST(ceil(step / {lag}) AS INT) AS k, CAST((step - 1) % {lag} + 1 - {lag} AS INT) AS back FROM fit, steps) f
+          JOIN dense_daily d ON d.store_nbr = f.store_nbr AND d.date = f.m + f.back)
+SELECT store_nbr, date, step, round(prediction, 4) AS prediction, round(prediction - half, 4) AS lower,
+       round(prediction + half, 4) AS upper FROM ahead"""
+
+
+def _walk(spark, sf, **fixed):
+    model = Arima(KEYS, max_p=0, max_q=0, max_seasonal=0, seasonal=False, **fixed)
+    daily = materialize(daily_sales(spark, sf))
+    return rounded(model.predict(model.fit(daily), daily, 30), 4, "prediction", "lower", "upper")
+
+
+@query("fct4_predict_random_walk", "dense_daily", _WALK.format(lag=1, z=Z95))
+def fct4_walk(spark, sf):
+    return _walk(spark, sf, d=1, seasonal_d=0)
+
+
+@query("fct4_predict_seasonal_walk", "dense_daily", _WALK.format(lag=7, z=Z95))
+def fct4_seasonal_walk(spark, sf):
+    return _walk(spark, sf, d=0, seasonal_d=1)
+
+
 @query("fct5_diagnostics_ar1", "dense_daily", _AR1 + f"""
 SELECT store_nbr, date, actual, round(prediction, 4) AS prediction, """ + r("actual - prediction", 4) + f""" AS residual,
        round(prediction - {Z95} * sigma, 4) AS lower, round(prediction + {Z95} * sigma, 4) AS upper FROM fitted""")
@@ -179,6 +242,29 @@ def fct7_line(spark, sf):
     return rounded(model.in_sample_metrics(features, fits).select(*KEYS, "n", "rmse", "mae"), 3, "rmse", "mae")
 
 
+# One possible change of slope beside a free line: after the line is taken out of the hinge and of the sales, the change
+# is their product less the threshold sigma^2 / (prior * size), over the hinge's square.
+BENT = replace(LINE, changepoints=1, changepoint_range=0.5, changepoint_prior_scale=0.0001)
+
+
+@query("fct7_soft_threshold", "dense_daily", """
+, rows AS (SELECT store_nbr, sales, date_diff('day', min(date) OVER w, date) / date_diff('day', min(date) OVER w, max(date) OVER w) AS t
+           FROM dense_daily WINDOW w AS (PARTITION BY store_nbr)),
+hinged AS (SELECT *, greatest(t - 0.5, 0) AS h FROM rows),
+sums AS (SELECT store_nbr, count(*) AS n, avg(sales * sales) AS size2, regr_sxx(sales, t) AS tt, regr_sxy(sales, t) AS ty,
+         regr_syy(sales, t) AS yy, regr_sxx(sales, h) AS hh, regr_sxy(sales, h) AS hy, regr_sxy(h, t) AS th, avg(sales) AS my,
+         avg(t) AS mt, avg(h) AS mh FROM hinged GROUP BY store_nbr),
+bare AS (SELECT *, hh - th * th / tt AS g, hy - th * ty / tt AS r FROM sums),
+cut AS (SELECT *, (yy - ty * ty / tt - r * r / g) / (n - 3) / (0.0001 * sqrt(size2)) AS threshold FROM bare),
+bent AS (SELECT *, sign(r) * greatest(abs(r) - threshold, 0) / g AS change FROM cut)
+SELECT store_nbr, n, round(my - (ty - th * change) / tt * mt - change * mh, 3) AS start, round((ty - th * change) / tt, 3) AS slope,
+       round(change, 3) + 0 AS change FROM bent""")
+def fct7_soft_threshold(spark, sf):
+    _, _, fits = fit_additive_by_series(daily_sales(spark, sf), KEYS, BENT)
+    named = fits.select(*KEYS, "n", *[F.col("coef")[i].alias(c) for i, c in enumerate(("start", "slope", "change"))])
+    return rounded(named, 3, "start", "slope", "change").withColumn("change", F.col("change") + 0)
+
+
 @query("fct8_predict_line", "dense_daily", _LINE + "SELECT store_nbr, date, step, round(prediction, 3) AS prediction FROM ahead")
 def fct8_line(spark, sf):
     model, features, fits = _line(spark, sf)
@@ -236,6 +322,52 @@ def fct11_next(spark, sf):
     return rounded(losses, 6, "train_loss", "val_loss")
 
 
+_COLUMNS = """
+, framed AS (SELECT d.store_nbr, d.date, d.sales AS x, CAST(coalesce(s.onpromotion, 0) AS DOUBLE) AS p,
+             lead(d.sales) OVER w AS y1, lead(d.sales, 2) OVER w AS y2, max(d.date) OVER (PARTITION BY d.store_nbr) AS m
+             FROM dense_daily d LEFT JOIN dense_sales s ON s.store_nbr = d.store_nbr AND s.date = d.date
+             WINDOW w AS (PARTITION BY d.store_nbr ORDER BY d.date)),
+marked AS (SELECT *, percent_rank() OVER (PARTITION BY store_nbr ORDER BY date DESC) < 0.2 AS is_val FROM framed WHERE y2 IS NOT NULL),
+long AS (SELECT store_nbr, date, x, p, is_val, unnest([1, 2]) AS step, unnest([y1, y2]) AS y FROM marked),
+sums AS (SELECT step, regr_sxx(y, x) AS xx, regr_sxx(y, p) AS pp, regr_sxy(x, p) AS xp, regr_sxy(y, x) AS xy, regr_sxy(y, p) AS py,
+         avg(x) AS mx, avg(p) AS mp, avg(y) AS my FROM long WHERE NOT is_val GROUP BY step),
+slopes AS (SELECT *, (pp * xy - xp * py) / (xx * pp - xp * xp) AS b, (xx * py - xp * xy) / (xx * pp - xp * xp) AS c FROM sums),
+fit AS (SELECT step, b, c, my - b * mx - c * mp AS a FROM slopes)
+"""
+
+
+def promoted_sales(spark, sf):
+    """The daily series with the promotions of each day, 0 where there were none."""
+    promotions = views.dense_sales(spark, sf).select(*KEYS, "date", F.col("onpromotion").cast("double").alias("onpromotion"))
+    return daily_sales(spark, sf).join(promotions, [*KEYS, "date"], "left").na.fill(0.0, ["onpromotion"])
+
+
+@query("fct11_columns_losses", "dense_daily dense_sales", _COLUMNS + """
+SELECT round(avg(pow(a + b * x + c * p - y, 2)) FILTER (NOT is_val), 2) AS train_loss,
+       round(avg(pow(a + b * x + c * p - y, 2)) FILTER (is_val), 2) AS val_loss FROM long JOIN fit USING (step)""")
+def fct11_columns(spark, sf):
+    _, losses = learner.fit_column_regressor(promoted_sales(spark, sf), ["onpromotion"], "sales", KEYS, length=1, horizon=2,
+                                             ridge=0.0, relative=False)
+    return rounded(losses, 2, "train_loss", "val_loss")
+
+
+@query("fct11_columns_predict", "dense_daily dense_sales", _COLUMNS + """
+SELECT store_nbr, CAST(m + CAST(step AS INT) AS DATE) AS date, CAST(step AS INT) AS step, round(a + b * x + c * p, 4) AS prediction
+FROM framed, fit WHERE date = m""")
+def fct11_columns_predict(spark, sf):
+    daily = materialize(promoted_sales(spark, sf))
+    model = learner.ColumnSequenceModel(KEYS, ["onpromotion"], length=1, horizon=2, ridge=0.0, relative=False)
+    return rounded(model.predict(model.fit(daily), daily, 2), 4, "prediction")
+
+
+@query("fct11_columns_full")
+def fct11_columns_full(spark, sf):
+    """A month of sales, promotions, oil prices and holidays, two weeks ahead."""
+    daily = materialize(daily_features(spark, sf).na.fill(0.0))
+    names = [c for c in ("onpromotion", "dcoilwtico", "holiday_type_Holiday") if c in daily.columns]
+    return learner.fit_column_regressor(daily, names, "sales", KEYS, horizon=14)[1]
+
+
 @query("fct11_sequence_boosted")
 def fct11_gbt(spark, sf):
     return learner.fit_sequence_regressor(daily_sales(spark, sf), "sales", KEYS, method="gbt")[1]

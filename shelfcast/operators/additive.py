@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import zlib
 from dataclasses import dataclass, field
 from math import pi
 
@@ -40,6 +42,7 @@ class AdditiveSettings:
     yearly_order: int = YEARLY_ORDER
     weekly_order: int = WEEKLY_ORDER
     trend_prior_scale: float = 5.0
+    uncertainty_samples: int = 1000
 
     @property
     def parts(self) -> dict[str, slice]:
@@ -103,17 +106,84 @@ def prior_scales(settings: AdditiveSettings) -> np.ndarray:
     return scale
 
 
-def ridge_solve(xtx, xty, yty, n, scale, slopes: int = 0):
-    """(coefficients, residual variance) under normal priors; the noise level comes from a first fit
-    without them. The ``slopes`` columns after the first two are changes of slope over the whole span."""
+def sparse_solve(gram, rhs, limits, rounds: int = 1000):
+    """Minimum of ½ b'Gb - r'b + Σ limits·|b|: coefficients enter one at a time, the one that violates its threshold most
+    first, and those in use are solved exactly for their signs; where a sign would flip, the coefficient stops at 0."""
+    size = np.sqrt(np.maximum(np.diag(gram), 0.0))
+    live = size > 1e-9 * max(size.max(initial=0.0), 1e-300)
+    unit = np.where(live, size, 1.0)
+    g, r, cut = gram / np.outer(unit, unit), rhs / unit, np.asarray(limits, float) / unit
+    beta, signs = np.zeros(len(rhs)), np.zeros(len(rhs))
+    tolerance = 1e-10 * max(1e-300, np.abs(r).max(initial=0.0))
+
+    def cost(b):
+        return 0.5 * b @ g @ b - r @ b + cut @ np.abs(b)
+
+    for _ in range(rounds):
+        pull = r - g @ beta
+        over = np.where(live & (signs == 0), np.abs(pull) - cut, -np.inf)
+        enters = int(over.argmax()) if len(over) else 0
+        if not len(over) or over[enters] <= tolerance:
+            break
+        signs[enters] = np.sign(pull[enters])
+        while True:
+            used = np.flatnonzero(signs)
+            wanted = np.zeros_like(beta)
+            wanted[used] = np.linalg.pinv(g[np.ix_(used, used)], rcond=1e-13, hermitian=True) @ (r[used] - cut[used] * signs[used])
+            if (wanted[used] * signs[used] >= 0).all():
+                better = wanted
+                break
+            # the lowest point on the way there: the end, or where a coefficient reaches 0
+            flips = used[(wanted[used] * beta[used] < 0)]
+            stops = [beta + (wanted - beta) * (beta[j] / (beta[j] - wanted[j])) for j in flips]
+            for j, stop in zip(flips, stops):
+                stop[j] = 0.0
+            better = min([wanted, *stops], key=cost)
+            if cost(better) >= cost(beta) - 1e-300:
+                better = None
+                break
+            beta, signs = better, np.sign(better)
+        if better is None or cost(better) >= cost(beta):
+            break
+        beta, signs = better, np.sign(better)
+    # columns that are copies of others can stop this short; coordinate descent goes on from there
+    left = r - g @ beta
+    for _ in range(rounds):
+        moved = 0.0
+        for j in np.flatnonzero(live):
+            pull = left[j] + beta[j]
+            new = np.sign(pull) * max(abs(pull) - cut[j], 0.0)
+            step = new - beta[j]
+            if abs(step) > tolerance:
+                left -= g[:, j] * step
+                beta[j] = new
+                moved = max(moved, abs(step))
+        if moved <= 100 * tolerance:
+            break
+    return beta / unit
+
+
+def prior_solve(xtx, xty, yty, n, scale, slopes: int = 0):
+    """(coefficients, residual variance) under the priors; the noise level comes from a first fit without them. The
+    ``slopes`` columns after the first two are changes of slope over the whole span and have Laplace priors, which set most of
+    them to 0; the others have normal ones."""
     free, _ = solve(xtx, xty)
     sigma2 = residual_sum(xtx, xty, yty, free) / max(1, n - min(n - 1, len(xty)))
     size2 = yty / n if yty > 0 else 1.0
     # columns keep their own units: a prior of the series' size over the column's root mean square
-    spread2 = np.maximum(np.diag(xtx) / n, 1e-12)
-    spread2[2:2 + slopes] = 1.0  # a prior on the slope itself, however late it begins
-    penalty = sigma2 / (scale ** 2 * size2) * spread2
-    beta, _ = solve(xtx, xty, penalty)
+    penalty = sigma2 / (scale ** 2 * size2) * np.maximum(np.diag(xtx) / n, 1e-12)
+    if not slopes:
+        beta, _ = solve(xtx, xty, penalty)
+        return beta, residual_sum(xtx, xty, yty, beta) / n
+    bent = np.arange(2, 2 + slopes)
+    others = np.setdiff1d(np.arange(len(xty)), bent)
+    # given the changes of slope, the others are a ridge regression; what it leaves is a small problem of the changes alone
+    _, inverse = solve(xtx[np.ix_(others, others)], xty[others], penalty[others])
+    across = xtx[np.ix_(bent, others)] @ inverse
+    gram = xtx[np.ix_(bent, bent)] - across @ xtx[np.ix_(others, bent)]
+    beta = np.zeros(len(xty))
+    beta[bent] = sparse_solve(gram, xty[bent] - across @ xty[others], sigma2 / (scale[bent] * np.sqrt(size2)))
+    beta[others] = inverse @ (xty[others] - xtx[np.ix_(others, bent)] @ beta[bent])
     return beta, residual_sum(xtx, xty, yty, beta) / n
 
 
@@ -126,10 +196,23 @@ def _part(coef: str, x: str, part: slice) -> Column:
     return dot(F.slice(coef, start, length), F.slice(x, start, length))
 
 
+def trend_paths(step: np.ndarray, span: float, changes: int, size: float, samples: int, rng: np.random.Generator,
+                sigma: float) -> tuple[np.ndarray, np.ndarray]:
+    """(changes of the trend, noise), one row per sampled path and one column per day ahead. ``changes`` changes of slope
+    over ``span`` days were ``size`` large on average; they go on as a Poisson process of Laplace changes."""
+    t = step / span
+    counts = rng.poisson(changes * t.max(), samples)
+    when, slope = rng.uniform(0, t.max(), counts.sum()), rng.laplace(0, size, counts.sum())
+    # a path is t times the sum of the changes before t, less the sum of changes times their own time
+    cell = np.repeat(np.arange(samples), counts) * len(t) + np.searchsorted(t, when)
+    rise, offset = (np.bincount(cell, w, samples * len(t)).reshape(samples, len(t)).cumsum(axis=1) for w in (slope, slope * when))
+    return t * rise - offset, rng.normal(0, sigma, (samples, len(t)))
+
+
 @dataclass(frozen=True)
 class Additive:
     """Piecewise-linear trend with fixed changepoints, weekly and yearly Fourier terms, and regressors,
-    fitted by penalised least squares.
+    fitted by least squares under priors: normal ones, and Laplace ones on the changes of slope.
 
     In multiplicative mode the trend comes from the additive fit and the other parts are then fitted to the
     relative deviation from it.
@@ -153,7 +236,7 @@ class Additive:
     def _solve(self, rows: DataFrame, target: str, scale: np.ndarray, slopes: int = 0) -> DataFrame:
         def fit(row):
             xtx, xty, yty = unpack(row["moments"])
-            beta, sigma2 = ridge_solve(xtx, xty, yty, int(row["n"]), scale, slopes)
+            beta, sigma2 = prior_solve(xtx, xty, yty, int(row["n"]), scale, slopes)
             return {"coef": beta, "sigma2": sigma2, "n": int(row["n"])}
         keys = list(self.keys)
         return per_series(moments_of_array(rows, keys, "_x", target), keys, FIT_FIELDS, fit)
@@ -234,12 +317,47 @@ class Additive:
             {r: F.coalesce(f"_{r}", r) for r in given}).drop(*[f"_{r}" for r in given])
 
     def predict(self, fits: DataFrame, features: DataFrame, days: int, known: DataFrame | None = None) -> DataFrame:
-        """Point forecast with an interval of ± z residual deviations."""
-        z = normal_quantile(0.5 + self.settings.interval_width / 2)
+        """Point forecast with an interval.
+
+        The trend may go on changing as it did: changes of slope are simulated at the rate of the history's
+        changepoints and with the mean size of its changes (Laplace), seeded by series, and the interval holds the quantiles
+        of those paths with normal noise. A trend without changes has the exact ± z residual deviations.
+        """
         frame = known_series(self.future(features, days, known), fits, list(self.keys))
-        scored = self._scored(frame, fits)
-        return scored.select(*self.keys, F.col("ds").alias("date"), "step", "prediction",
-                             *interval(F.col("prediction"), F.sqrt("sigma2"), z))
+        scored = self._scored(frame, fits).withColumnRenamed("ds", "date").drop("_start", "_span")
+        z = normal_quantile(0.5 + self.settings.interval_width / 2)
+        plain = dict(zip(("lower", "upper"), interval(F.col("prediction"), F.sqrt("sigma2"), z)))
+        columns = [*self.keys, "date", "step", "prediction"]
+        if not (self.settings.changepoints and self.settings.uncertainty_samples):
+            return scored.select(*columns, *plain.values())
+        bands = self._bands(scored, fits).withColumnsRenamed({"lower": "_lower", "upper": "_upper"})
+        at = F.col("step") - 1
+        return scored.join(bands, list(self.keys), "left").select(
+            *columns, *[F.coalesce(F.get(f"_{c}", at), plain[c]).alias(c) for c in ("lower", "upper")])
+
+    def _bands(self, scored: DataFrame, fits: DataFrame, seed: int = 42) -> DataFrame:
+        """``lower`` and ``upper`` of the days ahead as arrays, for series whose trend has changed before."""
+        keys, settings, multiplicative = list(self.keys), self.settings, self.multiplicative
+        rest = F.col("yearly") + F.col("weekly") + F.col("regressors") + F.col("holidays")
+        ahead = scored.select(*keys, "step", "trend", rest.alias("rest")).groupBy(*keys).agg(
+            F.array_sort(F.collect_list(F.struct("step", "trend", "rest"))).alias("_days"))
+        arrays = ahead.select(*keys, *[F.col("_days").getField(c).alias(c) for c in ("step", "trend", "rest")])
+        slopes = F.slice("coef", 3, settings.changepoints).alias("slopes")
+        edges = [0.5 - settings.interval_width / 2, 0.5 + settings.interval_width / 2]
+
+        def simulate(row):
+            step, trend, rest = (np.asarray(row[c], float) for c in ("step", "trend", "rest"))
+            size, span = float(np.abs(np.asarray(row["slopes"], float)).mean()), max(1.0, float(row["_span"]))
+            if not size > 0:
+                return None
+            paths = trend_paths(step, span, settings.changepoints, size, settings.uncertainty_samples,
+                                np.random.default_rng([seed, zlib.crc32(repr([str(row[k]) for k in keys]).encode())]),
+                                math.sqrt(max(float(row["sigma2"]), 0.0)))
+            level, noise = trend + paths[0], paths[1]
+            low, high = np.quantile((level * (1 + rest) if multiplicative else level + rest) + noise, edges, axis=0)
+            return {"lower": low, "upper": high}
+        fields = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("lower", "upper")]
+        return per_series(arrays.join(fits.select(*keys, "_span", "sigma2", slopes), keys), keys, fields, simulate)
 
 
 def fit_additive_by_series(df: DataFrame, keys: list[str], settings: AdditiveSettings = AdditiveSettings()):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable
 from typing import Protocol
 
@@ -14,17 +15,21 @@ from .splits import origin_span
 
 
 def forecast_frame(history: DataFrame, days: int, keys: list[str], ids: list | None = None, date: str = "date",
-                   align: bool = True) -> DataFrame:
+                   align: bool = True, within: list[str] = ()) -> DataFrame:
     """One row per series and future day with its ``step``.
 
-    Days follow the last date of all series, or each series' own with ``align`` off.
+    Days follow the last date of all series (of each ``within`` group, some of the keys), or each series' own with ``align``
+    off.
     """
     if days < 1:
         raise ValueError("a forecast covers at least one day")
     if ids is not None:
         history = filter_ids(history, keys[0], ids)
     ends = history.groupBy(*keys).agg(F.max(date).alias("_last"))
-    if align:
+    if align and within:
+        last = history.groupBy(*within).agg(F.max(date).alias("_last"))
+        ends = ends.drop("_last").join(last, list(within))
+    elif align:
         ends = ends.withColumn("_last", history.agg(F.max(date).alias("m")).scalar())
     steps = F.sequence(F.lit(1), F.lit(days))
     return ends.select(*keys, "_last", F.explode(steps).alias("step")).select(
@@ -141,9 +146,14 @@ def backtest_linear(daily: DataFrame, value: str, keys: list[str], initial: int
 
 
 class SeriesModel(Protocol):
-    """A model family as two table functions."""
+    """A model family as two table functions.
+
+    ``keys`` name a series. A model that learns one rule from several series, or gives them a common last date, has
+    ``within``: keys whose groups must not learn from each other.
+    """
 
     name: str
+    keys: list[str]
 
     def fit(self, history: DataFrame) -> DataFrame:
         """History ``(keys, date, value, …)`` to one row of parameters per series."""
@@ -152,14 +162,25 @@ class SeriesModel(Protocol):
         """``(keys, date, step, prediction, lower, upper)`` for the days after the history."""
 
 
+def per_group(model: SeriesModel, group: str) -> SeriesModel:
+    """The model over series that have ``group`` as a further key; groups learn nothing from each other."""
+    out = copy.copy(model)
+    object.__setattr__(out, "keys", type(model.keys)([*model.keys, group]))  # some models are frozen
+    if hasattr(model, "within"):
+        object.__setattr__(out, "within", (*model.within, group))
+    return out
+
+
 class GroupedModel:
     """A user's own per-series functions as a ``SeriesModel``.
 
     ``fit_one`` takes a series' rows and returns its parameters as numbers; ``predict_one`` takes the
     parameters and the number of days. Spark hands each function one series, which has at most one row per
-    day and key.
+    day and key. ``within`` are keys whose groups have last dates of their own.
     """
 
+    within: tuple[str, ...] = ()
+
     def __init__(self, name: str, keys: list[str], fit_one: Callable[[pd.DataFrame], list[float]],
                  predict_one: Callable[[list[float], int], list[float]], date: str = "date"):
         self.name, self.keys, self.date = name, list(keys), date
@@ -180,7 +201,7 @@ class GroupedModel:
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def path(params: pd.Series) -> pd.Series:
             return params.map(lambda p: [float(v) for v in predict_one(list(p), days)])
-        frame = known_series(forecast_frame(history, days, self.keys, date=self.date), fits, self.keys)
+        frame = known_series(forecast_frame(history, days, self.keys, date=self.date, within=self.within), fits, self.keys)
         paths = fits.select(*self.keys, path("params").alias("_path"))
         return frame.join(paths, self.keys).withColumn("prediction", F.get("_path", F.col("step") - 1)).drop("_path")
 

@@ -9,7 +9,7 @@ from itertools import product
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .additive import Additive, AdditiveSettings, prior_scales, ridge_solve
+from .additive import Additive, AdditiveSettings, prior_scales, prior_solve
 from .linear import moments_of_array, per_series, residual_sum, unpack
 
 
@@ -62,7 +62,7 @@ def search_additive(train: DataFrame, validation: DataFrame, keys: list[str], ca
         out = []
         for i, scale in enumerate(scales):
             try:
-                beta, _ = ridge_solve(xtx, xty, yty, int(row["n"]), scale, base.changepoints)
+                beta, _ = prior_solve(xtx, xty, yty, int(row["n"]), scale, base.changepoints)
                 value = float(np.sqrt(residual_sum(vxx, vxy, vyy, beta) / int(row["n_val"])))
             except np.linalg.LinAlgError:
                 value = None

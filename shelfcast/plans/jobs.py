@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators import calendar as cal, drift, evaluate, joins, monitor, profile, windows
 from ..operators.additive import Additive, AdditiveSettings, additive_features
 from ..operators.arima import Arima
-from ..operators.forecast import SeriesModel, baseline_forecast
+from ..operators.forecast import SeriesModel, baseline_forecast, per_group
 from ..operators.learner import SequenceModel
 from ..session import materialize
 from ..sources import tables
@@ -83,7 +83,8 @@ def train_and_select(history: DataFrame, models: list[SeriesModel], keys: list[s
     """(long metrics per model on the last days, the best model's row).
 
     Every model forecasts the whole test span. Errors compare the rows of series and date that all models
-    forecast; ``unscored`` counts the test rows a model has no forecast for.
+    forecast, but for models without any forecast, which have no errors; ``unscored`` counts the test rows a model has no
+    forecast for.
     """
     history = materialize(history)
     cut = history.agg(F.date_sub(F.max("date"), test_days).alias("cut")).scalar()
@@ -97,10 +98,13 @@ def train_and_select(history: DataFrame, models: list[SeriesModel], keys: list[s
     names = [m.name for m in models]
     wanted = test.withColumn("model", F.explode(F.array(*[F.lit(n) for n in names])))
     scored = materialize(wanted.join(forecasts, ["model", *keys, "date"], "left"))
-    whole = scored.groupBy(*keys, "date").agg(F.count("prediction").alias("_n")).where(F.col("_n") == len(names)).drop("_n")
-    errors = evaluate.error_metrics(scored.join(whole, [*keys, "date"], "left_semi"), ["model"])
-    missing = scored.groupBy("model").agg(F.count_if(F.col("prediction").isNull()).cast("double").alias("unscored"))
-    wide = missing.join(errors, "model", "left")
+    missing = scored.groupBy("model").agg(F.count_if(F.col("prediction").isNull()).cast("double").alias("unscored"),
+                                          F.count("prediction").alias("_scored"))
+    # one row per model
+    forecasting = missing.where("_scored > 0").agg(F.count("*").alias("n")).scalar()
+    whole = scored.groupBy(*keys, "date").agg(F.count("prediction").alias("_n")).where(F.col("_n") == forecasting).drop("_n")
+    errors = evaluate.error_metrics(scored.where("prediction IS NOT NULL").join(whole, [*keys, "date"], "left_semi"), ["model"])
+    wide = missing.drop("_scored").join(errors, "model", "left")
     metrics = materialize(wide.unpivot(["model"], [*evaluate.METRICS, "unscored"], "metric", "value"))
     return metrics, evaluate.best_model(metrics, [m.name for m in models], metric)
 
@@ -122,10 +126,12 @@ def forecast_and_monitor(spark: SparkSession, folder: str, run_id: str, model: S
                          days: int, ts: dt.datetime, actuals: DataFrame | None = None) -> DataFrame:
     """Forecast with the parameters stored under ``run_id``, append the predictions and their statistics (and
     errors, where ``actuals`` (keys, date, actual) has them) to the run's tables, and return the predictions.
-    The same run written again replaces its rows."""
+    The same run written again replaces its rows. A series of the history without stored parameters, as a new one is, is
+    not forecast; the run's metrics have a row ``unknown_series`` with the value 1 for it."""
     fits = tables.read_fits(spark, f"{folder}/fits", run_id)
-    future = materialize(model.predict(fits, history, days))
+    future = materialize(model.predict(fits, history.join(fits.select(*keys).distinct(), keys, "left_semi"), days))
     series = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    unknown = history.select(*keys).distinct().join(fits.select(*keys).distinct(), keys, "left_anti")
     rows = future.select(*keys, "date", "prediction")
     if actuals is not None:
         rows = rows.join(actuals, [*keys, "date"], "left")
@@ -137,7 +143,8 @@ def forecast_and_monitor(spark: SparkSession, folder: str, run_id: str, model: S
         F.stddev_pop("prediction").alias("prediction_std"),
         F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("actual"), 2))).alias("rmse"))
     names = ["predictions", "prediction_mean", "prediction_std", "rmse"]
-    long = tables.to_long_metrics(stats, ["series"], names).select(
+    long = tables.to_long_metrics(stats, ["series"], names).unionByName(unknown.select(
+        series.alias("series"), F.lit("unknown_series").alias("metric"), F.lit(1.0).alias("value"))).select(
         F.lit(ts).alias("ts"), F.lit("prediction_metrics").alias("metric_type"), F.lit(model.name).alias("model"),
         "series", "metric", "value", F.lit(run_id).alias("run_id"))
     tables.replace_metrics(long, f"{folder}/prediction_metrics")
@@ -152,18 +159,24 @@ def root_mean_square(prediction: Column, actual: Column) -> Column:
 
 
 def _fold_forecasts(history: DataFrame, models: list[SeriesModel], keys: list[str], cutoffs: list[dt.date], days: int) -> DataFrame:
-    """(candidate, model, fold, keys, date, prediction, actual) of every model refitted at every cutoff."""
+    """(candidate, model, fold, keys, date, prediction, actual) of every model refitted at every cutoff.
+
+    The fold is a further key of the series: each row is given to the folds that train or test on it, and a model fits and
+    forecasts all folds in one plan, whose size does not depend on their number.
+    """
+    folds = F.array(*[F.struct(F.lit(i).alias("fold"), F.lit(c).alias("cutoff")) for i, c in enumerate(sorted(cutoffs), 1)])
+    age = F.datediff(F.col("date"), F.col("_f.cutoff"))
+    dealt = history.withColumn("_f", F.explode(folds)).where(age <= days).withColumn("fold", F.col("_f.fold")).withColumn("_test", age > 0)
+    dealt = materialize(dealt.drop("_f"))
+    train = dealt.where(~F.col("_test")).drop("_test")
+    test = dealt.where("_test").select("fold", *keys, "date", F.col("sales").alias("actual"))
     out = None
-    for i, cutoff in enumerate(sorted(cutoffs), 1):
-        span = history.where((F.col("date") <= F.lit(cutoff) + F.expr(f"INTERVAL {days} DAYS")))
-        train = span.where(F.col("date") <= F.lit(cutoff))
-        test = span.where(F.col("date") > F.lit(cutoff)).select(*keys, "date", F.col("sales").alias("actual"))
-        for number, model in enumerate(models):
-            predicted = model.predict(model.fit(train), train, days).select(*keys, "date", "prediction")
-            rows = joins.predictions_with_actuals(predicted, test, [*keys, "date"]).select(
-                F.lit(number).alias("candidate"), F.lit(model.name).alias("model"), F.lit(i).alias("fold"),
-                *keys, "date", "prediction", "actual")
-            out = rows if out is None else out.unionByName(rows)
+    for number, model in enumerate(models):
+        own = per_group(model, "fold")
+        predicted = own.predict(own.fit(train), train, days).select("fold", *keys, "date", "prediction")
+        rows = joins.predictions_with_actuals(predicted, test, ["fold", *keys, "date"]).select(
+            F.lit(number).alias("candidate"), F.lit(model.name).alias("model"), "fold", *keys, "date", "prediction", "actual")
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -185,9 +198,9 @@ def search_models(history: DataFrame, candidates: list[SeriesModel], keys: list[
 
 
 def report(bundle: SalesBundle) -> DataFrame:
-    """All profiles and cross analyses as ``(dataset, section, metric, key, value)``. The fact and the transactions,
-    which a dozen aggregates read, are stored first."""
-    bundle = replace(bundle, sales=materialize(bundle.sales), transactions=materialize(bundle.transactions))
+    """All profiles and cross analyses as ``(dataset, section, metric, key, value)``. The columns of the fact and the
+    transactions that a dozen aggregates read are stored first."""
+    bundle = replace(bundle, sales=materialize(bundle.sales.select("date", "store_nbr", "family", "sales", "onpromotion")), transactions=materialize(bundle.transactions))
     sales = profile.long_row(profile.sales_profile(bundle.sales), "profile")
     oil = profile.long_row(profile.oil_profile(bundle.oil).drop("first_date", "last_date"), "profile")
     flagged = cal.mark_members(bundle.sales, cal.holiday_dates(bundle.holidays), "date", "h")

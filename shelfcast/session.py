@@ -52,10 +52,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: later steps read the columns they need of it, however executors
+    come and go."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """The frame stored in the shared folder, so that later steps neither repeat its work nor depend on the
-    executors that did it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """The frame stored, so that later steps neither repeat its work nor depend on the executors that did it."""
+    return stored(df, "kept")
