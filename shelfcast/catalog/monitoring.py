@@ -114,6 +114,23 @@ def evl7(spark, sf):
     return rounded(metrics.join(runs.select("run_id", "model"), "run_id"), 4, "value")
 
 
+@query("evl7_log_again", "prediction_log", """
+SELECT 'run-' || model AS run_id, model, 'mae' AS metric, round(avg(abs(prediction - actual)), 4) AS value
+FROM prediction_log WHERE date < DATE '2024-01-16' GROUP BY model""")
+def evl7_again(spark, sf):
+    """Runs logged over all days, and again under their ids over the first: one run each, the later one."""
+    folder = scratch_path(spark, "runs-again")
+    for rows in (_log(spark, sf), _log(spark, sf).where(F.col("date") < CUT)):
+        scored = evaluate.error_metrics(rows, ["model"]).withColumn("run_id", F.concat(F.lit("run-"), "model"))
+        headers = scored.select("run_id", F.lit(None).cast("string").alias("parent_id"), F.lit("default").alias("experiment"),
+                                "model", F.lit(dt.datetime(2024, 2, 1)).alias("start_time"))
+        values = scored.select("run_id", F.lit("test").alias("split"), F.lit("mae").alias("metric"), F.lit(0).alias("step"),
+                               F.col("mae").alias("value"))
+        tables.log_runs(headers, values, folder)
+    runs, metrics = tables.read_runs(spark, folder)
+    return rounded(runs.select("run_id", "model").join(metrics.select("run_id", "metric", "value"), "run_id"), 4, "value")
+
+
 @query("evl8_promote_or_keep", "prediction_log", """
 , per AS (SELECT model, date < DATE '2024-01-16' AS old, sqrt(avg(pow(prediction - actual, 2))) AS rmse
           FROM prediction_log GROUP BY 1, 2)
@@ -366,6 +383,55 @@ def str2_sliding(spark, sf):
     return written.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
+_LATE = """
+, told AS (SELECT row_id, unnest(CASE WHEN row_id % 3 = 0 THEN [0, 1] ELSE [0] END) AS again, ts, actual FROM prediction_log WHERE row_id % 7 <> 0),
+known AS (SELECT row_id, ts + (row_id % 5 * 10 + again) * INTERVAL 1 HOUR AS known_at, actual + again AS actual FROM told),
+ends AS (SELECT least((SELECT max(ts) FROM prediction_log), (SELECT max(known_at) FROM known)) - INTERVAL 1 HOUR AS mark),
+matched AS (SELECT p.row_id, p.ts, p.model, p.prediction, min({actual_ts: k.known_at, actual: k.actual}) FILTER (k.row_id IS NOT NULL) AS a
+            FROM prediction_log p LEFT JOIN known k ON k.row_id = p.row_id AND k.known_at <= p.ts + INTERVAL 24 HOUR
+            GROUP BY ALL),
+closed AS (SELECT row_id, ts, model, prediction, a.actual AS actual, a.actual_ts AS actual_ts FROM matched, ends
+           WHERE ts < mark - INTERVAL 24 HOUR)
+"""
+
+
+def _late_actuals(spark, sf, batch=False):
+    """Every event as a prediction whose value is told 0 to 40 hours later, to some never and to some twice."""
+    events = (lambda: _log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))) if batch else (lambda: _prediction_stream(spark, sf))
+    predictions = events().select("row_id", "ts", "model", "prediction")
+    told = events().where(F.col("row_id") % 7 != 0).withColumn(
+        "_again", F.explode(F.when(F.col("row_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    hours = F.col("row_id") % 5 * 10 + F.col("_again")
+    later = F.timestamp_seconds(F.unix_micros("ts") / 1e6 + hours * 3600)
+    actuals = told.select("row_id", (F.col("actual") + F.col("_again")).alias("actual"), later.alias("ts"))
+    return streams.predictions_with_late_actuals(predictions, actuals, ["row_id"], "24 hours")
+
+
+@query("str2_late_actuals", "prediction_log", _LATE + "SELECT row_id, ts, model, prediction, actual, actual_ts FROM closed")
+def str2_late(spark, sf):
+    written = _run(spark, _late_actuals(spark, sf), "late")
+    return written.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "actual_ts")})
+
+
+@query("str2_late_errors", "prediction_log", _LATE + """
+SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, model, count(*) AS n, count(actual) AS known,
+       round(sqrt(avg(pow(prediction - actual, 2))), 4) AS rmse, round(avg(abs(prediction - actual)), 4) AS mae
+FROM closed GROUP BY 1, 2""")
+def str2_late_errors(spark, sf):
+    rows = _run(spark, _late_actuals(spark, sf), "late-errors")
+    error = F.col("prediction") - F.col("actual")
+    stats = rows.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "model").agg(
+        F.count("*").alias("n"), F.count("actual").alias("known"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"))
+    return rounded(stats, 4, "rmse", "mae")
+
+
+@query("jon10_late_actuals", "prediction_log", _LATE + """
+SELECT row_id, ts, model, prediction, a.actual AS actual, a.actual_ts AS actual_ts FROM matched""")
+def jon10_late(spark, sf):
+    rows = _late_actuals(spark, sf, batch=True)
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "actual_ts")})
+
+
 @query("str3_threshold_alerts", "metric_log", THRESHOLD_SQL + """
 SELECT ts, metric, value, threshold, direction FROM checked WHERE exceeded""")
 def str3(spark, sf):
@@ -392,6 +458,23 @@ def str4(spark, sf):
     return rounded(spark.read.parquet(out), 8, "ks_stat").select("column", "ks_stat", "n", "m")
 
 
+@query("str4_windowed_drift", "prediction_log", """
+, ref AS (SELECT prediction AS v, count(*) AS x FROM prediction_log WHERE date < DATE '2024-01-16' GROUP BY 1),
+closed AS (SELECT date_trunc('day', ts) AS w, prediction AS v, count(*) AS y FROM prediction_log
+  WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM prediction_log) - INTERVAL 1 HOUR GROUP BY 1, 2),
+side AS (SELECT w, v, 0 AS x, y FROM closed UNION ALL SELECT w, v, x, 0 FROM (SELECT DISTINCT w FROM closed), ref),
+acc AS (SELECT w, v, sum(sum(x)) OVER o AS a, sum(sum(y)) OVER o AS b, sum(sum(x)) OVER (PARTITION BY w) AS n,
+        sum(sum(y)) OVER (PARTITION BY w) AS m FROM side GROUP BY w, v WINDOW o AS (PARTITION BY w ORDER BY v))
+SELECT w::TIMESTAMP AS window_start, 'prediction' AS "column", round(max(abs(a / n - b / m)), 8) AS ks_stat,
+       CAST(max(n) AS BIGINT) AS n, CAST(max(m) AS BIGINT) AS m FROM acc GROUP BY w""")
+def str4_windowed(spark, sf):
+    reference = _log(spark, sf).where(F.col("date") < CUT)
+    out = scratch_path(spark, "window-drift")
+    streams.windowed_drift(_prediction_stream(spark, sf), reference, ["prediction"], out, scratch_path(spark, "window-drift-checkpoint"))
+    scored = rounded(spark.read.parquet(out), 8, "ks_stat").select("window_start", "column", "ks_stat", "n", "m")
+    return scored.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 @query("str5_score_stream", "prediction_log", """
 , fit AS (SELECT model, regr_slope(actual, prediction) AS s, regr_intercept(actual, prediction) AS c FROM prediction_log GROUP BY model)
 SELECT row_id, model, round(c + s * prediction, 6) AS score FROM prediction_log
@@ -409,3 +492,14 @@ def str6(spark, sf):
     resent = rows.withColumn("_copy", F.explode(F.when(F.col("row_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     kept = streams.suppress_duplicates(resent.drop("_copy"), ["row_id"])
     return _run(spark, kept.select("row_id", "model", "prediction"), "deduplicated")
+
+
+@query("str6_resent_lines", "prediction_log", """
+, resent AS (SELECT row_id % 50 AS line, ts FROM prediction_log),
+spaced AS (SELECT line, ts, lag(ts) OVER (PARTITION BY line ORDER BY ts) AS before FROM resent)
+SELECT line, ts FROM spaced WHERE before IS NULL OR ts > before + INTERVAL 12 HOUR""")
+def str6_resent(spark, sf):
+    """Lines that come again at any distance."""
+    rows = _prediction_stream(spark, sf).select((F.col("row_id") % 50).alias("line"), "ts")
+    kept = _run(spark, streams.suppress_duplicates(rows, ["line"], "12 hours"), "resent-kept")
+    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -44,6 +44,32 @@ def ks_of_counts(counts: DataFrame, alpha: float = 0.05) -> DataFrame:
     return scored.withColumn("is_drift", F.col("p_value") < alpha)
 
 
+def ks_by_group(reference: DataFrame, current: DataFrame, by: list[str], alpha: float = 0.05) -> DataFrame:
+    """The same for many current groups against one reference, from ``(column, value, n)`` and ``(by, column, value, n)``.
+
+    The two distribution functions are furthest apart at a current value or just before one, so the reference is looked up
+    at the current values only and never repeated per group.
+    """
+    reference = reference.select("column", "value", "n")
+    # the reference's totals up to every value of either side
+    places = reference.select("column", "value", F.col("n").alias("n_ref")).unionByName(
+        current.select("column", "value", F.lit(0).cast("long").alias("n_ref"))).groupBy("column", "value").agg(F.sum("n_ref").alias("n_ref"))
+    ref = running_totals(places, ["column"], "value", ["n_ref"]).select("column", "value", "n_ref", "n_ref_upto")
+    cur = running_totals(current.select(*by, "column", "value", "n"), [*by, "column"], "value", ["n"])
+    sizes = current.groupBy(*by, "column").agg(F.sum("n").alias("m"))
+    total = reference.groupBy("column").agg(F.sum("n").alias("_total"))
+    # ``total`` has one row per listed column
+    joined = cur.join(ref, ["column", "value"]).join(sizes, [*by, "column"]).join(F.broadcast(total), "column", "left")
+
+    def gap(upto_ref, upto_cur):
+        return F.abs(F.try_divide(upto_ref, F.col("_total")) - upto_cur / F.col("m"))
+    at, before = gap(F.col("n_ref_upto"), F.col("n_upto")), gap(F.col("n_ref_upto") - F.col("n_ref"), F.col("n_upto") - F.col("n"))
+    widest = joined.groupBy(*by, "column").agg(F.max(F.greatest(at, before)).alias("ks_stat"), F.first("_total").alias("n"),
+                                               F.first("m").alias("m"))
+    scored = widest.withColumn("p_value", kolmogorov_p(F.col("ks_stat"), F.col("n"), F.col("m")))
+    return scored.withColumn("is_drift", F.col("p_value") < alpha)
+
+
 def moment_drift(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
     """Change of mean and sample deviation, as ``(column, mean_diff, std_diff)``."""
     def moments(df, tag):

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from ..operators.drift import both_sides, ks_of_counts, value_counts
+from ..operators.drift import both_sides, ks_by_group, ks_of_counts, value_counts
 from ..operators.monitor import check_thresholds
 from ..session import materialize
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet",
                 pattern: str | None = None, max_files: int | None = None) -> DataFrame:
@@ -73,6 +78,25 @@ def drift_alerts(stream: DataFrame, reference: DataFrame, cols: list[str], out:
     run_each_batch(stream, lambda batch: ks_of_counts(both_sides(counted, value_counts(batch, cols))), out, checkpoint)
 
 
+def windowed_value_counts(rows: DataFrame, cols: list[str], window: str = "1 day", delay: str = "1 hour", ts: str = "ts") -> DataFrame:
+    """Occurrences of each known value per event-time window, as ``(window_start, column, value, n)``. On a stream a window
+    appears once, whole, when the watermark has passed its end, however the rows were cut into micro-batches."""
+    marked = rows.withWatermark(ts, delay) if rows.isStreaming else rows
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = marked.select(ts, F.explode(pairs).alias("_p")).select(ts, "_p.column", "_p.value").where("value IS NOT NULL")
+    counted = long.groupBy(F.window(ts, window).alias("window"), "column", "value").agg(F.count("*").alias("n"))
+    return counted.select(F.col("window.start").alias("window_start"), "column", "value", "n")
+
+
+def windowed_drift(stream: DataFrame, reference: DataFrame, cols: list[str], out: str, checkpoint: str, window: str = "1 day",
+                   delay: str = "1 hour", ts: str = "ts") -> None:
+    """Kolmogorov–Smirnov drift of each closed event-time window against a fixed reference: ``window_start, column, ks_stat, n,
+    m, p_value, is_drift``."""
+    counted = materialize(value_counts(reference, cols))
+    counts = windowed_value_counts(stream, cols, window, delay, ts)
+    run_each_batch(counts, lambda closed: ks_by_group(counted, closed, ["window_start"]), out, checkpoint)
+
+
 def score(rows: DataFrame, coefficients: DataFrame, key: str, features: list[str]) -> DataFrame:
     """Linear score of each row with its key's coefficients ``(key, intercept, <feature>_coef …)``.
 
@@ -85,11 +109,76 @@ def score(rows: DataFrame, coefficients: DataFrame, key: str, features: list[str
     return rows.join(coefficients, key, "left").withColumn("score", total).drop("intercept", *[f"{f}_coef" for f in features])
 
 
+class _FirstOfRun(StatefulProcessor):
+    """State of a key: when it last came, kept until the watermark has passed that by the delay."""
+
+    def __init__(self, ts: str, delay: timedelta, columns: list[str]):
+        self.ts, self.delay, self.columns = ts, delay, columns
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ts timestamp")
+
+    def handleInputRows(self, key, rows, timerValues):
+        # the rows of one key in one micro-batch
+        pdf = pd.concat(list(rows)).sort_values(self.ts, kind="stable")
+        seen = self.last.get()
+        last = pd.Timestamp(seen[0]) if seen is not None else None
+        times = pdf[self.ts]
+        before = times.shift()
+        if last is not None:
+            before.iloc[0] = last
+            before = before.cummax()  # rows may be older than what was seen
+        fresh = before.isna() | (times > before + self.delay)
+        newest = times.iloc[-1] if last is None else max(last, times.iloc[-1])
+        self.last.update((newest.to_pydatetime(),))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int((newest + self.delay).timestamp() * 1000) + 1)
+        yield pdf.loc[fresh.to_numpy(), self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.last.clear()
+        return iter([])
+
+
 def suppress_duplicates(rows: DataFrame, keys: list[str], delay: str = "1 hour", ts: str = "ts") -> DataFrame:
-    """The first of re-sent rows: a row is dropped if an equal key came at most the delay before it. On a stream
-    the state of a key ends with the delay after its first row; a batch compares each row with the one before."""
+    """The first of re-sent rows: a row is dropped if an equal key came at most the delay before it, kept or not.
+
+    A stream and a batch mean the same and, for rows in order of time, give the same rows wherever the stream is cut: the
+    state of a key is the time it last came, and a timer clears it once no row on time can come within the delay. A row that
+    comes after later ones of its key is compared with the newest of them; one behind the watermark is dropped. Of rows
+    with equal key and time one stays. State is kept in RocksDB, which the session is set to.
+    """
     if not rows.isStreaming:
         w = Window.partitionBy(*keys).orderBy(ts)
         fresh = F.coalesce(F.col(ts) > F.lag(ts).over(w) + F.expr(f"INTERVAL {delay}"), F.lit(True))
         return rows.withColumn("_fresh", fresh).where("_fresh").drop("_fresh")
-    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    length = rows.sparkSession.sql(f"SELECT INTERVAL '0' SECOND + INTERVAL {delay} AS d").first()[0]
+    return rows.withWatermark(ts, delay).groupBy(*keys).transformWithStateInPandas(
+        _FirstOfRun(ts, length, rows.columns), rows.schema, "append", "eventTime")
+
+
+def predictions_with_late_actuals(predictions: DataFrame, actuals: DataFrame, keys: list[str], wait: str = "1 day",
+                                  delay: str = "1 hour", ts: str = "ts") -> DataFrame:
+    """Each prediction with its first actual, or NULL if none came within ``wait`` of it: the prediction's columns,
+    ``actual`` and ``actual_ts``.
+
+    ``actuals`` has (keys, actual, ts) at the time the value became known, possibly repeated; the earliest counts, of equally early
+    ones the smallest. ``keys`` name one prediction. On streams both sides have watermarks: a prediction appears once, when the
+    watermark has passed the end of its wait, so the rows do not depend on how either side was cut into micro-batches.
+    """
+    left, right = predictions, actuals.select(*[F.col(k).alias(f"_{k}") for k in keys], "actual", F.col(ts).alias("actual_ts"))
+    if predictions.isStreaming:
+        left, right = left.withWatermark(ts, delay), right.withWatermark("actual_ts", delay)
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    in_time = (F.col("actual_ts") >= F.col(ts)) & (F.col("actual_ts") <= F.col(ts) + F.expr(f"INTERVAL {wait}"))
+    joined = left.join(right, same & in_time, "leftOuter")
+    columns = [c for c in predictions.columns if c not in keys and c != ts]
+    # the time of a prediction is part of its group, so the group closes when the watermark passes it
+    first = joined.groupBy(ts, *keys).agg(
+        *[F.first(c).alias(c) for c in columns], F.min(F.when(F.col("actual_ts").isNotNull(), F.struct("actual_ts", "actual"))).alias("_a"))
+    return first.select(*predictions.columns, F.col("_a.actual").alias("actual"), F.col("_a.actual_ts").alias("actual_ts"))

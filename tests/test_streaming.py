@@ -79,3 +79,76 @@ def test_drift_per_batch(spark, folder):
     streams.drift_alerts(stream(spark, path), reference, ["prediction"], str(tmp / "d"), str(tmp / "dcp"))
     got = {r.batch_id: r.ks_stat for r in spark.read.parquet(str(tmp / "d")).collect()}
     assert len(got) == 3 and got[0] == pytest.approx(40 / 60)
+
+
+def test_rerun_of_a_line_means_the_same_in_stream_and_batch(spark, tmp_path):
+    """Rows at 0, 50 and 100 minutes are one run of re-sent lines under an hour's delay, however the stream is cut."""
+    lines = [("a", m) for m in (0, 50, 100, 300, 301, 420)] + [("b", m) for m in (10, 10, 71, 200)]
+    rows = spark.createDataFrame([(k, at(m), float(i)) for i, (k, m) in enumerate(sorted(lines, key=lambda x: x[1]))], "k string, ts timestamp, v double")
+    batch = sorted((r.k, r.ts) for r in streams.suppress_duplicates(rows, ["k"]).collect())
+    assert batch == sorted([("a", at(0)), ("a", at(300)), ("a", at(420)), ("b", at(10)), ("b", at(71)), ("b", at(200))])
+    ordered = [r for r in rows.orderBy("ts").collect()]
+    for size in (1, 4, len(ordered)):
+        src = str(tmp_path / f"in{size}")
+        for a in range(0, len(ordered), size):
+            spark.createDataFrame(ordered[a:a + size], rows.schema).coalesce(1).write.mode("append").parquet(src)
+        kept = streams.suppress_duplicates(streams.read_stream(spark, src, rows.schema, max_files=1), ["k"])
+        got = streams.run_available(kept, str(tmp_path / f"out{size}"), str(tmp_path / f"cp{size}"))
+        assert sorted((r.k, r.ts) for r in got.collect()) == batch
+
+
+def late_frames(spark):
+    predictions = [(i, at(i * 10), "m", float(i)) for i in range(120)]
+    actuals = []
+    for i in range(120):
+        if i % 7:  # every seventh is never told
+            actuals.append((i, i + 0.5, at(i * 10 + i % 5 * 40)))  # the latest comes after 160 minutes, too late
+        if i % 3 == 0 and i % 7:
+            actuals.append((i, i + 9.0, at(i * 10 + i % 5 * 40 + 15)))  # told again, otherwise
+    return (spark.createDataFrame(predictions, "row_id int, ts timestamp, model string, prediction double"),
+            spark.createDataFrame(sorted(actuals, key=lambda r: r[2]), "row_id int, actual double, ts timestamp"))
+
+
+def test_late_missing_and_repeated_actuals(spark, tmp_path):
+    predictions, actuals = late_frames(spark)
+    batch = {r.row_id: r for r in streams.predictions_with_late_actuals(predictions, actuals, ["row_id"], "2 hours").collect()}
+    assert len(batch) == 120
+    for i, r in batch.items():
+        told = i % 7 and i % 5 * 40 <= 120
+        assert (r.actual, r.actual_ts) == ((i + 0.5, at(i * 10 + i % 5 * 40)) if told else (None, None))
+    seen = []
+    for files in (1, 5):
+        sources = []
+        for name, df in (("p", predictions), ("a", actuals)):
+            src, part = str(tmp_path / f"{name}{files}"), -(-df.count() // files)
+            ordered = df.orderBy("ts").collect()
+            for a in range(0, len(ordered), part):
+                spark.createDataFrame(ordered[a:a + part], df.schema).coalesce(1).write.mode("append").parquet(src)
+            sources.append(streams.read_stream(spark, src, df.schema, max_files=1))
+        joined = streams.predictions_with_late_actuals(*sources, ["row_id"], "2 hours")
+        got = streams.run_available(joined, str(tmp_path / f"o{files}"), str(tmp_path / f"c{files}")).collect()
+        assert len({r.row_id for r in got}) == len(got)
+        assert all((r.actual, r.actual_ts, r.ts) == (batch[r.row_id].actual, batch[r.row_id].actual_ts, batch[r.row_id].ts) for r in got)
+        seen.append({r.row_id for r in got})
+    assert seen[0] == seen[1] and len(seen[0]) > 90
+
+
+def test_drift_by_event_time_does_not_depend_on_the_cuts(spark, tmp_path):
+    rows = spark.createDataFrame([(i, at(i * 10), "m", float(i * 37 % 100), 0.0) for i in range(600)], SCHEMA)
+    reference = spark.range(50).select(F.col("id").cast("double").alias("prediction"), (F.col("id") % 2).cast("double").alias("actual"))
+    found = []
+    for files in (1, 5):
+        src = str(tmp_path / f"in{files}")
+        for i in range(files):  # later files bring older rows too
+            rows.where(F.col("row_id") % 5 % files == i).coalesce(1).write.mode("append").parquet(src)
+        source = streams.read_stream(spark, src, rows.schema, max_files=files)
+        streams.windowed_drift(source, reference, ["prediction", "actual"], str(tmp_path / f"d{files}"), str(tmp_path / f"c{files}"), "1 day")
+        got = spark.read.parquet(str(tmp_path / f"d{files}")).drop("batch_id").collect()
+        found.append(sorted((r.window_start, r.column, r.ks_stat, r.n, r.m) for r in got))
+    assert found[0] == found[1] and len(found[0]) == 2 * 4
+    for start, column, stat, n, m in found[0]:
+        ref = sorted(r[column] for r in reference.collect())
+        cur = sorted(r[column] for r in rows.collect() if start <= r.ts < start + dt.timedelta(days=1))
+        places = sorted(set(ref) | set(cur))
+        want = max(abs(sum(v <= x for v in ref) / len(ref) - sum(v <= x for v in cur) / len(cur)) for x in places)
+        assert (stat, n, m) == (pytest.approx(want), len(ref), len(cur))
