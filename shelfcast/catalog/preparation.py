@@ -10,7 +10,8 @@ from ..operators import calendar as cal, clean, encode, joins, linear, windows
 from ..session import scratch_path
 from ..sources import retail_views as views, tables as sinks
 from ..sources.bundle import FILE_NAMES, read_sales_bundle, read_with_quarantine
-from ..sources.schemas import HOLIDAY_LOCALES, HOLIDAY_TYPES, PREDICTIONS, SALES
+from ..sources.schemas import HOLIDAY_LOCALES, HOLIDAY_TYPES, METRIC_LOG, PREDICTIONS, SALES
+from ..sources.snapshots import SnapshotTable
 from ..functions.expressions import flag_name
 from .registry import query, r, rounded
 
@@ -133,6 +134,22 @@ def snk5(spark, sf):
         F.count("*").alias("n"), F.min(F.col("ts").cast("timestamp_ntz")).alias("first_ts"))
 
 
+@query("snk5_snapshot_table", "metric_log", """
+, days AS (SELECT metric, CAST(ts AS DATE) AS d FROM metric_log)
+SELECT 'before' AS state, metric, count(*) AS n FROM days GROUP BY metric
+UNION ALL SELECT 'after', metric, count(*) FROM days WHERE d >= (SELECT max(d) FROM days) - 10 GROUP BY metric""")
+def snk5_snapshots(spark, sf):
+    """Two writes, then old days dropped while a reader of the version before goes on."""
+    log = views.metric_log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    kept = SnapshotTable(spark, scratch_path(spark, "snapshots"), METRIC_LOG)
+    kept.append(log.where("metric IN ('rmse', 'mae')"))
+    kept.append(log.where("metric NOT IN ('rmse', 'mae')"))
+    before = kept.read()
+    kept.retain(10)
+    states = before.withColumn("state", F.lit("before")).unionByName(kept.read().withColumn("state", F.lit("after")))
+    return states.groupBy("state", "metric").agg(F.count("*").alias("n"))
+
+
 # ---- projections ----
 
 @query("prj1_calendar_features", "calendar_sales", """
@@ -633,3 +650,43 @@ def udf2(spark, sf):
     daily = clean.resample_daily(views.dense_sales(spark, sf), "sales", ["store_nbr"])
     return windows.rolling_apply(daily, "sales", 7, lambda s: s.max() - s.min(), "sales_range",
                                  windows.Series(("store_nbr",)))
+
+
+# ---- items that need no operator of their own ----
+
+@query("flt3_validate_schema", "sales_fact transactions", """
+SELECT 'sales' AS name, true AS valid, count(*) AS n FROM sales_fact
+UNION ALL SELECT 'transactions', false, count(*) FROM transactions""")
+def flt3(spark, sf):
+    """The fact has the columns a model needs; the transactions have no sales."""
+    out = None
+    for name, df in (("sales", views.sales_fact(spark, sf)), ("transactions", views.transactions(spark, sf))):
+        try:
+            clean.validate_schema(df, ["date", "store_nbr", "sales"], numeric=["store_nbr", "sales"])
+            valid = True
+        except ValueError:
+            valid = False
+        row = df.agg(F.lit(name).alias("name"), F.lit(valid).alias("valid"), F.count("*").alias("n"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("srt1_positions", "dense_daily", """
+SELECT store_nbr, date, row_number() OVER (PARTITION BY store_nbr ORDER BY date) - 1 AS position FROM dense_daily""")
+def srt1(spark, sf):
+    """The place of each day in its series, without a sort of the table."""
+    daily = clean.resample_daily(views.dense_sales(spark, sf), "sales", ["store_nbr"])
+    placed = windows.with_positions(daily, windows.Series(("store_nbr",)))
+    return placed.select("store_nbr", "date", F.col("_pos").alias("position"))
+
+
+@query("udf1_group_transform", "dense_daily", """
+SELECT store_nbr, date, round(avg(sales) OVER w, 4) AS sales_rolling_mean_7, round(sales - avg(sales) OVER (PARTITION BY store_nbr), 4) AS centred
+FROM dense_daily WINDOW w AS (PARTITION BY store_nbr ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+def udf1(spark, sf):
+    """A transform of each group's rows, as windows."""
+    daily = clean.resample_daily(views.dense_sales(spark, sf), "sales", ["store_nbr"])
+    rolled = windows.rolling(daily, "sales", (7,), ("mean",), windows.Series(("store_nbr",)))
+    centred = clean.attach_stats(rolled, ["store_nbr"], _mean=F.avg("sales"))
+    return rounded(centred.select("store_nbr", "date", "sales_rolling_mean_7", (F.col("sales") - F.col("_mean")).alias("centred")),
+                   4, "sales_rolling_mean_7", "centred")

@@ -68,20 +68,18 @@ def effective_holidays(holidays: DataFrame) -> DataFrame:
 def local_holidays(fact: DataFrame, stores: DataFrame, holidays: DataFrame) -> DataFrame:
     """Holiday flags that apply to each row's store: national always, regional by state, local by city.
 
-    Holidays meet the stores first, both small; the fact is then joined once, by date and store, for all flags.
+    Each kind is joined by what it depends on, the date alone or the date and the place, so the right sides have at most a
+    row per holiday, Spark broadcasts them while they are small, and the fact is not shuffled for them.
     """
     kept = holidays.where(~F.col("transferred"))
     flags = ["is_national", "is_regional", "is_local"]
 
-    def placed(locale, place, name):
-        rows = kept.where(F.col("locale") == locale).select("date", F.col("locale_name").alias(place)).distinct()
-        return stores.select("store_nbr", place).join(rows, place).select("store_nbr", "date", F.lit(name).alias("flag"))
+    def days(locale, place, name):
+        rows = kept.where(F.col("locale") == locale)
+        return rows.select("date", *[F.col("locale_name").alias(p) for p in place]).distinct().withColumn(name, F.lit(1))
 
-    # the national dates, at most one per calendar day, beside every store
-    national = kept.where(F.col("locale") == "National").agg(F.collect_set("date").alias("dates")).scalar()
-    everywhere = stores.select("store_nbr", F.explode(national).alias("date"), F.lit("is_national").alias("flag"))
-    days = everywhere.unionByName(placed("Regional", "state", "is_regional")).unionByName(placed("Local", "city", "is_local"))
-    marked = days.groupBy("date", "store_nbr").agg(*[F.max(indicator(F.col("flag") == f)).alias(f) for f in flags])
-    df = fact.join(stores.select("store_nbr", "city", "state"), "store_nbr", "left").join(marked, ["date", "store_nbr"], "left")
+    df = fact.join(stores.select("store_nbr", "city", "state"), "store_nbr", "left")
+    for locale, place, name in (("National", [], flags[0]), ("Regional", ["state"], flags[1]), ("Local", ["city"], flags[2])):
+        df = df.join(days(locale, place, name), ["date", *place], "left")
     df = df.withColumns({f: F.coalesce(f, F.lit(0)) for f in flags})
     return df.withColumn("is_store_holiday", F.greatest(*flags))

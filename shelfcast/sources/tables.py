@@ -139,24 +139,24 @@ def read_model_table(spark: SparkSession, path: str, run_id: str) -> DataFrame:
 def log_run(spark: SparkSession, folder: str, run_id: str, model: str, start_time: datetime,
             params: dict[str, object] | None = None, metrics: list[tuple[str, str, int, float]] | None = None,
             parent_id: str | None = None, experiment: str = "default") -> None:
-    """Append one run: its header, parameters, and ``(split, metric, step, value)`` rows."""
-    spark.createDataFrame([(run_id, parent_id, experiment, model, start_time)], schemas.RUNS) \
-        .write.mode("append").parquet(f"{folder}/runs")
-    if params:
-        spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()], schemas.RUN_PARAMS) \
-            .write.mode("append").parquet(f"{folder}/run_params")
-    if metrics:
-        spark.createDataFrame([(run_id, *m) for m in metrics], schemas.RUN_METRICS) \
-            .write.mode("append").parquet(f"{folder}/run_metrics")
+    """One run: its header, parameters, and ``(split, metric, step, value)`` rows. Each table has a folder per run, so a run
+    logged again replaces what it is given again."""
+    tables = (("run_params", schemas.RUN_PARAMS, [(run_id, k, str(v)) for k, v in (params or {}).items()]),
+              ("run_metrics", schemas.RUN_METRICS, [(run_id, *m) for m in metrics or []]),
+              ("runs", schemas.RUNS, [(run_id, parent_id, experiment, model, start_time)]))
+    for name, schema, rows in tables:
+        if rows:
+            _replace_run(spark.createDataFrame(rows, schema), f"{folder}/{name}")
 
 
 def log_runs(runs: DataFrame, run_metrics: DataFrame, folder: str) -> None:
-    """Append many runs at once: frames with the columns of the run and metric tables."""
-    for rows, schema, name in ((runs, schemas.RUNS, "runs"), (run_metrics, schemas.RUN_METRICS, "run_metrics")):
+    """Many runs at once: frames with the columns of the run and metric tables; runs logged before are replaced."""
+    for rows, schema, name in ((run_metrics, schemas.RUN_METRICS, "run_metrics"), (runs, schemas.RUNS, "runs")):
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        typed.write.mode("append").parquet(f"{folder}/{name}")
+        # the rows of a run in one file
+        _replace_run(typed.repartition("run_id"), f"{folder}/{name}")
 
 
 def read_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return (spark.read.schema(schemas.RUNS).parquet(f"{folder}/runs"),
-            spark.read.schema(schemas.RUN_METRICS).parquet(f"{folder}/run_metrics"))
+    return tuple(spark.read.schema(schema).parquet(f"{folder}/{name}").select(*schema.names)
+                 for name, schema in (("runs", schemas.RUNS), ("run_metrics", schemas.RUN_METRICS)))
