@@ -15,14 +15,12 @@ are compacted by pointer doubling, in rounds logarithmic in the longest path. A
 the edge that holds it, so it is no collocation of its own and is left out before any score is computed.
 
 Defined results: NULL text counts as empty, NULL language as ``und``. Only A-Z are lowered. Repeated rows count again. Empty tables
-and texts give no rows; other columns may have any name. A single very long text is read whole, a run of texts ``RUN_BYTES`` at
-a time.
+and texts give no rows; other columns may have any name. Memory of a task: about
+twenty times ``RUN_BYTES`` of text or its longest text, and a byte per slot.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,19 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import Numbers, batch_of, stored, text_runs
+from shelfcast.llm.common import batch_of, stored, text_runs
 
 LEAST = 30
 LONGEST = 4
 TOP = 2000
-RUN_BYTES = 24 << 20
+RUN_BYTES = 4 << 20
 #: Bytes of text per slot of the sieve, and bounds of their number.
 SLOT_BYTES, LEAST_SLOTS, MOST_SLOTS = 32, 1 << 20, 1 << 27
 RANGE_SLOTS = 1 << 16
 
 _MARKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_MARKS + b"\t" + bytes(range(65, 91)), b"." * len(_MARKS) + b" " + bytes(range(97, 123)))
-_EDGE = re.compile(rb"[\x09-\x0d\x20.,;:!?]")
 
 SIEVE = T.StructType([T.StructField("slots", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 FLOWS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()),
@@ -52,30 +49,27 @@ FLOWS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phra
 
 
 class _Run:
-    """Word numbers of whole texts by language; number 0 ends a piece."""
+    """Whole texts by language."""
 
     def __init__(self):
-        self.words: dict[str, Numbers] = {}
-        self.parts: dict[str, list[np.ndarray]] = {}
+        self.parts: dict[str, list[bytes]] = {}
         self.size = 0
 
     def add(self, text: bytes, lang: str) -> None:
-        words = self.words.setdefault(lang, Numbers({b".": 0}))
-        parts = self.parts.setdefault(lang, [])
-        text, at = text.translate(_TABLE), 0
-        while at < len(text):
-            cut = _EDGE.search(text, at + (1 << 20))  # long texts a window at a time
-            end = cut.start() if cut else len(text)
-            tokens = text[at:end].replace(b".", b" . ").split()
-            parts.append(np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens)))
-            at = end
-        parts.append(np.zeros(1, np.int64))
+        self.parts.setdefault(lang, []).append(text.translate(_TABLE))
         self.size += len(text)
 
     def sequences(self):
-        """(lang, words, numbers) of each language; three ends of pieces close the numbers."""
-        for lang, parts in self.parts.items():
-            yield lang, self.words[lang], np.concatenate([*parts, np.zeros(LONGEST - 1, np.int64)])
+        """(lang, distinct words, numbers) of each language: number 0, a full stop, ends a piece, and enough of them the
+        numbers."""
+        while self.parts:
+            lang, parts = self.parts.popitem()
+            text = b".".join([b"", *parts, b"." * LONGEST]).replace(b".", b" . ")
+            del parts
+            words = pc.ascii_split_whitespace(pa.array([text], pa.large_string())).flatten()
+            # the text begins and ends with white space
+            coded = words.slice(1, len(words) - 2).dictionary_encode()
+            yield lang, coded.dictionary, coded.indices.to_numpy().astype(np.int64)
 
 
 def _runs(batches):
@@ -89,14 +83,15 @@ def _runs(batches):
                 if run.size >= RUN_BYTES:
                     yield run
                     run = _Run()
+                    pa.default_memory_pool().release_unused()
     if run.size:
         yield run
 
 
-def _slots_of(lang: str, words: Numbers, numbers: np.ndarray, slots: int) -> np.ndarray:
+def _slots_of(lang: str, words: pa.Array, numbers: np.ndarray, slots: int) -> np.ndarray:
     """The sieve slot of each pair of neighbours; pairs across the end of a piece have slots too, which nobody asks for."""
     seed = xxhash.xxh64_intdigest(lang.encode())
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
     left, right = hashes * np.uint64(0x9E3779B97F4A7C15 | 1), hashes ^ (hashes >> np.uint64(31))
     mixed = (left[numbers[:-1]] + right[numbers[1:]]) * np.uint64(0xD6E8FEB86659FD93)
     return (mixed >> np.uint64(65 - slots.bit_length())).astype(np.int64)
@@ -135,7 +130,7 @@ def pair_sieve(docs: DataFrame, least: int, slots: int) -> np.ndarray:
 
     counted = docs.mapInArrow(count, SIEVE).repartition("slots").sortWithinPartitions("slots").mapInArrow(add, SIEVE)
     bits = np.zeros(slots // 8, np.uint8)
-    for row in counted.toLocalIterator():  # a bit per slot, whatever the size of the table
+    for row in counted.collect():  # a bit per slot, whatever the size of the table
         bits[row.slots * width // 8:(row.slots + 1) * width // 8] = np.frombuffer(row.counts, np.uint8)
     return bits
 
@@ -159,7 +154,6 @@ def flows(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 for i in range(LONGEST - 1):
                     more &= goes_on[np.minimum(at + i, len(goes_on) - 1)]
                     sizes += more
-                names = pa.array(list(words), pa.binary())
                 for g in range(1, LONGEST + 1):
                     begins = at[sizes == g]
                     if not len(begins):
@@ -173,8 +167,8 @@ def flows(docs: DataFrame, least: int = LEAST) -> DataFrame:
                     places = begins[order][first]
                     for a in range(0, len(places), 1 << 16):
                         part = places[a:a + (1 << 16)]
-                        taken = [names.take(pa.array(numbers[part + i])) for i in range(g)]
-                        phrases = pc.binary_join_element_wise(*taken, b" ") if g > 1 else taken[0]
+                        taken = [words.take(pa.array(numbers[part + i])) for i in range(g)]
+                        phrases = pc.binary_join_element_wise(*taken, pa.scalar(" ", pa.large_string())) if g > 1 else taken[0]
                         yield batch_of(FLOWS, [[lang] * len(part), phrases.cast(pa.string()), np.full(len(part), g, np.int32),
                                                n[a:a + (1 << 16)]])
 
