@@ -6,6 +6,10 @@ run of tokens: the two control tokens and the vocabulary's ids in between. A nod
 token (the tokens of its ancestors in front of it), and the intervals of the emitted stream that it may attend to besides its own earlier
 tokens: those of its ancestors, neighbouring ones merged. A conversation is its path of nodes.
 
+Header and text of a turn are tokenized apart, so the loss mask of an assistant's node, the tokens from ``text_start`` to
+its closing control token, covers its text exactly. Reading back starts from the stream: token ids are decoded, and every
+node's position and intervals are held against the nodes before it on the path.
+
 Depth-first order is the order of paths. A path lists only the nodes where the tree branches, so a long conversation that nobody
 shares has a short path, and equal paths are ordered by depth. The order is a range sort over all nodes, and stream offsets are
 prefix sums over the range partitions: a first turn that a third of all conversations share is one row, and its
@@ -79,14 +83,26 @@ def _tokenizer(path: str):
     return made, made.get_vocab_size(with_added_tokens=True)
 
 
-def _token_ids(formatted: list[str], path: str) -> list[np.ndarray]:
-    """Ids of rendered turns; the control strings are the two ids after the vocabulary's."""
+def _token_ids(formatted: list[str], path: str) -> tuple[list[np.ndarray], list[int]]:
+    """Ids of rendered turns and where their texts start; the control strings are the two ids after the vocabulary's."""
     made, size = _tokenizer(path)
-    inner = [f[len(START):-len(END) - 1] for f in formatted]
-    out = []
-    for ids in made.encode_batch_fast(inner, add_special_tokens=False):
-        out.append(np.array([size, *ids.ids, size + 1], np.int32))
-    return out
+    cuts = [f.index("\n") + 1 for f in formatted]  # roles hold no line break
+    heads = made.encode_batch_fast([f[len(START):c] for f, c in zip(formatted, cuts)], add_special_tokens=False)
+    bodies = made.encode_batch_fast([f[c:-len(END) - 1] for f, c in zip(formatted, cuts)], add_special_tokens=False)
+    return ([np.array([size, *h.ids, *b.ids, size + 1], np.int32) for h, b in zip(heads, bodies)],
+            [1 + len(h.ids) for h in heads])
+
+
+def _decoded(ids: list[list[int]], starts: list[int], path: str) -> list[tuple[str, str]]:
+    """(role, text) of runs of token ids; a run that is not one turn is an error."""
+    made, size = _tokenizer(path)
+    if any(len(i) < 2 or i[0] != size or i[-1] != size + 1 or max(i[1:-1], default=0) >= size for i in ids):
+        raise ValueError("a node is not one turn between its control tokens")
+    heads = made.decode_batch([i[1:a] for i, a in zip(ids, starts)], skip_special_tokens=False)
+    bodies = made.decode_batch([i[a:-1] for i, a in zip(ids, starts)], skip_special_tokens=False)
+    if not all(h.endswith("\n") for h in heads):
+        raise ValueError("a text does not start behind its role")
+    return [(unescape_role(h[:-1]), unescape(b)) for h, b in zip(heads, bodies)]
 
 
 #: (conv_no, depth, node, parent, role, text) of every turn.
@@ -97,7 +113,8 @@ TURNS = T.StructType([
 PLACES = T.StructType([
     T.StructField("node", T.StringType()), T.StructField("path", T.StringType()), T.StructField("depth", T.IntegerType()),
     T.StructField("n_tokens", T.LongType()), T.StructField("position", T.LongType()), T.StructField("shown_by", T.LongType())])
-TOKENS = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+TOKENS = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("text_start", T.LongType()),
+                       T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
 
 
 def _turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -128,7 +145,7 @@ def _turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes (node, parent, depth, formatted, loss, token_ids, n_tokens, stream_start, position, attends) in one
+    """Nodes (node, parent, depth, formatted, loss, token_ids, text_start, n_tokens, stream_start, position, attends) in one
     depth-first token stream, and the paths (conv_id, conv_no, depth, node)."""
     names, turns = _turns(conversations)
     nodes = turns.groupBy("node").agg(
@@ -140,8 +157,8 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
 
     def tokens(batches):
         for batch in batches:
-            ids = _token_ids(batch.column(at).to_pylist(), vocabulary)
-            yield batch_of(schema, [*batch.columns, [len(i) for i in ids], ids])
+            ids, starts = _token_ids(batch.column(at).to_pylist(), vocabulary)
+            yield batch_of(schema, [*batch.columns, [len(i) for i in ids], starts, ids])
 
     nodes = stored(nodes.mapInArrow(tokens, schema), "nodes")
     # where the tree branches: below a parent of several children, and at the first turns
@@ -182,10 +199,7 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
                 if own:
                     names.append(node)
                     attends.append([list(h) for h in held])
-                if held and held[-1][1] == start:
-                    held[-1] = (held[-1][0], start + n)
-                else:
-                    held.append((start, start + n))
+                _joined(held, start, start + n)
             yield batch_of(spans, [names, attends])
 
     shown = turns.select("conv_no", "depth", "node").join(
@@ -194,7 +208,7 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
     needed = placed.select(F.col("shown_by").alias("conv_no")).distinct()
     walks = shown.join(needed, "conv_no", "left_semi").repartition("conv_no").sortWithinPartitions("conv_no", "depth")
     attends = walks.select("conv_no", "node", "stream_start", "n_tokens", "own").mapInArrow(ancestors, spans)
-    full = nodes.select("node", "parent", "depth", "formatted", "loss", "token_ids", "n_tokens").join(
+    full = nodes.select("node", "parent", "depth", "formatted", "loss", "token_ids", "text_start", "n_tokens").join(
         placed.select("node", "stream_start", "position"), "node").join(attends, "node")
     paths = turns.select("conv_no", "depth", "node").join(names, "conv_no")
     return stored(full, "tree"), stored(paths, "paths")
@@ -206,31 +220,53 @@ READ = T.StructType([
     T.StructField("formatted_chars", T.LongType())])
 
 
-def read_back(tree: DataFrame, paths: DataFrame) -> DataFrame:
-    """Each conversation put together again from the nodes on its path, parsed and digested."""
-    turns = paths.select("conv_no", "conv_id", "depth", "node").join(tree.select("node", "formatted", "loss"), "node")
+def _joined(held: list[tuple[int, int]], start: int, end: int) -> None:
+    """Adds an interval behind those held, merged with its neighbour."""
+    if held and held[-1][1] == start:
+        held[-1] = (held[-1][0], end)
+    else:
+        held.append((start, end))
+
+
+SAID = T.StructType([T.StructField("node", T.StringType()), T.StructField("role", T.StringType()), T.StructField("text", T.StringType()),
+                     T.StructField("chars", T.LongType())])
+
+
+def read_back(tree: DataFrame, paths: DataFrame, vocabulary: str) -> DataFrame:
+    """Each conversation put together again from the tokens of the nodes on its path, and digested. A node whose position or
+    intervals are not those of the nodes before it is an error."""
+    def decode(batches):
+        for batch in batches:
+            said = _decoded(batch.column(1).to_pylist(), batch.column(2).to_pylist(), vocabulary)
+            yield batch_of(SAID, [batch.column(0), [r for r, _ in said], [t for _, t in said], [len(render(r, t)) for r, t in said]])
+
+    said = stored(tree.select("node", "token_ids", "text_start").mapInArrow(decode, SAID), "said")
+    places = tree.select("node", "loss", "stream_start", "n_tokens", "position", "attends").join(said, "node")
+    turns = paths.select("conv_no", "conv_id", "depth", "node").join(places, "node")
     turns = turns.repartition("conv_no").sortWithinPartitions("conv_no", "depth")
 
     def digest(batches):
-        no, conv, n, said, loss_chars, loss, chars = None, None, 0, None, 0, None, 0
+        no, conv, n, chain, loss_chars, loss, chars, tokens, held = None, None, 0, None, 0, None, 0, 0, []
         for batch in batches:
             rows = []
-            for c, own_id, formatted, counts in zip(*[column.to_pylist() for column in batch.columns]):
+            for c, own_id, role, text, size, counts, start, many, position, attends in zip(*[x.to_pylist() for x in batch.columns]):
                 if c != no:
                     if no is not None:
-                        rows.append((conv, n, said.hexdigest(), loss_chars, loss.hexdigest(), chars))
-                    no, conv, n, said, loss_chars, loss, chars = c, own_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
-                # each rendered turn ends where the next begins, so the parts parse as the whole does
-                for role, text in parse(formatted):
-                    n += 1
-                    said.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                    if counts:
-                        loss_chars += len(text)
-                        loss.update(text.encode("utf-8", "surrogatepass"))
-                chars += len(formatted)
+                        rows.append((conv, n, chain.hexdigest(), loss_chars, loss.hexdigest(), chars))
+                    no, conv, n, chain, loss_chars, loss, chars = c, own_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+                    tokens, held = 0, []
+                if position != tokens or [tuple(a) for a in attends] != held:
+                    raise ValueError(f"turn {n} of conversation {own_id} does not follow the nodes it attends to")
+                _joined(held, start, start + many)
+                tokens, n, chars = tokens + many, n + 1, chars + size
+                chain.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+                if counts:
+                    loss_chars += len(text)
+                    loss.update(text.encode("utf-8", "surrogatepass"))
             if rows:
                 yield batch_of(READ, [list(c) for c in zip(*rows)])
         if no is not None:
-            yield batch_of(READ, [[x] for x in (conv, n, said.hexdigest(), loss_chars, loss.hexdigest(), chars)])
+            yield batch_of(READ, [[x] for x in (conv, n, chain.hexdigest(), loss_chars, loss.hexdigest(), chars)])
 
-    return turns.select("conv_no", F.col("conv_id").cast("long"), "formatted", "loss").mapInArrow(digest, READ)
+    return turns.select("conv_no", F.col("conv_id").cast("long"), "role", "text", "chars", "loss", "stream_start", "n_tokens",
+                        "position", "attends").mapInArrow(digest, READ)

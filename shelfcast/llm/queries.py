@@ -59,7 +59,7 @@ def op3(spark, sf_dir):
     said = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     breaking = chat_tree.END + chat_tree.START + "assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", breaking), (-1, 1, "assistant", breaking)], said.schema)
-    return chat_tree.read_back(*chat_tree.prefix_tree(said.unionByName(extra), vocabulary()))
+    return chat_tree.read_back(*chat_tree.prefix_tree(said.unionByName(extra), vocabulary()), vocabulary())
 
 
 @query("op4_language_kn")

@@ -2,8 +2,10 @@ import hashlib
 from collections import Counter
 
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shelfcast.llm import chat_tree
 from shelfcast.llm.queries import QUERIES
@@ -41,7 +43,7 @@ def expected():
 
 
 def test_conversations_read_back(spark):
-    got = chat_tree.read_back(*chat_tree.prefix_tree(conversations(spark), VOCABULARY)).collect()
+    got = chat_tree.read_back(*chat_tree.prefix_tree(conversations(spark), VOCABULARY), VOCABULARY).collect()
     want = expected()
     assert len(got) == len(want)
     for r in got:
@@ -90,7 +92,7 @@ def test_query_adds_the_breaking_conversation(spark):
 
 def test_no_conversations(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    assert chat_tree.read_back(*chat_tree.prefix_tree(empty, VOCABULARY)).count() == 0
+    assert chat_tree.read_back(*chat_tree.prefix_tree(empty, VOCABULARY), VOCABULARY).count() == 0
 
 
 def test_long_conversations_pass_row_by_row(spark, monkeypatch):
@@ -101,7 +103,7 @@ def test_long_conversations_pass_row_by_row(spark, monkeypatch):
     said = [(None if i % 3 else 7, i, "assistant" if i % 2 else "user", f"t{i} é") for i in range(600)]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        got = chat_tree.read_back(*chat_tree.prefix_tree(spark.createDataFrame([(*r, "n") for r in said], SCHEMA), VOCABULARY)).collect()
+        got = chat_tree.read_back(*chat_tree.prefix_tree(spark.createDataFrame([(*r, "n") for r in said], SCHEMA), VOCABULARY), VOCABULARY).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(r.n_turns for r in got) == [200, 400]
@@ -110,3 +112,32 @@ def test_long_conversations_pass_row_by_row(spark, monkeypatch):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
         assert r.loss_sha256 == hashlib.sha256("".join(b for a, b in turns if a == "assistant").encode()).hexdigest()
         assert r.formatted_chars == sum(len(chat_tree.render(a, b)) for a, b in turns)
+
+
+def test_damage_to_the_stream_is_noticed(spark):
+    tree, paths = chat_tree.prefix_tree(conversations(spark), VOCABULARY)
+    deep = tree.where("depth = 2").first().node
+    here = F.col("node") == deep
+    damaged = {
+        "an interval": tree.withColumn("attends", F.when(here, F.expr("transform(attends, (a, i) -> CASE WHEN i = 0 THEN array(a[0], a[1] - 1) ELSE a END)"))
+                                       .otherwise(F.col("attends"))),
+        "a position": tree.withColumn("position", F.when(here, F.col("position") + 1).otherwise(F.col("position"))),
+        "a control token": tree.withColumn("token_ids", F.when(here, F.slice("token_ids", F.lit(2), F.size("token_ids"))).otherwise(F.col("token_ids")))}
+    for what, broken in damaged.items():
+        with pytest.raises(Exception, match="ValueError"):
+            chat_tree.read_back(broken, paths, VOCABULARY).collect()
+    # other tokens give another text, and so another digest
+    other = tree.withColumn("token_ids", F.when(here, F.concat(F.slice("token_ids", F.lit(1), F.size("token_ids") - 1), F.array(F.lit(65), F.element_at("token_ids", -1))))
+                            .otherwise(F.col("token_ids")))
+    want = {r.conv_id: r for r in chat_tree.read_back(tree, paths, VOCABULARY).collect()}
+    changed = [r.conv_id for r in chat_tree.read_back(other, paths, VOCABULARY).collect() if r.turns_sha256 != want[r.conv_id].turns_sha256]
+    assert sorted(changed) == sorted({r.conv_id for r in paths.where(F.col("node") == deep).collect()})
+
+
+def test_loss_mask_covers_the_text_alone(spark):
+    from tokenizers import Tokenizer
+    decode = Tokenizer.from_file(VOCABULARY).decode
+    said = [(1, 0, "assistant", "\n\nstarts and ends with lines\n\n"), (1, 1, "user", "x"), (1, 2, "assistant", " "), (1, 3, "assistant", "é<|im_end|>")]
+    tree, _ = chat_tree.prefix_tree(spark.createDataFrame([(*r, "n") for r in said], SCHEMA), VOCABULARY)
+    masked = {r.depth: decode(r.token_ids[r.text_start:-1], skip_special_tokens=False) for r in tree.where("loss").collect()}
+    assert {d: chat_tree.unescape(t) for d, t in masked.items()} == {c: t for _, c, r, t in said if r == "assistant"}
