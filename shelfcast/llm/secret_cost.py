@@ -31,7 +31,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 _CONTEXT = re.compile(
     r"""(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer)s?["']?"""
-    r"""\s{0,8}(?:[:=]{1,2}>?|\bis\b|(?<=bearer))\s{0,8}["']?([^\s"'<>]{8,})""", re.I | re.A)
+    r"""\s{0,8}(?:[:=]{1,2}>?|\bis\b|(?<=bearer))\s{0,8}["']?([^\s"'<>]+)""", re.I | re.A)
 _STEMS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer")
 _HEX_MAP = bytes(120 if chr(i) in "0123456789abcdef" else 32 for i in range(256))
 # fixed values: common passwords and the rows of a keyboard
@@ -78,11 +78,11 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     n, low = len(value), value.lower()
     plain = low.translate(_LEET)
     best = [0.0] + [math.inf] * n
-    walk = 0  # where the keyboard walk that ends here began
+    walk, on_walk = 0, math.inf  # where the keyboard walk that ends here began, and the cheapest way to have begun it
     runs = {m.start(): m for m in _REPEAT.finditer(low)}
     for i in range(n):
         if i and (low[i - 1], low[i]) not in _NEXT_KEYS:
-            walk = i
+            walk, on_walk = i, math.inf
         # brute force, a character at a time
         best[i + 1] = min(best[i + 1], best[i] + _alphabet(value[i]))
         here = best[i] + 0.3  # each segment must also be guessed to be one
@@ -102,8 +102,8 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
             unit = sum(map(_alphabet, repeat.group(1)))
             best[repeat.end()] = min(best[repeat.end()], here + unit + math.log10(len(repeat.group()) / len(repeat.group(1))))
         if i - walk >= 2:
-            for a in range(walk, i - 1):
-                best[i + 1] = min(best[i + 1], best[a] + 0.3 + math.log10(47) + 0.35 * (i - a))
+            on_walk = min(on_walk, best[i - 2] - 0.35 * (i - 2))
+            best[i + 1] = min(best[i + 1], on_walk + 0.3 + math.log10(47) + 0.35 * i)
     return best[n]
 
 
@@ -126,7 +126,7 @@ def scan(text: str, ranks: dict[str, int]) -> tuple[list, list, float | None]:
         for m in _CONTEXT.finditer(text):
             value = m.group(1).rstrip(".,;:!?)]}")
             start, end = m.start(1), m.start(1) + len(value)
-            if len(value) < 8:
+            if not value:
                 continue
             cost = guess_cost(value, ranks)
             highest = cost if highest is None else max(highest, cost)
