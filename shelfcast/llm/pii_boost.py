@@ -11,7 +11,8 @@ of its kind in documents that were not fitted. Accepted candidates that touch no
 overlap each other the more probable one stays.
 
 Defined results: a NULL text counts as empty and has no spans; the digest of no spans is that of the empty string.
-Rows may repeat and are judged each. With fewer than ``LEAST`` examples of either class nothing is added. An empty
+Rows may repeat and are judged each. With fewer than ``LEAST`` examples of either class nothing is added,
+nor of a kind with fewer than ``LEAST // 4`` base spans that were not fitted, which have no limit to measure. An empty
 table gives an empty result.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import string
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier
@@ -133,6 +135,7 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
 
 SPAN = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 PROPOSED = T.StructType([*SPAN.fields, T.StructField("base", T.BooleanType()), T.StructField("features", T.ArrayType(T.FloatType()))])
+ADDED = T.StructType([T.StructField("row_no", T.LongType()), T.StructField("added", T.ArrayType(SPAN))])
 FOUND = T.StructType([
     T.StructField("row_no", T.LongType()), T.StructField("doc_id", T.LongType()),
     *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS], T.StructField("base_sha256", T.StringType()),
@@ -201,6 +204,18 @@ def fit(found: DataFrame):
     return (model, limits) if limits else None
 
 
+def apart(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (kind, start, end) in order of preference, those that overlap none before them."""
+    starts, ends, kept = [], [], []
+    for kind, start, end in spans:
+        at = bisect_left(starts, end)  # kept spans that begin before this one ends
+        if at == 0 or ends[at - 1] <= start:
+            starts.insert(at, start)
+            ends.insert(at, end)
+            kept.append((kind, start, end))
+    return kept
+
+
 def _chosen(found: DataFrame, model, limits: dict[int, float]) -> DataFrame:
     """row_no and the added spans (kind, start, end) of documents that have some."""
     rows = found.select("row_no", F.explode("proposed").alias("c")).where("NOT c.base").select(
@@ -209,12 +224,15 @@ def _chosen(found: DataFrame, model, limits: dict[int, float]) -> DataFrame:
     for kind, least in limits.items():
         limit = F.when(F.col("kind") == kind, least).otherwise(limit)
     judged = model.transform(rows).withColumn("p", vector_to_array("probability")[1]).where(F.col("p") >= limit)
+    # the accepted spans of one document
     spans = judged.groupBy("row_no").agg(F.sort_array(F.collect_list(F.struct("p", "start", "end", "kind")), asc=False).alias("s"))
-    apart = F.aggregate(
-        "s", F.array().cast("array<struct<kind:int,start:int,end:int>>"),
-        lambda kept, x: F.when(F.exists(kept, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"])), kept).otherwise(
-            F.concat(kept, F.array(F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))))))
-    return spans.select("row_no", apart.alias("added"))
+
+    def work(batches):
+        for batch in batches:
+            kept = [[dict(zip(("kind", "start", "end"), x)) for x in apart([(s["kind"], s["start"], s["end"]) for s in spans])]
+                    for spans in batch.column(1).to_pylist()]
+            yield batch_of(ADDED, [batch.column(0), kept])
+    return spans.mapInArrow(work, ADDED)
 
 
 def personal_spans(docs: DataFrame) -> DataFrame:
