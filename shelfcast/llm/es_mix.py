@@ -3,9 +3,9 @@
 Every source gets a target number of words. Its complete epochs (every document, once each) come first; what is left
 of the target is filled with documents in the order of exponential keys, -ln(u) / quality weight, where u comes from a
 hash of the document, so that reruns agree. The keys are sorted within the source over many tasks and the sizes
-prefix-summed to the budget. A document that would cross the budget is left out, and the small rest is filled by up to
-``FILL_ROUNDS`` more prefix sums over the documents that still fit, at last by the one smallest document if that
-brings the source nearer to its target. Documents are taken whole.
+prefix-summed to the budget. A document that would cross the budget is left out, and the small rest is filled by further
+prefix sums over the documents that still fit until none does, at last by the one smallest document if that
+brings the source nearer to its target: then it misses by at most half of that document. Documents are taken whole.
 
 Defined results: a NULL text has size 0; documents of size 0 are taken with complete epochs only and count nothing.
 Sources are ordered by code point, NULL last, and weigh 5, 2, 1, repeating. Rows equal in doc_id and text have equal
@@ -23,7 +23,6 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 CYCLE = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_EPOCHS = 2
-FILL_ROUNDS = 3
 #: Weight of a document by its quality label; unlabelled documents weigh 1.
 QUALITY_WEIGHT = {1: 2.0, 0: 0.5}
 
@@ -85,7 +84,7 @@ def mix(rows: DataFrame, quality: DataFrame | None = None) -> DataFrame:
 
     rest = _joined(rows, plan).where("size > 0 AND budget > 0").select("row_no", "source", "size", "key", "budget")
     chosen = None
-    for turn in range(1 + FILL_ROUNDS):
+    while True:
         summed = running_sums(rest.where("size <= budget"), ["source", "key", "row_no"], "size", "before", "source")
         summed = stored(summed.withColumn("take", F.col("before") + F.col("size") <= F.col("budget")), "mix-sums")
         took = summed.where("take").select("row_no", "source", "size")
@@ -99,8 +98,7 @@ def mix(rows: DataFrame, quality: DataFrame | None = None) -> DataFrame:
         right = used.withColumnRenamed("source", "source_key")
         rest = (rest.join(F.broadcast(right), rest["source"].eqNullSafe(right["source_key"]), "left")
                 .withColumn("budget", F.col("budget") - F.coalesce("spent", F.lit(0))).drop("source_key", "spent"))
-        if turn < FILL_ROUNDS:
-            rest = stored(rest.where("budget > 0"), "mix-rest")
+        rest = stored(rest.where("budget > 0"), "mix-rest")
     nearest = rest.where("budget > 0").groupBy("source").agg(
         F.min(F.struct("size", "key", "row_no")).alias("m"), F.max("budget").alias("budget"))
     nearest = nearest.where("m.size < 2 * budget").select(F.col("m.row_no").alias("row_no"))
