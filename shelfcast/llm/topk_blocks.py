@@ -178,8 +178,10 @@ def _pass(queries: DataFrame, blocks: DataFrame, width: int, most: int | None) -
         return pd.DataFrame({"query_row": rows[which], "query_id": right["vec_id"].to_numpy(np.int64)[which],
                              "vec_id": best.vec[fine], "score": best.score[fine]})
 
-    shards = max(1, -(-blocks.count() // SHARD))
+    n, cores = blocks.count(), blocks.sparkSession.sparkContext.defaultParallelism
     chunks = max(1, -(-queries.count() // CHUNK))
+    # cells of bounded size, and enough of them for all cores
+    shards = max(1, -(-n // SHARD), min(n, -(-2 * cores // chunks)))
     dealt = blocks.withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int")).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     asked = queries.withColumn("chunk", F.pmod(F.xxhash64("row_no"), F.lit(chunks)).cast("int")).withColumn(
@@ -188,12 +190,10 @@ def _pass(queries: DataFrame, blocks: DataFrame, width: int, most: int | None) -
 
 
 def _merged(found: DataFrame) -> DataFrame:
-    """The K best of each query, ranked; at most K rows of a cell meet."""
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("less"), "vec_id"))), 1, K)
-    ranked = found.groupBy("query_row", "query_id").agg(best.alias("best"))
-    return ranked.select("query_row", "query_id", F.posexplode("best").alias("place", "b")).select(
-        "query_row", "query_id", (F.col("place") + 1).alias("rank"), F.nullif(F.col("b.vec_id"), F.lit(NO_ID)).alias("vec_id"),
-        (-F.col("b.less")).alias("score"))
+    """The K best of each query, ranked; Spark keeps K of each partition before they move."""
+    ranked = found.selectExpr("*", "CAST(row_number() OVER (PARTITION BY query_row, query_id ORDER BY score DESC, vec_id) AS INT) AS rank")
+    return ranked.where(F.col("rank") <= K).select(
+        "query_row", "query_id", "rank", F.nullif(F.col("vec_id"), F.lit(NO_ID)).alias("vec_id"), "score")
 
 
 def top_k(embeddings: DataFrame, every: int = EVERY) -> DataFrame:
