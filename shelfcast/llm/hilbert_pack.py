@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import batch_of, stored, texts_of
 
 LENGTH, CLOSE = 2048, 1
+#: Tokens of a range partition, two bytes each.
+PART_TOKENS = 1 << 25
 VECTOR, DIMS, BITS = 1024, 4, 8
 SLACK = 0.02
 #: Words whose ids a worker remembers; words beyond are encoded each time.
@@ -69,6 +71,8 @@ class WordTokenizer:
         from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
+        if self.whole.get_vocab_size(with_added_tokens=True) > 1 << 16:
+            raise ValueError("ids are kept in 16 bits: the vocabulary has more than 65,536 tokens")
         special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
         self.special = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
         ranks = _byte_ranks({t: i for t, i in self.whole.get_vocab(with_added_tokens=True).items() if t not in special})
@@ -192,8 +196,12 @@ def _cut(held: list, sequence: int, out: list) -> int:
 
 def packed(docs: DataFrame, path: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (16-bit)."""
-    ordered = curve_ordered(encoded(docs, path)).select("curve_key", "row_no", "doc_id", "tokens", "ids")
-    ordered = ordered.repartitionByRange("curve_key", "row_no").sortWithinPartitions("curve_key", "row_no")
+    rows = encoded(docs, path)
+    ordered = curve_ordered(rows).select("curve_key", "row_no", "doc_id", "tokens", "ids")
+    # the session's number of partitions, or as many as hold PART_TOKENS each
+    parts = -(-(rows.agg(F.sum("tokens")).first()[0] or 0) // PART_TOKENS)
+    more = [parts] if parts > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    ordered = ordered.repartitionByRange(*more, "curve_key", "row_no").sortWithinPartitions("curve_key", "row_no")
 
     def written(out):
         ids = [p[3] for p in out]
