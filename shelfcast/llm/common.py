@@ -31,14 +31,6 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-class Numbers(dict):
-    """Numbers its keys in the order they are first asked for."""
-
-    def __missing__(self, key):
-        number = self[key] = len(self)
-        return number
-
-
 def numbered(df: DataFrame, row: str) -> DataFrame:
     """The rows with a unique long ``row``, stored: ids that are made anew by each scan could differ between scans."""
     return stored(df.withColumn(row, F.monotonically_increasing_id()), "rows")
@@ -46,7 +38,8 @@ def numbered(df: DataFrame, row: str) -> DataFrame:
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: T.StructType) -> DataFrame:
-    return df.mapInArrow(work, schema)
+    """``work`` over the columns by place: their names may hold anything, dots included."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(work, schema)
 
 
 def batch_of(schema: T.StructType, columns: list) -> pa.RecordBatch:

@@ -116,21 +116,23 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def dedup_exact(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns. Of rows equal in id and text one stays: the one whose other
+    columns (but those with a MAP or VARIANT in them, which have no order) hash highest."""
     sha, key = free_name(docs, "text_sha"), free_name(docs, "keep_doc_id")
+    other = free_name(docs, "other_sha")
     kept = stored(exact_groups(docs, block_bytes).where("kept").select(
         F.col("doc_id").alias(key), F.col("text_sha256").alias(sha), "twins"), "kept")
     rows = docs.withColumn(sha, F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
 
     def of(keys: DataFrame) -> DataFrame:
-        return rows.join(keys.withColumnRenamed(sha, sha + "_k"),
-                         rows["doc_id"].eqNullSafe(keys[key]) & (rows[sha] == F.col(sha + "_k")), "left_semi")
+        return rows.join(keys.withColumnRenamed(sha, other),
+                         rows["doc_id"].eqNullSafe(keys[key]) & (rows[sha] == F.col(other)), "left_semi")
 
     once = of(kept.where("twins = 1")).drop(sha)
     repeated = kept.where("twins > 1")
     if repeated.isEmpty():
         return once
-    # rows equal in id and text: one of each; they may differ in other columns, then the largest row stays
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    picked = of(repeated).groupBy("doc_id", sha).agg(F.max_by(whole, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("r"))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    picked = of(repeated).groupBy("doc_id", sha).agg(F.max_by(whole, F.xxhash64(*hashed)).alias("r"))
     return once.unionByName(picked.select(*[F.col(f"r.`{c}`").alias(c) for c in docs.columns]))

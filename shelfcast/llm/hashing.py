@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (  # fixed values of the hash
     0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 SEED = 42
+LONG = 4096
 
 
 def _turn(x: np.ndarray, by: int) -> np.ndarray:
@@ -19,6 +21,12 @@ def _lane(acc: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 def xxh64_slices(data: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = SEED) -> np.ndarray:
     """Hash of data[start:start + size] for each slice; ``data`` is uint8 and has 8 spare bytes at its end."""
+    long = size >= LONG
+    if long.any():  # the library's own hash, a slice at a time
+        out = np.empty(len(start), np.uint64)
+        out[~long] = xxh64_slices(data, start[~long], size[~long], seed)
+        out[long] = [xxhash.xxh64_intdigest(data[a:a + n], seed) for a, n in zip(start[long], size[long])]
+        return out
     words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
     halves = np.ndarray((len(data) - 7,), "<u4", data, strides=(1,))
     start, size = start.astype(np.int64), size.astype(np.int64)

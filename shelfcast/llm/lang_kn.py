@@ -14,8 +14,10 @@ of a mean over so many characters, measured on all training documents of the lan
 
 Defined results: NULL text or text without letters gives ``und``, score 0, rejected. Documents with NULL lang never
 train. Without any training document everything is ``und``. Equal entropies give the first language by code point.
-Up to ``MOST_NGRAMS`` n-grams the model is broadcast; a larger one stays in tables, which Spark aggregates make and the
-documents' distinct n-grams are joined to. Both give the same probabilities from all counts.
+Up to ``MOST_CELLS`` cells, distinct n-grams times languages, the model is broadcast: its arrays then hold at most four
+times as many 4-byte numbers twice over, 64 MB. A larger one stays in tables, which Spark aggregates make and the documents'
+distinct n-grams are joined to; the driver then holds a discount per language and order. Both compute the same probabilities
+from all counts, the tables in double and the arrays in single precision.
 """
 
 from __future__ import annotations
@@ -29,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of, free_name, numbered, slices, stored, text_runs
+from shelfcast.llm.common import batch_of, free_name, map_arrow, numbered, slices, stored, text_runs
 
 ORDER = 4
-MOST_NGRAMS = 2_000_000
+MOST_CELLS = 2_000_000
 MARGIN, SPREADS, FEW = 1.0, 8.0, 30
 #: Characters of evidence that the score counts at most.
 EVIDENCE = 48
@@ -309,7 +311,7 @@ class TableModel(Judge):
                 yield batch_of(schema, [*columns, lang, score, pa.array(rejected)])
 
         joined = rows.join(found, row, "left")
-        return joined.select(row, *[F.col(f"`{c}`") for c in docs.columns], chars, nats).mapInArrow(work, schema)
+        return map_arrow(joined.select(row, *[F.col(f"`{c}`") for c in docs.columns], chars, nats), work, schema)
 
 
 GRAMS = T.StructType([T.StructField("row_no", T.LongType()), T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
@@ -319,12 +321,12 @@ def train(docs: DataFrame) -> KneserNey | TableModel:
     """The model of ``docs`` (doc_id, lang, text); rows with NULL lang take no part."""
     rows = docs.where("lang IS NOT NULL")
     counts = stored(ngram_counts(rows), "ngrams")
-    if counts.count() > MOST_NGRAMS:
-        model = TableModel(counts, sorted(r.lang for r in counts.select("lang").distinct().collect()))
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    if counts.select("code").distinct().count() * len(langs) > MOST_CELLS:
+        model = TableModel(counts, langs)
         model.calibrate({r.lang: tuple(r)[1:] for r in model.own_sums(rows).collect()})
         return model
-    table = counts.toArrow()  # at most MOST_NGRAMS rows of numbers
-    langs = sorted(set(table["lang"].to_pylist()))
+    table = counts.toArrow()  # at most MOST_CELLS rows of numbers
     index = {x: i for i, x in enumerate(langs)}
     of = np.array([index[x] for x in table["lang"].to_pylist()], np.int64)
     model = KneserNey(langs, of, table["code"].to_numpy().astype(np.int64).view(np.uint64), table["n"].to_numpy())
@@ -383,7 +385,7 @@ def identified(docs: DataFrame, model: KneserNey | TableModel, names=("lang_pred
             yield batch_of(schema, [*batch.columns, [x for p in parts for x in p[0]], np.concatenate([p[1] for p in parts]),
                                     pa.array(np.concatenate([p[2] for p in parts]))])
 
-    return docs.mapInArrow(work, schema)
+    return map_arrow(docs, work, schema)
 
 
 def train_on_fold(docs: DataFrame) -> KneserNey | TableModel:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of, free_name, slices, stored, text_runs
+from shelfcast.llm.common import batch_of, free_name, map_arrow, slices, stored, text_runs
 from shelfcast.llm.hashing import xxh64_slices
 
 SHINGLE, DISTANCE = 3, 3
@@ -90,13 +90,16 @@ def _fingerprints(texts: list[bytes], words_per: int) -> np.ndarray:
 def _long_fingerprint(text: bytes, words_per: int, step: int = 1 << 20) -> np.uint64:
     """The same for a text of any length, in windows of ``step`` bytes and the shingles that begin in them."""
     words, totals, count = [], np.zeros(64, np.int64), 0
-    rest = b""
+    pending: list[bytes] = []  # what follows the last white space, joined once the next is found
     for i in range(0, len(text), step):
-        part = rest + text[i:i + step]
+        part = text[i:i + step]
         last = i + step >= len(text)
         cut = len(part) if last else max(part.rfind(c) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) + 1
-        rest = part[cut:]
-        words += part[:cut].lower().split()
+        if not cut:
+            pending.append(part)
+            continue
+        words += b"".join([*pending, part[:cut]]).lower().split()
+        pending = [part[cut:]]
         if len(words) >= words_per:
             joined = np.frombuffer(b" ".join(words) + b" " * 9, np.uint8)
             length = np.array([len(w) for w in words])
@@ -132,7 +135,7 @@ def with_fingerprint(docs: DataFrame, name: str, words_per: int = SHINGLE) -> Da
             prints = [fingerprints(run, words_per) for run in text_runs(batch.column(at), binary=True)]
             yield batch_of(schema, [*batch.columns, np.concatenate([*prints, np.zeros(0, np.uint64)]).view(np.int64)])
 
-    return docs.mapInArrow(work, schema)
+    return map_arrow(docs, work, schema)
 
 
 def _segments(value):
@@ -284,9 +287,11 @@ def components(links: DataFrame) -> DataFrame:
             return links.select("u", F.col("v").alias("root"))
         before = state
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+        # the small sides are stored, so that the join's rows at a hub can be split over tasks
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")), "lows")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("low"))
+        large = stored(large, "large")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("low")), "lows")
         small = large.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         links = stored(small.unionByName(least.select("u", F.col("low").alias("v"))).distinct(), "links")
 

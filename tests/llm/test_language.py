@@ -141,7 +141,7 @@ def test_model_in_tables_gives_the_same(spark, two_languages, monkeypatch):
     names = ("a", "b", "c")
     small = lang_kn.train_on_fold(two_languages)
     want = lang_kn.identified(two_languages, small, names).collect()
-    monkeypatch.setattr(lang_kn, "MOST_NGRAMS", 3)
+    monkeypatch.setattr(lang_kn, "MOST_CELLS", 3)
     large = lang_kn.train_on_fold(two_languages)
     assert large.langs == small.langs == ["de", "en"]  # no count is dropped
     assert np.allclose(large.calibration, small.calibration, rtol=1e-3, atol=1e-4)
