@@ -13,14 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shelfcast.session import scratch_path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: later steps read it, however executors come and go."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from shelfcast.session import stored
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
