@@ -35,16 +35,18 @@ def lag_limit(n: int) -> int:
 
 
 def adf_by_series(daily: DataFrame, value: str, keys: list[str], date: str = "date", max_lag: int | None = None,
-                  alpha: float = 0.05) -> DataFrame:
+                  alpha: float = 0.05, longest: int | None = None) -> DataFrame:
     """Augmented Dickey–Fuller test with a constant; the number of lags is the one with the best AIC.
 
     All lag orders are read off one matrix per series. Without ``max_lag`` the limit follows each series' own
-    length: lags beyond it are columns of zeros, which take no rows from the series and are never chosen.
+    length: lags beyond it are columns of zeros, which take no rows from the series and are never chosen. ``longest`` is the
+    number of days of the longest series, where it is known; else the history is counted first.
     """
     w = _window(keys, date)
     own_limit = F.lit(max_lag)
     if max_lag is None:
-        longest = daily.groupBy(*keys).agg(F.count(value).alias("n")).agg(F.max("n")).first()[0] or 0
+        if longest is None:
+            longest = daily.groupBy(*keys).agg(F.count(value).alias("n")).agg(F.max("n")).first()[0] or 0
         max_lag = max(1, lag_limit(longest))
         known = F.count(value).over(Window.partitionBy(*keys))
         own_limit = F.greatest(F.lit(1), F.ceil(12 * F.pow(known / 100, 0.25)))
