@@ -30,12 +30,13 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import batch_of, running_sums, stored
+from shelfcast.llm.common import batch_of, running_sums, slices, stored
 
 START, END = "<|im_start|>", "<|im_end|>"
 _OPEN, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")
@@ -157,8 +158,10 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
 
     def tokens(batches):
         for batch in batches:
-            ids, starts = _token_ids(batch.column(at).to_pylist(), vocabulary)
-            yield batch_of(schema, [*batch.columns, [len(i) for i in ids], starts, ids])
+            for a, b in slices(pc.binary_length(batch.column(at)).to_pylist(), 1 << 18):
+                part = batch.slice(a, b - a)
+                ids, starts = _token_ids(part.column(at).to_pylist(), vocabulary)
+                yield batch_of(schema, [*part.columns, [len(i) for i in ids], starts, ids])
 
     nodes = stored(nodes.mapInArrow(tokens, schema), "nodes")
     # where the tree branches: below a parent of several children, and at the first turns
@@ -237,8 +240,10 @@ def read_back(tree: DataFrame, paths: DataFrame, vocabulary: str) -> DataFrame:
     intervals are not those of the nodes before it is an error."""
     def decode(batches):
         for batch in batches:
-            said = _decoded(batch.column(1).to_pylist(), batch.column(2).to_pylist(), vocabulary)
-            yield batch_of(SAID, [batch.column(0), [r for r, _ in said], [t for _, t in said], [len(render(r, t)) for r, t in said]])
+            for a, b in slices(pc.list_value_length(batch.column(1)).to_pylist(), 1 << 16):
+                part = batch.slice(a, b - a)
+                said = _decoded(part.column(1).to_pylist(), part.column(2).to_pylist(), vocabulary)
+                yield batch_of(SAID, [part.column(0), [r for r, _ in said], [t for _, t in said], [len(render(r, t)) for r, t in said]])
 
     said = stored(tree.select("node", "token_ids", "text_start").mapInArrow(decode, SAID), "said")
     places = tree.select("node", "loss", "stream_start", "n_tokens", "position", "attends").join(said, "node")
