@@ -6,7 +6,8 @@ from collections.abc import Callable
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.drift import both_sides, ks_by_group, ks_of_counts, value_counts
@@ -109,46 +110,77 @@ def score(rows: DataFrame, coefficients: DataFrame, key: str, features: list[str
     return rows.join(coefficients, key, "left").withColumn("score", total).drop("intercept", *[f"{f}_coef" for f in features])
 
 
+# Buckets that share a state, and a time before all others (µs) for keys and rows without one.
+BUCKETS = 1024
+NEVER = -(1 << 62)
+
+
 class _FirstOfRun(StatefulProcessor):
-    """State of a key: when it last came, kept until the watermark has passed that by the delay."""
+    """State of a bucket: when each of its keys last came, kept until the watermark has passed that by the delay. All keys of a
+    bucket are compared at once and their state is one value, so calls to the state store do not grow with the keys."""
 
-    def __init__(self, ts: str, delay: timedelta, columns: list[str]):
-        self.ts, self.delay, self.columns = ts, delay, columns
+    def __init__(self, delay: timedelta, columns: list[str]):
+        self.delay, self.columns = delay // timedelta(microseconds=1), columns
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "ts timestamp")
+        self.last = handle.getValueState("last", "table binary")
 
     def handleInputRows(self, key, rows, timerValues):
-        # the rows of one key in one micro-batch
-        pdf = pd.concat(list(rows)).sort_values(self.ts, kind="stable")
+        # the rows of one bucket in one micro-batch
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["key", "us"], kind="stable")
         seen = self.last.get()
-        last = pd.Timestamp(seen[0]) if seen is not None else None
-        times = pdf[self.ts]
-        before = times.shift()
-        if last is not None:
-            before.iloc[0] = last
-            before = before.cummax()  # rows may be older than what was seen
-        fresh = before.isna() | (times > before + self.delay)
-        newest = times.iloc[-1] if last is None else max(last, times.iloc[-1])
-        self.last.update((newest.to_pydatetime(),))
+        last = pa.ipc.open_stream(bytes(seen[0])).read_pandas().set_index("key")["us"] if seen is not None else pd.Series(dtype="int64")
+        times, seen_at = pdf["us"], last.reindex(pdf["key"], fill_value=NEVER).to_numpy()
+        before = times.groupby(pdf["key"], sort=False).shift(fill_value=NEVER).clip(lower=seen_at)  # rows may be older than what was seen
+        fresh = times.eq(NEVER) | before.eq(NEVER) | (times > before + self.delay)
+        self._keep(pd.concat([last, times.set_axis(pdf["key"])]).groupby(level=0).max(), timerValues.getCurrentWatermarkInMs() * 1000)
+        yield pdf.loc[fresh, self.columns]
+
+    def _keep(self, last: pd.Series, watermark: int) -> None:
+        last = last[last + self.delay >= watermark]
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int((newest + self.delay).timestamp() * 1000) + 1)
-        yield pdf.loc[fresh.to_numpy(), self.columns]
+        if last.empty:
+            self.last.clear()
+            return
+        table, sink = pa.table({"key": last.index.to_numpy(), "us": last.to_numpy()}), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        self.last.update((sink.getvalue().to_pybytes(),))
+        self.handle.registerTimer((int(last.max()) + self.delay) // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.last.clear()
         return iter([])
 
 
+def _same_as_text(rows: DataFrame, keys: list[str]) -> Column:
+    """One text for each combination of key values that grouping takes as equal, NULL included."""
+    def text(field: T.StructField) -> Column:
+        c, kind = F.col(field.name), field.dataType
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return (c + F.lit(0).cast(kind)).cast("string")  # -0.0 is 0.0
+        if isinstance(kind, T.TimestampType):
+            return F.unix_micros(c).cast("string")
+        if isinstance(kind, T.BinaryType):
+            return F.hex(c)
+        if isinstance(kind, (T.StructType, T.ArrayType)):
+            micros = {f"timestamp{n}Format": f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{zone}" for n, zone in (("", "XXX"), ("NTZ", ""))}
+            return F.to_json(c, micros | {"ignoreNullFields": "false"})
+        return c.cast("string")
+    texts = [text(rows.schema[k]) for k in keys]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
 def suppress_duplicates(rows: DataFrame, keys: list[str], delay: str = "1 hour", ts: str = "ts") -> DataFrame:
     """The first of re-sent rows: a row is dropped if an equal key came at most the delay before it, kept or not.
 
     A stream and a batch mean the same and, for rows in order of time, give the same rows wherever the stream is cut: the
-    state of a key is the time it last came, and a timer clears it once no row on time can come within the delay. A row that
+    state of a key is the time it last came, and it is cleared once no row on time can come within the delay. A row that
     comes after later ones of its key is compared with the newest of them; one behind the watermark is dropped. Of rows
-    with equal key and time one stays. State is kept in RocksDB, which the session is set to.
+    with equal key and time one stays; rows without a time all stay. Keys are dealt to buckets whose state is kept in RocksDB,
+    which the session is set to; a bucket holds its rows of one micro-batch in memory, so ``maxFilesPerTrigger`` bounds them.
     """
     if not rows.isStreaming:
         w = Window.partitionBy(*keys).orderBy(ts)
@@ -156,8 +188,14 @@ def suppress_duplicates(rows: DataFrame, keys: list[str], delay: str = "1 hour",
         return rows.withColumn("_fresh", fresh).where("_fresh").drop("_fresh")
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     length = rows.sparkSession.sql(f"SELECT INTERVAL '0' SECOND + INTERVAL {delay} AS d").first()[0]
-    return rows.withWatermark(ts, delay).groupBy(*keys).transformWithStateInPandas(
-        _FirstOfRun(ts, length, rows.columns), rows.schema, "append", "eventTime")
+    # pandas would make doubles of longs beside NULLs and loses names with a leading underscore
+    kinds = {f"c{i}": T.StringType() if isinstance(f.dataType, T.LongType) else f.dataType for i, f in enumerate(rows.schema.fields)}
+    sent = [F.col(f"`{f.name}`").cast(kinds[c]).alias(c) for c, f in zip(kinds, rows.schema.fields)]
+    dealt = rows.withWatermark(ts, delay).select(
+        F.col(ts).alias("at"), *sent, _same_as_text(rows, keys).alias("key"), F.coalesce(F.unix_micros(ts), F.lit(NEVER)).alias("us"))
+    kept = dealt.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS))).groupBy("bucket").transformWithStateInPandas(
+        _FirstOfRun(length, list(kinds)), T.StructType([T.StructField(c, kind) for c, kind in kinds.items()]), "append", "eventTime")
+    return kept.select(*[F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(kinds, rows.schema.fields)])
 
 
 def predictions_with_late_actuals(predictions: DataFrame, actuals: DataFrame, keys: list[str], wait: str = "1 day",

@@ -97,6 +97,35 @@ def test_rerun_of_a_line_means_the_same_in_stream_and_batch(spark, tmp_path):
         assert sorted((r.k, r.ts) for r in got.collect()) == batch
 
 
+def test_state_of_many_keys_is_kept_in_buckets(spark, tmp_path):
+    """The state store holds a value and a timer a bucket, not a key; every row comes twice and is kept once."""
+    rows = spark.range(5000).select(F.col("id").alias("k"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"))
+    rows.union(rows).orderBy("ts").coalesce(1).write.parquet(str(tmp_path / "in"))
+    kept = streams.suppress_duplicates(streams.read_stream(spark, str(tmp_path / "in"), rows.schema), ["k"])
+    running = kept.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    running.awaitTermination()
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(rows.collect())
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress]
+    assert 0 < max(held) <= 4 * streams.BUCKETS
+
+
+def test_keys_of_any_kind_and_rows_unchanged(spark, tmp_path):
+    """Keys are equal as in grouping; longs beside NULLs, names with a leading underscore and rows without a time survive."""
+    big = (1 << 53) + 1
+    lines = [(1.0, "a:1", None, 0, big), (0.0, None, T0, 0, None), (-0.0, None, T0, 10, big), (None, "", T0, 20, big + 1), (None, None, T0, 30, 5),
+             (1.0, "a:1", T0, 40, None), (1.0, "a", T0, 50, big), (1.0, "a:1", T0, 60, 7), (0.0, None, None, 70, 8), (0.0, None, at(0), 200, 9)]
+    schema = "_x double, y string, z timestamp, m int, _v long"
+    made = spark.createDataFrame(lines, schema).withColumn("ts", F.when(F.col("_v").isNull() | (F.col("_v") != 5), F.lit(T0) + F.make_dt_interval(mins=F.col("m"))))
+    made.orderBy("m").coalesce(1).write.parquet(str(tmp_path / "in"))
+    keys = ["_x", "y", "z"]
+    kept = streams.suppress_duplicates(streams.read_stream(spark, str(tmp_path / "in"), made.schema), keys)
+    got = streams.run_available(kept, str(tmp_path / "out"), str(tmp_path / "cp"))
+    want = streams.suppress_duplicates(made, keys)
+    assert got.columns == made.columns and got.schema == made.schema
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert got.count() == 8  # two come again within the hour
+
+
 def late_frames(spark):
     predictions = [(i, at(i * 10), "m", float(i)) for i in range(120)]
     actuals = []
