@@ -28,6 +28,17 @@ def local_session(cores: int = 8, name: str = "shelfcast") -> SparkSession:
     return spark
 
 
+# Rows of one task, beyond which a shuffle gets more partitions than the session's.
+ROWS_PER_TASK = 500_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """The frame dealt by its keys for a grouping, window or join over them, with so many partitions that the memory of a task
+    does not grow with ``rows``. Frames that the session's number of partitions suits are left as they are."""
+    parts = -(-rows // ROWS_PER_TASK)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import spread
 from .bundle import SalesBundle
 
 # How the test tables' codes stand for holiday types and locales.
@@ -18,6 +19,8 @@ TYPE_OF_PRIORITY = {
     "4-NOT SPECIFIED": "Transfer",
 }
 STATES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+# Parts beyond which both sides of the join are dealt by part, since Spark would not broadcast so many.
+BROADCAST_ROWS = 4_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,10 +39,14 @@ def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per date, store and family."""
+    """One row per date, store and family. Nearly every line is a row of its own, so lines are dealt by these keys at once."""
     families = table(spark, folder, "part").select(F.col("p_partkey").alias("part"), F.col("p_type").alias("family"))
+    lines = sale_lines(spark, folder)
+    n = lines.count()
+    if families.count() > BROADCAST_ROWS:
+        families, lines = spread(families, n, "part"), spread(lines, n, "part")
     return (
-        sale_lines(spark, folder).join(families, "part")
+        spread(lines.join(families, "part").drop("part", "ticket"), n, "date", "store_nbr", "family")
         .groupBy("date", "store_nbr", "family")
         .agg(F.sum("amount").cast("double").alias("sales"), F.sum("promoted").alias("onpromotion"))
     )
