@@ -83,9 +83,10 @@ def dense_sales(spark: SparkSession, folder: str) -> DataFrame:
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Tickets per date and store; some rows are absent and some values unknown, by rule."""
     day = F.dayofmonth("date")
+    lines = sale_lines(spark, folder).select("date", "store_nbr", "ticket")
     counted = (
-        sale_lines(spark, folder).select("date", "store_nbr", "ticket").distinct()
-        .where(~((F.col("store_nbr") % 7 == 0) & (day == 13)))
+        spread(lines.where(~((F.col("store_nbr") % 7 == 0) & (day == 13))), lines.count(), "date", "store_nbr")
+        .distinct()
         .groupBy("date", "store_nbr").agg(F.count("*").alias("n"))
     )
     unknown = (F.col("store_nbr") % 5 == 0) & (day == 21)

@@ -16,15 +16,15 @@ def rows(df):
     return sorted(map(repr, df.collect()))
 
 
-def test_partitions_follow_the_input(spark, monkeypatch):
+def test_partitions_of_the_fact_and_the_transactions_follow_the_input(spark, monkeypatch):
     lines = views.sale_lines(spark, SF_DIR).count()
-    fact = rows(views.sales_fact(spark, SF_DIR))
+    fact, tickets = (rows(f(spark, SF_DIR)) for f in (views.sales_fact, views.transactions))
     gate, one = (rows(clean.quality_measures(views.sales_fact(spark, SF_DIR), views.transactions(spark, SF_DIR))),
                  rows(profile.sales_profile(views.sales_fact(spark, SF_DIR))))
     monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
     for parts_beyond in (views.BROADCAST_ROWS, 0):  # the parts broadcast, and both sides dealt by part
         monkeypatch.setattr(views, "BROADCAST_ROWS", parts_beyond)
-        for make, want in ((views.sales_fact, fact),):
+        for make, want in ((views.sales_fact, fact), (views.transactions, tickets)):
             many = make(spark, SF_DIR)
             assert many.rdd.getNumPartitions() == -(-lines // 100)
             assert rows(many) == want
