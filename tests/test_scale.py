@@ -30,3 +30,8 @@ def test_partitions_of_the_fact_and_the_transactions_follow_the_input(spark, mon
             assert rows(many) == want
         assert rows(profile.sales_profile(views.sales_fact(spark, SF_DIR))) == one
         assert rows(clean.quality_measures(views.sales_fact(spark, SF_DIR), views.transactions(spark, SF_DIR))) == gate
+
+
+def test_lines_are_added_by_region_without_sums_by_store(spark, capsys):
+    views.dense_sales(spark, SF_DIR).explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
