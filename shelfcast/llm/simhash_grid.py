@@ -223,7 +223,8 @@ def _split_cells(own: DataFrame, ups: DataFrame, cell: int) -> DataFrame:
     live = sizes.where((F.col("own_n") >= 2) | ((F.col("own_n") >= 1) & (F.col("up_n") >= 1)))
     live = live.select("cell", F.ceil(F.col("own_n") / cell).cast("int").alias("k"),
                        F.ceil(F.col("up_n") / cell).cast("int").alias("m"))
-    both = own.withColumn("up", F.lit(False)).unionByName(ups.withColumn("up", F.lit(True))).join(live, "cell")
+    # never broadcast: Spark takes both sides for as small as the prints they are exploded from
+    both = own.withColumn("up", F.lit(False)).unionByName(ups.withColumn("up", F.lit(True))).join(live.hint("merge"), "cell")
     chunk = F.pmod(F.xxhash64("fp"), F.when(F.col("up"), F.col("m")).otherwise(F.col("k")))
     # blocks: own chunk i with own chunk j >= i at i * k + j; own chunk i with visitors' chunk j at k * k + i * m + j
     k, m = F.col("k"), F.col("m")

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from shelfcast.llm import exact_blocks, simhash_grid
 from shelfcast.llm.hashing import xxh64_slices
@@ -158,3 +159,10 @@ def test_near_dedup_keeps_the_smallest_id(spark):
 def test_near_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash_grid.near_classes(empty).count() == 0 and simhash_grid.dedup_near(empty).count() == 0
+
+
+def test_members_of_cells_are_not_broadcast(spark, capsys):
+    prints = spark.range(2000).select(F.xxhash64("id").alias("fp"))
+    links = simhash_grid.links_of(prints)
+    links.explain()
+    assert "BroadcastExchange" not in capsys.readouterr().out
