@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import materialize
 from ..sources.bundle import SalesBundle
 from .calendar import calendar_features, collapse_holidays, holiday_flags
-from .clean import attach_stats, beside, fill_calendar, fill_mean
+from .clean import beside, fill_calendar, fill_mean
+
+# Days of the rolling mean of the transactions.
+ROLLING_DAYS = 7
 
 
 def daily_prices(oil: DataFrame, col: str = "dcoilwtico") -> DataFrame:
@@ -40,7 +44,7 @@ def join_holidays(sales: DataFrame, holidays: DataFrame, mode: str = "collapse")
     return joined.na.fill(0, [c for c in flags.columns if c != "date"])
 
 
-def process_transactions(transactions: DataFrame, window: int = 7) -> DataFrame:
+def process_transactions(transactions: DataFrame, window: int = ROLLING_DAYS) -> DataFrame:
     """Unknown counts become the global mean; the rolling mean of each store's last days is added."""
     filled = fill_mean(transactions, "transactions")
     w = Window.partitionBy("store_nbr").orderBy("date").rowsBetween(-(window - 1), 0)
@@ -56,15 +60,22 @@ def filled_transactions(sales: DataFrame, transactions: DataFrame) -> DataFrame:
 
     Where a day has no count it takes the store's mean over its sales rows, which is the mean over days weighted
     by their number of sales rows; the rolling mean falls back on the count. All of this happens at the small
-    date and store grain.
+    date and store grain, where a store is bounded by the calendar: the counts are stored once, days and counts meet once,
+    and both windows share one shuffle by store.
     """
+    counts = materialize(transactions.select("date", "store_nbr", "transactions"))
     days = sales.groupBy("date", "store_nbr").agg(F.count("*").alias("_rows"))
-    known = join_transactions(days, process_transactions(transactions))
+    known = days.join(fill_mean(counts, "transactions").withColumn("_counted", F.lit(True)), ["date", "store_nbr"], "full")
+    store = Window.partitionBy("store_nbr")
     weight = F.when(F.col("transactions").isNotNull(), F.col("_rows"))
-    filled = attach_stats(known, ["store_nbr"], _mean=F.sum(F.col("transactions") * F.col("_rows")) / F.sum(weight))
-    count = F.coalesce(F.col("transactions").cast("double"), "_mean")
-    return filled.select("date", "store_nbr", count.alias("transactions"),
-                         F.coalesce("transactions_rolling_mean", count).alias("transactions_rolling_mean"))
+    known = known.withColumn(
+        "_mean", F.sum(F.col("transactions") * F.col("_rows")).over(store) / F.sum(weight).over(store))
+    # the rolling mean looks at days with a row in the table only
+    w = Window.partitionBy("store_nbr", "_counted").orderBy("date").rowsBetween(-(ROLLING_DAYS - 1), 0)
+    rolled = known.withColumn("_rolling", F.when(F.col("_counted"), F.avg("transactions").over(w)))
+    count = F.coalesce("transactions", "_mean")
+    return rolled.where(F.col("_rows").isNotNull()).select(
+        "date", "store_nbr", count.alias("transactions"), F.coalesce("_rolling", count).alias("transactions_rolling_mean"))
 
 
 def join_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
@@ -73,12 +84,23 @@ def join_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
     return sales.join(stores, "store_nbr", "left")
 
 
+def sales_with_transactions(tables: SalesBundle) -> DataFrame:
+    """The sales with the finished transaction columns of their date and store, and nothing that the date alone decides."""
+    return join_transactions(tables.sales, filled_transactions(tables.sales, tables.transactions))
+
+
+def beside_dates(df: DataFrame, tables: SalesBundle, holiday_mode: str = "collapse") -> DataFrame:
+    """Calendar, oil and holidays behind the sales' own columns. They follow from the date without a shuffle, so they are
+    added when the shuffles are done."""
+    wide = join_holidays(join_oil(calendar_features(df), tables.oil), tables.holidays, holiday_mode)
+    own = [c for c in df.columns if c in tables.sales.columns]
+    dated = [c for c in wide.columns if c not in df.columns]
+    return wide.select(*own, *dated, *[c for c in df.columns if c not in own])
+
+
 def build_fact(tables: SalesBundle, holiday_mode: str = "collapse") -> DataFrame:
     """The prepared fact: calendar, oil, holidays and transactions beside every sale."""
-    df = calendar_features(tables.sales)
-    df = join_oil(df, tables.oil)
-    df = join_holidays(df, tables.holidays, holiday_mode)
-    return join_transactions(df, filled_transactions(tables.sales, tables.transactions))
+    return beside_dates(sales_with_transactions(tables), tables, holiday_mode)
 
 
 def daily_sales_with_oil(sales: DataFrame, oil: DataFrame) -> DataFrame:

@@ -125,18 +125,26 @@ def trend_strength(df: DataFrame, col: str, windows=(7, 14, 30), series: Series
     return over_series(df, series, build, before=max(windows) - 1)
 
 
-def all_features(df: DataFrame, target: str = "sales", series: Series = STORE_FAMILY) -> DataFrame:
-    """The standard feature set; every window shares one partitioning and one sort."""
+def series_features(df: DataFrame, target: str = "sales", series: Series = STORE_FAMILY) -> DataFrame:
+    """Lags, rolling statistics and trend flags; every window shares one partitioning and one sort."""
     windows = (7, 14, 30)
-    featured = over_series(
+    return over_series(
         df, series,
         lambda w: [*lag_columns(w, target, (1, 7, 14, 30)),
                    *rolling_columns(w, target, windows, ("mean", "std", "min", "max")),
                    *trend_columns(w, target, windows)],
         before=30)
+
+
+def cycle_features(df: DataFrame) -> DataFrame:
     for col, period in (("day_of_week", 7), ("month", 12), ("day", 31)):
-        featured = cyclical(featured, col, period)
-    return featured
+        df = cyclical(df, col, period)
+    return df
+
+
+def all_features(df: DataFrame, target: str = "sales", series: Series = STORE_FAMILY) -> DataFrame:
+    """The standard feature set."""
+    return cycle_features(series_features(df, target, series))
 
 
 def full_moving_average(daily: DataFrame, col: str, width: int = 7, date: str = "date") -> DataFrame:

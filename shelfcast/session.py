@@ -39,6 +39,12 @@ def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Like ``spread``, but dealt by the keys in any case, into the session's number of partitions at least."""
+    many = spread(df, rows, *keys)
+    return df.repartition(*keys) if many is df else many
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

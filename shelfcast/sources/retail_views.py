@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import spread
+from ..session import dealt, spread
 from .bundle import SalesBundle
 
 # How the test tables' codes stand for holiday types and locales.
@@ -39,14 +39,15 @@ def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per date, store and family. Nearly every line is a row of its own, so lines are dealt by these keys at once."""
+    """One row per date, store and family. Nearly every line is a row of its own, so lines are dealt at once, by date and
+    store: what is counted and joined by these needs no further shuffle."""
     families = table(spark, folder, "part").select(F.col("p_partkey").alias("part"), F.col("p_type").alias("family"))
     lines = sale_lines(spark, folder)
     n = lines.count()
     if families.count() > BROADCAST_ROWS:
         families, lines = spread(families, n, "part"), spread(lines, n, "part")
     return (
-        spread(lines.join(families, "part").drop("part", "ticket"), n, "date", "store_nbr", "family")
+        dealt(lines.join(families, "part").drop("part", "ticket"), n, "date", "store_nbr")
         .groupBy("date", "store_nbr", "family")
         .agg(F.sum("amount").cast("double").alias("sales"), F.sum("promoted").alias("onpromotion"))
     )
@@ -83,7 +84,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     day = F.dayofmonth("date")
     lines = sale_lines(spark, folder).select("date", "store_nbr", "ticket")
     counted = (
-        spread(lines.where(~((F.col("store_nbr") % 7 == 0) & (day == 13))), lines.count(), "date", "store_nbr")
+        dealt(lines.where(~((F.col("store_nbr") % 7 == 0) & (day == 13))), lines.count(), "date", "store_nbr")
         .distinct()
         .groupBy("date", "store_nbr").agg(F.count("*").alias("n"))
     )

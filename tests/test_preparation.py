@@ -127,6 +127,19 @@ def test_fact_keeps_rows_and_fills(small_bundle):
     assert fact.agg(F.sum("holiday_type_Holiday")).first()[0] == 5
 
 
+def test_transactions_of_days_without_a_count(spark):
+    d = days(4)
+    sales = [(d[0], 1, "A", 1.0, 0), (d[0], 1, "B", 1.0, 0), (d[1], 1, "A", 1.0, 0), (d[2], 1, "A", 1.0, 0), (d[0], 2, "A", 1.0, 0)]
+    # the day of d[3] has a count but no sales; d[1] has no row, d[2] an unknown count, store 2 no row
+    counts = [(d[0], 1, 10), (d[2], 1, None), (d[3], 1, 40), (d[3], 3, 70)]
+    got = joins.filled_transactions(spark.createDataFrame(sales, schemas.SALES), spark.createDataFrame(counts, schemas.TRANSACTIONS))
+    mean = (10 + 40 + 70) / 3
+    store = (10 * 2 + mean) / 3
+    assert {(r.date, r.store_nbr): (r.transactions, r.transactions_rolling_mean) for r in got.collect()} == {
+        (d[0], 1): (10.0, 10.0), (d[1], 1): (pytest.approx(store), pytest.approx(store)),
+        (d[2], 1): (mean, (10 + mean) / 2), (d[0], 2): (None, None)}
+
+
 def test_holiday_modes(spark, small_bundle):
     # two rows on one date, one of them transferred
     d = days(1)[0]

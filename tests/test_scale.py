@@ -7,6 +7,7 @@ import pytest
 from conftest import SF_DIR
 from shelfcast import session
 from shelfcast.operators import clean, profile
+from shelfcast.plans import jobs
 from shelfcast.sources import retail_views as views
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -35,3 +36,9 @@ def test_partitions_of_the_fact_and_the_transactions_follow_the_input(spark, mon
 def test_lines_are_added_by_region_without_sums_by_store(spark, capsys):
     views.dense_sales(spark, SF_DIR).explain()
     assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+
+
+def test_features_are_prepared_with_few_shuffles(spark, capsys):
+    jobs.prepare_features(views.bundle(spark, SF_DIR)).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") < 12 and plan.count("lineitem") == 2
