@@ -169,7 +169,9 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
     marked = nodes.select("node", "parent", "depth", "shown_by", "n_tokens").join(sizes, "parent", "left").withColumn(
         "branch", F.when(F.col("children").isNotNull() | (F.col("depth") == 0), F.substring("node", 1, 16)))
     marked = stored(marked.select("node", "branch", "n_tokens", "shown_by"), "marked")
-    walked = turns.select("conv_no", "depth", "node").join(marked, "node")
+    # turns are merged with what they are joined to, never broadcast: where many conversations share nodes, a stored turn is a few
+    # bytes, by which Spark sizes it, and two hundred in the driver's tables
+    walked = turns.select("conv_no", "depth", "node").join(marked.hint("merge"), "node")
     walked = walked.repartition("conv_no").sortWithinPartitions("conv_no", "depth")
 
     def walk(batches):
@@ -206,14 +208,14 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, D
             yield batch_of(spans, [names, attends])
 
     shown = turns.select("conv_no", "depth", "node").join(
-        placed.select("node", "stream_start", "n_tokens", "shown_by"), "node").withColumn("own", F.expr("conv_no = shown_by"))
+        placed.select("node", "stream_start", "n_tokens", "shown_by").hint("merge"), "node").withColumn("own", F.expr("conv_no = shown_by"))
     # only conversations that some node is shown by
     needed = placed.select(F.col("shown_by").alias("conv_no")).distinct()
-    walks = shown.join(needed, "conv_no", "left_semi").repartition("conv_no").sortWithinPartitions("conv_no", "depth")
+    walks = shown.join(needed.hint("merge"), "conv_no", "left_semi").repartition("conv_no").sortWithinPartitions("conv_no", "depth")
     attends = walks.select("conv_no", "node", "stream_start", "n_tokens", "own").mapInArrow(ancestors, spans)
     full = nodes.select("node", "parent", "depth", "formatted", "loss", "token_ids", "text_start", "n_tokens").join(
         placed.select("node", "stream_start", "position"), "node").join(attends, "node")
-    paths = turns.select("conv_no", "depth", "node").join(names, "conv_no")
+    paths = turns.select("conv_no", "depth", "node").join(names.hint("merge"), "conv_no")
     return stored(full, "tree"), stored(paths, "paths")
 
 
@@ -247,7 +249,7 @@ def read_back(tree: DataFrame, paths: DataFrame, vocabulary: str) -> DataFrame:
 
     said = stored(tree.select("node", "token_ids", "text_start").mapInArrow(decode, SAID), "said")
     places = tree.select("node", "loss", "stream_start", "n_tokens", "position", "attends").join(said, "node")
-    turns = paths.select("conv_no", "conv_id", "depth", "node").join(places, "node")
+    turns = paths.select("conv_no", "conv_id", "depth", "node").join(places.hint("merge"), "node")
     turns = turns.repartition("conv_no").sortWithinPartitions("conv_no", "depth")
 
     def digest(batches):

@@ -141,3 +141,18 @@ def test_loss_mask_covers_the_text_alone(spark):
     tree, _ = chat_tree.prefix_tree(spark.createDataFrame([(*r, "n") for r in said], SCHEMA), VOCABULARY)
     masked = {r.depth: decode(r.token_ids[r.text_start:-1], skip_special_tokens=False) for r in tree.where("loss").collect()}
     assert {d: chat_tree.unescape(t) for d, t in masked.items()} == {c: t for _, c, r, t in said if r == "assistant"}
+
+
+def test_turns_are_never_broadcast(spark, monkeypatch, capsys):
+    plans, store = {}, chat_tree.stored
+
+    def watched(df, name):
+        df.explain()
+        plans[name] = capsys.readouterr().out
+        return store(df, name)
+
+    monkeypatch.setattr(chat_tree, "stored", watched)
+    chat_tree.read_back(*chat_tree.prefix_tree(conversations(spark), VOCABULARY), VOCABULARY).explain()
+    plans["read"] = capsys.readouterr().out
+    assert "BroadcastHashJoin" not in plans["paths"]
+    assert "SortMergeJoin" in plans["read"] and "BroadcastHashJoin [conv_no" not in plans["tree"]
