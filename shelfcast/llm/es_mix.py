@@ -68,10 +68,11 @@ def _joined(rows: DataFrame, by_source: DataFrame) -> DataFrame:
 
 def mix(rows: DataFrame, quality: DataFrame | None = None) -> DataFrame:
     """``rows`` has row_no, doc_id, source, size, text_hash. Returns them with weight, source_size, target and copies,
-    how many times the mix takes the document."""
+    how many times the mix takes the document. What grows with the documents is merged, never broadcast: stored row numbers
+    are a few bytes each, and tens of bytes in the driver's tables."""
     if quality is not None:
         label = quality.groupBy("doc_id").agg(F.max("quality").alias("quality")).withColumnRenamed("doc_id", "label_id")
-        rows = rows.join(label, rows["doc_id"] == label["label_id"], "left").drop("label_id")
+        rows = rows.join(label.hint("merge"), rows["doc_id"] == label["label_id"], "left").drop("label_id")
         weight = F.lit(1.0)
         for value, w in QUALITY_WEIGHT.items():
             weight = F.when(F.col("quality") == value, w).otherwise(weight)
@@ -94,7 +95,7 @@ def mix(rows: DataFrame, quality: DataFrame | None = None) -> DataFrame:
             break
         used = rows.sparkSession.createDataFrame(spent, "source string, spent long")
         # rows larger than the budget of this turn can only come back in the last step
-        rest = rest.join(took.select("row_no"), "row_no", "left_anti")
+        rest = rest.join(took.select("row_no").hint("merge"), "row_no", "left_anti")
         right = used.withColumnRenamed("source", "source_key")
         rest = (rest.join(F.broadcast(right), rest["source"].eqNullSafe(right["source_key"]), "left")
                 .withColumn("budget", F.col("budget") - F.coalesce("spent", F.lit(0))).drop("source_key", "spent"))
@@ -103,7 +104,7 @@ def mix(rows: DataFrame, quality: DataFrame | None = None) -> DataFrame:
         F.min(F.struct("size", "key", "row_no")).alias("m"), F.max("budget").alias("budget"))
     nearest = nearest.where("m.size < 2 * budget").select(F.col("m.row_no").alias("row_no"))
     extra = chosen.select("row_no").unionByName(nearest).withColumn("extra", F.lit(1))
-    return _joined(rows, plan).join(extra, "row_no", "left").withColumn(
+    return _joined(rows, plan).join(extra.hint("merge"), "row_no", "left").withColumn(
         "copies", F.col("epochs") + F.coalesce("extra", F.lit(0))).drop("key", "epochs", "budget", "extra")
 
 

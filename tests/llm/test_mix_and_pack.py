@@ -72,6 +72,13 @@ def test_heavier_documents_are_taken_more_often(spark):
     assert part and all(taken[n, 1] > 1.3 * taken[n, 0] for n, _ in part)
 
 
+def test_rows_of_the_mix_are_not_broadcast(spark, capsys):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    es_mix.mixture(documents(spark, many()), labels).explain()
+    # the sources only, one row each
+    assert "BroadcastHashJoin [row_no" not in capsys.readouterr().out
+
+
 def test_mixed_documents_are_whole_rows(spark):
     rows = many()
     docs = documents(spark, rows)
